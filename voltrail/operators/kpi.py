@@ -50,14 +50,15 @@ def air_yield(p: Params) -> Column:
     return c("m_KT_Hz") / lit(50.0) * lit(p.KT_F) + c("m_HPF_Hz") / lit(50.0) * lit(p.HPF_F)
 
 
-def temp_diff(sf: Column) -> Column:
-    zt = room_temp()
+def temp_diff(sf: Column, zt: Column) -> Column:
     return F.when(sf == 0, zt - c("m_XF_T")).otherwise(zt - c("m_SF_T"))
 
 
-def cooling_output(p: Params) -> Column:
+def cooling_output(p: Params, air: Column | None = None, dt: Column | None = None) -> Column:
     """J-3: LL = air_c * air_rho * air * dT / 3600000 (kW)."""
-    return lit(p.air_specificHeat) * lit(p.air_density) * air_yield(p) * temp_diff(c("on_KT_Run")) / lit(3600000.0)
+    air = air_yield(p) if air is None else air
+    dt = temp_diff(c("on_KT_Run"), room_temp()) if dt is None else dt
+    return lit(p.air_specificHeat) * lit(p.air_density) * air * dt / lit(3600000.0)
 
 
 def water_indicator(p: Params, consumption: Column, yld: Column, ot: Column, it: Column) -> Column:
@@ -66,6 +67,14 @@ def water_indicator(p: Params, consumption: Column, yld: Column, ot: Column, it:
         lit(216000000.0) * consumption)
 
 
+def with_intermediates(x: DataFrame, p: Params) -> DataFrame:
+    """Adds the shared terms once (zt, vent, air, dT, LL) so each score refers to
+    columns instead of re-expanding the same expression trees."""
+    x = x.withColumns({"zt": room_temp(), "vent": ventilation(c("on_KT_Run")), "air": air_yield(p)})
+    x = x.withColumn("dT", temp_diff(c("on_KT_Run"), c("zt")))
+    return x.withColumn("LL", cooling_output(p, c("air"), c("dT")))
+
+
 def power_indicator(p: Params) -> Column:
     """J-1 inner: 24-hour energy per square metre per hour."""
     return F.try_divide(c("e_ALL_ZNDB"), c("area") * lit(24.0))
@@ -78,25 +87,25 @@ def d1(p: Params) -> Column:
 
 
 def d2(p: Params) -> Column:
-    vent = ventilation(c("on_KT_Run"))
+    vent = c("vent")
     cons = c("c_ALL_ZNDB")
     return (F.when(vent == 0, lit(0.0))
             .when(cons == 0, lit(100.0))
-            .otherwise(score(cooling_output(p) / (cons * lit(3.0)), p.XL_standard)))
+            .otherwise(score(c("LL") / (cons * lit(3.0)), p.XL_standard)))
 
 
 def d3(p: Params) -> Column:
-    vent = ventilation(c("on_KT_Run"))
-    ll = cooling_output(p)
+    vent = c("vent")
+    ll = c("LL")
     return (F.when(vent == 0, lit(0.0))
             .when(ll > lit(p.LL_standard), lit(p.LL_standard) / ll * lit(100.0))
             .otherwise(lit(100.0)))
 
 
 def d24(p: Params) -> Column:
-    vent = ventilation(c("on_KT_Run"))
+    vent = c("vent")
     cons = c("c_KT_ZNDB") + c("c_HPF_ZNDB")
-    r = (lit(p.air_specificHeat) * lit(p.air_density) * air_yield(p) * temp_diff(c("on_KT_Run")) * lit(p.run_time)) / (
+    r = (lit(p.air_specificHeat) * lit(p.air_density) * c("air") * c("dT") * lit(p.run_time)) / (
         lit(216000000.0) * cons)
     return (F.when(vent == 0, lit(0.0))
             .when(cons == 0, lit(0.0))
@@ -104,7 +113,7 @@ def d24(p: Params) -> Column:
 
 
 def d4(p: Params) -> Column:
-    gap = lit(p.HFT_standard) - room_temp()
+    gap = lit(p.HFT_standard) - c("zt")
     return F.when(gap > lit(6.0), lit(0.0)).otherwise(lit(100.0) - F.abs(gap) / lit(6.0) * lit(100.0))
 
 
@@ -137,7 +146,7 @@ SCORES = {"d1": d1, "d2": d2, "d3": d3, "d4": d4, "d5": d5, "d10": d10, "d15": d
 
 def status_columns() -> dict[str, Column]:
     """J-11: d2 = d3 = d24 = ventilation; d4 always 1; d5/d10/d15/d20 own class."""
-    vent = ventilation(c("on_KT_Run"))
+    vent = c("vent")
     return {
         "d2": vent, "d3": vent, "d4": lit(1.0), "d5": c("on_LSJZ_Run"), "d10": c("on_LDB_Run"),
         "d15": c("on_LQB_Run"), "d20": c("on_LT_Run"), "d24": vent,
@@ -172,12 +181,14 @@ def inputs(lines: DataFrame, stations: DataFrame, points: DataFrame,
 
 def scores(x: DataFrame, p: Params, names=DAY_COLUMNS) -> DataFrame:
     """(station_abbr, seq, <score>...) unrounded."""
+    x = with_intermediates(x, p)
     return x.select("station_abbr", "seq", *[SCORES[n](p).alias(n) for n in names])
 
 
 def kpi_real_status(x: DataFrame, p: Params) -> DataFrame:
     """(station_abbr, seq, d1, d2..d24, st_d2..st_d24) unrounded — KPI_real + hisstatus + d1."""
     st = status_columns()
+    x = with_intermediates(x, p)
     return x.select("station_abbr", "seq", *[SCORES[n](p).alias(n) for n in DAY_COLUMNS],
                     *[st[n].alias(f"st_{n}") for n in KPI_COLUMNS])
 

@@ -47,11 +47,11 @@ def tick_sums(readings: DataFrame, classified: DataFrame,
 def class_means(sums: DataFrame, sizes: DataFrame, classes: tuple[str, ...] = MEAN_CLASSES) -> DataFrame:
     """Adds m_<C> = s_<C> / |C| (0 when the station has no point of C)."""
     j = join_dimension(sums, sizes, "station_abbr", how="left")
-    out = j
+    means = {}
     for c in classes:
         n = F.coalesce(F.col(f"n_{c}"), F.lit(0))
-        out = out.withColumn(f"m_{c}", F.when(n > 0, F.col(f"s_{c}") / n).otherwise(F.lit(0.0)))
-    return out.drop(*[f"n_{c}" for c in classes if f"n_{c}" in sizes.columns])
+        means[f"m_{c}"] = F.when(n > 0, F.col(f"s_{c}") / n).otherwise(F.lit(0.0))
+    return j.withColumns(means).drop(*[f"n_{c}" for c in classes if f"n_{c}" in sizes.columns])
 
 
 def _station_window() -> Window:
@@ -69,8 +69,4 @@ def lag_delta(col: str, lag: int) -> tuple[Column, Column]:
 def meter_deltas(sums: DataFrame, lag: int, prefix: str,
                  classes: tuple[str, ...] = METER_CLASSES) -> DataFrame:
     """Adds <prefix>_<C> = Σ_C v_t − Σ_C v_(t−lag) when both uploads exist, else 0."""
-    out = sums
-    for c in classes:
-        delta, _ = lag_delta(f"s_{c}", lag)
-        out = out.withColumn(f"{prefix}_{c}", delta)
-    return out
+    return sums.withColumns({f"{prefix}_{c}": lag_delta(f"s_{c}", lag)[0] for c in classes})

@@ -117,13 +117,10 @@ FIXTURE_PARAMS = Params(KT_F=100000.0, HPF_F=80000.0, power_standard=0.05)
 
 def patterns_df(spark: SparkSession) -> DataFrame:
     """The 26 classification patterns as a tiny DataFrame (cls, pattern, cls_idx)."""
-    rows = [(name, pat, i) for i, (name, pat) in enumerate(PATTERNS)]
-    schema = T.StructType([
-        T.StructField("cls", T.StringType(), False),
-        T.StructField("pattern", T.StringType(), False),
-        T.StructField("cls_idx", T.IntegerType(), False),
-    ])
-    return spark.createDataFrame(rows, schema)
+    # Built from literals on the JVM side (no Python rows to ship).
+    items = ", ".join(f"named_struct('cls', '{name}', 'pattern', '{pat}', 'cls_idx', {i})"
+                      for i, (name, pat) in enumerate(PATTERNS))
+    return spark.range(1).select(F.inline(F.expr(f"array({items})")))
 
 
 def params_overlay(defaults: DataFrame, settings: DataFrame) -> DataFrame:

@@ -95,11 +95,11 @@ def fx_station(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _catalog_array() -> Column:
-    return F.array(*[
-        F.struct(F.lit(cid).alias("control_id"), F.lit(name).alias("point_name"),
-                 F.lit(typ).alias("type"), F.lit(fam).alias("fam"))
-        for cid, name, typ, fam in CATALOG
-    ])
+    # One SQL literal expression: a single call builds the 32-element array.
+    items = ", ".join(
+        f"named_struct('control_id', {cid}, 'point_name', '{name}', 'type', '{typ}', 'fam', {fam})"
+        for cid, name, typ, fam in CATALOG)
+    return F.expr(f"array({items})")
 
 
 def fx_point(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,9 @@ def D(x: float) -> str:
 
 
 def R4(expr: str) -> str:
-    return f"(round({expr}, 4) + {D(0)})"
+    """Round half-up on the shortest decimal form of the double — what Spark's
+    ``round`` does — rather than on the scaled binary value."""
+    return f"(CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,18)), 4) AS DOUBLE) + {D(0)})"
 
 
 def TICK_TEXT(seq: str) -> str:

@@ -19,7 +19,22 @@ from voltrail.plans.registry import register
 P0 = FIXTURE_PARAMS
 
 
+_MEMO: dict[tuple, object] = {}
+
+
+def _memo(key: tuple, make):
+    """DataFrames are immutable lazy plans: reuse one per (session, input, kind)
+    so several queries over the same tables build their plans once."""
+    if key not in _MEMO:
+        _MEMO[key] = make()
+    return _MEMO[key]
+
+
 def world(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return _memo((id(spark), sf_dir, "world"), lambda: _world(spark, sf_dir))
+
+
+def _world(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {
         "lines": fx.fx_line(spark, sf_dir),
         "stations": fx.fx_station(spark, sf_dir),
@@ -30,11 +45,11 @@ def world(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def _inputs(spark, sf_dir) -> DataFrame:
-    return K.inputs(**world(spark, sf_dir))
+    return _memo((id(spark), sf_dir, "inputs"), lambda: K.inputs(**world(spark, sf_dir)))
 
 
 def _rs(spark, sf_dir) -> DataFrame:
-    return K.kpi_real_status(_inputs(spark, sf_dir), P0)
+    return _memo((id(spark), sf_dir, "rs"), lambda: K.kpi_real_status(_inputs(spark, sf_dir), P0))
 
 
 RS = kpi_rs_cte(P0)

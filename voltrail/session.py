@@ -24,6 +24,7 @@ SCALE_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
