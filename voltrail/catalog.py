@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from voltrail.plans import q_kpi  # noqa: F401  (registers queries)
+from voltrail.plans import q_kpi, q_scan  # noqa: F401  (register queries)
 from voltrail.plans.registry import REGISTRY, Builder
 
 

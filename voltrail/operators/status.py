@@ -92,3 +92,8 @@ def run_flags(status: DataFrame, classified: DataFrame, grid: DataFrame,
     out = grid.select("station_abbr", "seq").join(flags, ["station_abbr", "seq"], "left")
     return out.select("station_abbr", "seq",
                       *[F.coalesce(F.col(f"on_{c}"), F.lit(0)).cast("double").alias(f"on_{c}") for c in classes])
+
+
+def status_of_class(status: DataFrame, run_pts: DataFrame) -> DataFrame:
+    """D-5 / C-7: status rows of the ids of each class (an IN list as a join)."""
+    return join_dimension(status, run_pts, ["station_abbr", "id"])
