@@ -116,7 +116,8 @@ def fx_point(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(1).alias("quantity"),
         F.lit(0.0).alias("lower_limit"),
         F.lit(100.0).alias("upper_limit"),
-        F.lit(None).cast("string").alias("description"),
+        # Only status points carry the optional 14th field.
+        F.when(F.col("type") == "YX", F.lit("run status")).alias("description"),
         "fam",
     )
 
