@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from voltrail.plans import q_ingest, q_kpi, q_scan, q_store  # noqa: F401  (register queries)
+from voltrail.plans import q_ingest, q_kpi, q_scan, q_store, q_stream  # noqa: F401  (register queries)
 from voltrail.plans.registry import REGISTRY, Builder
 
 

@@ -163,7 +163,11 @@ def fx_reading(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fx_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    return status_from_events(table(spark, sf_dir, "events"))
+
+
+def status_from_events(ev: DataFrame) -> DataFrame:
+    """Status changes from event rows (batch or streaming)."""
     return ev.select(
         F.concat(F.lit("s"), F.expr(f"chr(97 + CAST(user_id % {N_STATIONS} AS INT))")).alias("station_abbr"),
         (F.col("event_id") % 8).cast("int").alias("id"),
