@@ -38,10 +38,14 @@ def tick_sums(readings: DataFrame, classified: DataFrame,
     if none of its control ids is classified.
     """
     r = with_seq(readings).select("station_abbr", "seq", "control_id", clean_value("value").alias("v"))
-    cmap = classified.filter(F.col("cls").isin(*classes)).select("station_abbr", "control_id", "cls")
+    # Classes as small integers: the per-row conditional sums compare ints, not strings.
+    idx = F.coalesce(*[F.when(F.col("cls") == c, F.lit(i)) for i, c in enumerate(classes)])
+    cmap = (classified.filter(F.col("cls").isin(*classes))
+            .select("station_abbr", "control_id", idx.cast("tinyint").alias("ci")))
     j = join_dimension(r, cmap, ["station_abbr", "control_id"], how="left")
     return j.groupBy("station_abbr", "seq").agg(
-        *[F.coalesce(F.sum(F.when(F.col("cls") == c, F.col("v"))), F.lit(0.0)).alias(f"s_{c}") for c in classes])
+        *[F.coalesce(F.sum(F.when(F.col("ci") == i, F.col("v"))), F.lit(0.0)).alias(f"s_{c}")
+          for i, c in enumerate(classes)])
 
 
 def class_means(sums: DataFrame, sizes: DataFrame, classes: tuple[str, ...] = MEAN_CLASSES) -> DataFrame:
