@@ -169,10 +169,11 @@ def inputs(lines: DataFrame, stations: DataFrame, points: DataFrame,
     managed = P.managed_stations(lines, stations).select("station_abbr", "area")
     classified = P.classify_points(points, stations)
     # Output gate first, so unmanaged stations never reach the aggregate.
-    gated = join_dimension(R.with_seq(readings), managed.select("station_abbr"), "station_abbr", how="left_semi")
+    gated = join_dimension(R.with_seq(readings), managed.select("station_abbr"), "station_abbr", how="left_semi",
+                           bound_by=managed)
     sums = join_dimension(R.tick_sums(gated, classified), managed, "station_abbr")
     sizes = P.class_sizes(classified, MEAN_CLASSES)
-    x = R.class_means(sums, sizes)
+    x = R.class_means(sums, sizes, bound_by=classified)
     x = R.meter_deltas(x, 1, "c")
     x = R.meter_deltas(x, DAY_TICKS, "e", classes=("ALL_ZNDB",))
     flags = S.run_flags(status, classified, x.select("station_abbr", "seq"))

@@ -42,15 +42,16 @@ def tick_sums(readings: DataFrame, classified: DataFrame,
     idx = F.coalesce(*[F.when(F.col("cls") == c, F.lit(i)) for i, c in enumerate(classes)])
     cmap = (classified.filter(F.col("cls").isin(*classes))
             .select("station_abbr", "control_id", idx.cast("tinyint").alias("ci")))
-    j = join_dimension(r, cmap, ["station_abbr", "control_id"], how="left")
+    j = join_dimension(r, cmap, ["station_abbr", "control_id"], how="left", bound_by=classified)
     return j.groupBy("station_abbr", "seq").agg(
         *[F.coalesce(F.sum(F.when(F.col("ci") == i, F.col("v"))), F.lit(0.0)).alias(f"s_{c}")
           for i, c in enumerate(classes)])
 
 
-def class_means(sums: DataFrame, sizes: DataFrame, classes: tuple[str, ...] = MEAN_CLASSES) -> DataFrame:
+def class_means(sums: DataFrame, sizes: DataFrame, classes: tuple[str, ...] = MEAN_CLASSES,
+                bound_by: DataFrame | None = None) -> DataFrame:
     """Adds m_<C> = s_<C> / |C| (0 when the station has no point of C)."""
-    j = join_dimension(sums, sizes, "station_abbr", how="left")
+    j = join_dimension(sums, sizes, "station_abbr", how="left", bound_by=bound_by)
     means = {}
     for c in classes:
         n = F.coalesce(F.col(f"n_{c}"), F.lit(0))

@@ -52,9 +52,9 @@ def run_points(classified: DataFrame) -> DataFrame:
             .select("station_abbr", F.col("control_id").alias("id"), "cls"))
 
 
-def bucket_latest(status: DataFrame, ids: DataFrame) -> DataFrame:
+def bucket_latest(status: DataFrame, ids: DataFrame, bound_by: DataFrame | None = None) -> DataFrame:
     """(station_abbr, id, seq, m_ts, m_on) per 20-minute bucket of the log."""
-    s = status.join(maybe_broadcast(ids), ["station_abbr", "id"], "left_semi")
+    s = status.join(maybe_broadcast(ids, bound_by=bound_by), ["station_abbr", "id"], "left_semi")
     return (
         s.select("station_abbr", "id", tick_seq("ts").alias("seq"),
                  F.struct(F.col("ts").alias("ts"), (F.col("value") == "1").cast("int").alias("on")).alias("m"))
@@ -63,10 +63,11 @@ def bucket_latest(status: DataFrame, ids: DataFrame) -> DataFrame:
     )
 
 
-def point_on_at(status: DataFrame, ids: DataFrame, grid: DataFrame) -> DataFrame:
+def point_on_at(status: DataFrame, ids: DataFrame, grid: DataFrame, bound_by: DataFrame | None = None) -> DataFrame:
     """(station_abbr, id, seq, on) for every grid tick and every listed id of the station."""
-    buckets = bucket_latest(status, ids).withColumn("kind", F.lit(1))
-    evals = join_dimension(grid.select("station_abbr", "seq"), ids, "station_abbr").withColumn("kind", F.lit(0))
+    buckets = bucket_latest(status, ids, bound_by).withColumn("kind", F.lit(1))
+    evals = join_dimension(grid.select("station_abbr", "seq"), ids, "station_abbr",
+                           bound_by=bound_by).withColumn("kind", F.lit(0))
     u = evals.unionByName(buckets, allowMissingColumns=True)
     w = (Window.partitionBy("station_abbr", "id").orderBy("seq", "kind")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -84,8 +85,8 @@ def run_flags(status: DataFrame, classified: DataFrame, grid: DataFrame,
     """(station_abbr, seq, on_<C> ...) — any point of C latest-'1' in (t−24h, t) (E-3)."""
     rp = run_points(classified).filter(F.col("cls").isin(*classes))
     ids = rp.select("station_abbr", "id").distinct()
-    on = point_on_at(status, ids, grid)
-    j = join_dimension(on, rp, ["station_abbr", "id"])
+    on = point_on_at(status, ids, grid, bound_by=classified)
+    j = join_dimension(on, rp, ["station_abbr", "id"], bound_by=classified)
     flags = j.groupBy("station_abbr", "seq").agg(
         *[F.max(F.when(F.col("cls") == c, F.col("on"))).alias(f"on_{c}") for c in classes])
     # Grid ticks of stations without any run point still get all-off flags.

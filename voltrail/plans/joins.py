@@ -32,11 +32,18 @@ def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
     return _CHECKED[key]
 
 
-def maybe_broadcast(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(dim) if is_small(dim, max_rows) else dim
+def maybe_broadcast(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                    bound_by: DataFrame | None = None) -> DataFrame:
+    """Broadcast hint when ``dim`` is proven small.
+
+    ``bound_by``: a frame with at least as many rows as ``dim`` (``dim`` is a
+    filter, projection, distinct or aggregate of it); checking it once covers
+    every dimension derived from it.
+    """
+    return F.broadcast(dim) if is_small(dim if bound_by is None else bound_by, max_rows) else dim
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-                   max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                   max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, bound_by: DataFrame | None = None) -> DataFrame:
     """``fact.join(dim, on, how)`` broadcasting ``dim`` only behind a size check."""
-    return fact.join(maybe_broadcast(dim, max_rows), on, how)
+    return fact.join(maybe_broadcast(dim, max_rows, bound_by), on, how)
