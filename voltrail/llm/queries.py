@@ -28,3 +28,9 @@ def vocabulary(name: str) -> str:
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from voltrail.llm import bpe
     return bpe.digests(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
+
+
+@query
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from voltrail.llm import token_counts
+    return token_counts.count_documents(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
