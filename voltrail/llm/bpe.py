@@ -169,7 +169,9 @@ def token_text(ids: Column, path: str) -> Column:
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = load(path)
         for column in batches:
-            yield pa.array([bpe.decode(x) if x else "" for x in column.to_pylist()], pa.string())
+            ends = column.offsets.to_numpy()
+            values = column.values.to_numpy()
+            yield pa.array([bpe.decode(values[a:b].tolist()) for a, b in zip(ends, ends[1:])], pa.string())
 
     return decode(ids)
 
