@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: The pre-tokenizer's pieces; white space spelled out, as Python's own class has four characters more.
 PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
-NONE, LOW = 1 << 62, (1 << 32) - 1
-KEPT = 400_000  # fragments that a task remembers; beyond it starts over
+CUT, NONE, LOW = 1 << 63, 1 << 62, (1 << 32) - 1
+KEPT = 250_000  # words, and pieces, that a task remembers; beyond it starts over
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -41,7 +41,7 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class Bpe(dict):
-    """Fragment -> ids, made on first use."""
+    """Word -> ids of a space and the word, made on first use."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -62,40 +62,56 @@ class Bpe(dict):
         for rank, m in enumerate(spec["model"]["merges"]):
             a, b = m.split(" ") if isinstance(m, str) else m
             self.merges.setdefault((vocab[a], vocab[b]), rank << 32 | vocab[a + b])
-        self.inside = {pair for t in raw.values() for pair in zip(t, t[1:])}
+        #: Of byte pairs that stand inside some token; all others are cut.
+        self.byte_ranks = {pair: self.merges.get((self.byte_ids[pair[0]], self.byte_ids[pair[1]]), NONE) for t in raw.values() for pair in zip(t, t[1:])}
+        self.known: dict[str, list[int]] = {}
         self.pieces = regex.compile(PIECES).findall
+        self.blank = regex.compile(rf"[{WHITE}]").match
         self.fragments = regex.compile(rf"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+").findall
         self.cut = regex.compile("|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True))) if self.special else None
 
-    def __missing__(self, fragment: str) -> tuple[int, ...]:
+    def __missing__(self, word: str) -> tuple[int, ...] | None:
+        """Ids of a space and ``word``; None where the space isn't the only white space before it."""
+        ids = None if not word or self.blank(word) else self.encode_fragment(" " + word)
+        if len(word) <= 64:
+            if len(self) >= KEPT:
+                self.clear()
+            self[word] = ids
+        return ids
+
+    def encode_fragment(self, fragment: str) -> tuple[int, ...]:
         out: list[int] = []
+        known = self.known
         for piece in self.pieces(fragment):
-            out += self.encode_piece(piece.encode())
-        if len(self) >= KEPT:
-            self.clear()
-        if len(fragment) <= 64:
-            self[fragment] = tuple(out)
+            ids = known.get(piece)
+            if ids is None:
+                ids = self.encode_piece(piece.encode())
+                if len(piece) <= 64:
+                    if len(known) >= KEPT:
+                        known.clear()
+                    known[piece] = ids
+            out += ids
         return tuple(out)
 
     def encode_piece(self, piece: bytes) -> list[int]:
+        """Forced cuts first: what lies between them is merged on its own."""
         ids = [*map(self.byte_ids.__getitem__, piece)]
-        if len(piece) < 2:
-            return ids
-        cuts = [i for i, pair in enumerate(zip(piece, piece[1:]), 1) if pair not in self.inside]
-        if not cuts:
-            return self.merge(ids)
+        get = self.byte_ranks.get
+        ranks = [get(pair, CUT) for pair in zip(piece, piece[1:])]
+        if CUT not in ranks:
+            return self.merge(ids, ranks)
         out: list[int] = []
-        for a, b in zip([0, *cuts], [*cuts, len(ids)]):
-            out += self.merge(ids[a:b])
+        cuts = [0, *(i for i, r in enumerate(ranks, 1) if r == CUT), len(ids)]
+        for a, b in zip(cuts, cuts[1:]):
+            out += self.merge(ids[a:b], ranks[a:b - 1])
         return out
 
-    def merge(self, ids: list[int]) -> list[int]:
+    def merge(self, ids: list[int], ranks: list[int]) -> list[int]:
         """Lowest rank first, leftmost first among equals."""
         if len(ids) > 48:
             return self.merge_long(ids)
         get = self.merges.get
-        ranks = [get(pair, NONE) for pair in zip(ids, ids[1:])]
-        while ranks and (best := min(ranks)) != NONE:
+        while ranks and (best := min(ranks)) < NONE:
             i = ranks.index(best)
             ids[i:i + 2] = [best & LOW]
             del ranks[i]
@@ -125,17 +141,25 @@ class Bpe(dict):
                 heapq.heappush(heap, (m >> 32, p, ids[p], to, m & LOW))
         return [i for i in ids if i >= 0]
 
-    def encode(self, text: str) -> Iterator[int]:
+    def encode(self, text: str) -> list[int]:
         if self.cut is None or not self.cut.search(text):
-            return chain.from_iterable(map(self.__getitem__, self.fragments(text)))
+            return self.encode_plain(text)
         out: list[int] = []
         at = 0
         for m in self.cut.finditer(text):
-            out += chain.from_iterable(map(self.__getitem__, self.fragments(text[at:m.start()])))
+            out += self.encode_plain(text[at:m.start()])
             out.append(self.special[m[0]])
             at = m.end()
-        out += chain.from_iterable(map(self.__getitem__, self.fragments(text[at:])))
-        return iter(out)
+        return out + self.encode_plain(text[at:])
+
+    def encode_plain(self, text: str) -> list[int]:
+        head, space, tail = text.partition(" ")
+        if space and head:
+            try:
+                return [*chain.from_iterable(map(self.encode_fragment, self.fragments(head))), *chain.from_iterable(map(self.__getitem__, tail.split(" ")))]
+            except TypeError:  # a run of white space that isn't one space: cut before the run
+                pass
+        return [*chain.from_iterable(map(self.encode_fragment, self.fragments(text)))]
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.tokens.__getitem__, ids)).decode("utf-8", errors="replace")
@@ -155,7 +179,7 @@ def token_ids(text: Column, path: str) -> Column:
         for column in batches:
             values, ends = [np.empty(0, dtype=np.int32)], [0]
             for t in column.to_pylist():
-                values.append(np.fromiter(bpe.encode(t), dtype=np.int32) if t else values[0])
+                values.append(np.array(bpe.encode(t), dtype=np.int32) if t else values[0])
                 ends.append(ends[-1] + len(values[-1]))
             yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(values)))
 

@@ -34,3 +34,9 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from voltrail.llm import token_counts
     return token_counts.count_documents(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
+
+
+@query
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from voltrail.llm import secret_scan
+    return secret_scan.digests(documents(spark, sf_dir))
