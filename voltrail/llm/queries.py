@@ -3,16 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from voltrail.llm.store import ship
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,3 +48,17 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from voltrail.llm import secret_scan
     return secret_scan.digests(documents(spark, sf_dir))
+
+
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from voltrail.llm import quality_rules as q
+    docs = documents(spark, sf_dir)
+    rules = q.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return q.judge(docs, rules).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from voltrail.llm import simhash
+    return simhash.digests(documents(spark, sf_dir))

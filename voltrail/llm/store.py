@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,3 +28,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, once a session, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if getattr(context, "_voltrail_shipped", False):
+        return
+    package = Path(__file__).parents[1]
+    to = Path(tempfile.mkdtemp(prefix="voltrail-code-")) / "voltrail.zip"
+    with zipfile.ZipFile(to, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    context.addPyFile(str(to))
+    context._voltrail_shipped = True

@@ -58,6 +58,17 @@ class Words:
     starts: np.ndarray
     ends: np.ndarray
     first: np.ndarray
+    at: np.ndarray  # where each text's bytes start; the last element is past the last text
+
+    def per_text(self, flags: np.ndarray) -> np.ndarray:
+        """How many bytes of each text have their flag set."""
+        total = np.concatenate(([0], np.cumsum(flags, dtype=np.int64)))
+        return total[self.at[1:]] - total[self.at[:-1]]
+
+    def per_text_words(self, flags: np.ndarray) -> np.ndarray:
+        """How many words of each text have their flag set."""
+        total = np.concatenate(([0], np.cumsum(flags, dtype=np.int64)))
+        return total[self.first[1:]] - total[self.first[:-1]]
 
     @property
     def text_of(self) -> np.ndarray:
@@ -79,7 +90,7 @@ def split(texts: list[bytes]) -> Words:
     starts = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1
     ends = np.flatnonzero(~blank[:-1] & blank[1:]) + 1
     at = np.concatenate(([1], 1 + np.cumsum([len(t) + 1 for t in texts], dtype=np.int64))) if texts else np.array([1])
-    return Words(joined, starts, ends, np.searchsorted(starts, at))
+    return Words(joined, starts, ends, np.searchsorted(starts, at), at)
 
 
 def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
