@@ -62,3 +62,9 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from voltrail.llm import simhash
     return simhash.digests(documents(spark, sf_dir))
+
+
+@query
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from voltrail.llm import substring_dedup
+    return substring_dedup.digests(documents(spark, sf_dir))
