@@ -68,3 +68,9 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from voltrail.llm import substring_dedup
     return substring_dedup.digests(documents(spark, sf_dir))
+
+
+@query
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from voltrail.llm import decontaminate
+    return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

@@ -7,7 +7,8 @@ prefix stores its last token and its count, and no prefix is encoded again.  A s
 pairs is the encoding, as the merges of a neighbouring pair depend on nothing else.
 
 White space starts a token and never stands inside one, so a text falls into words whose prefix
-counts add up; words repeat, and a task keeps a bounded table of them.  Truncation ("how much of
+counts add up; words and their beginnings repeat, and a task keeps a
+bounded table of prefixes.  Truncation ("how much of
 the text fits in N tokens") and budgets read the stored counts.
 
 Null or empty text: 0 tokens, nothing over any limit.
@@ -18,7 +19,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -26,13 +26,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
-KEPT = 500_000  # words that a task remembers; beyond it starts over
+KEPT = 800_000  # prefixes, words and pairs that a task remembers; beyond it starts over
+LONG = 64  # characters of a word beyond which its prefixes aren't remembered
 WORDS = re.compile(f"{SPACE}+[^{SPACE}]*").findall
-last = itemgetter(-1)
+
+
+class Totals(dict):
+    """Word -> tokens of a space and the word, made on first use."""
+
+    def __init__(self, table: PrefixCounts):
+        self.table = table
+
+    def __missing__(self, word: str) -> int:
+        text = SPACE + word
+        if len(text) > LONG:
+            return self.table.prefixes(text)[-1][0]
+        if len(self) >= KEPT:
+            self.clear()
+        n = self[word] = self.table.stored(text)[0]
+        return n
 
 
 class PrefixCounts(dict):
-    """Word (without the space before it) -> token counts of the space alone and of each prefix of the word after it."""
+    """Space and part of a word -> (token count, last token); with a prefix, all shorter ones are there."""
 
     def __init__(self, path: str):
         from sentencepiece import sentencepiece_model_pb2
@@ -50,10 +66,17 @@ class PrefixCounts(dict):
         if any(self.score[p] >= floor for p in runs) or len({self.score[p] for p in runs}) > 1:
             raise ValueError("tokens of several spaces must be merged last, and alike")
         self.run_sizes = {len(p) for p in runs}
-        self.longest = max(map(len, self.score))
         self.apart: dict[tuple[str, str], bool] = {}
-        self.whole: dict[str, bool] = {}
         self.run_state, self.run_count = [], [0]
+        #: Tokens by their characters from the last to the first; the token itself under "".
+        self.endings: dict = {}
+        for token in self.score:
+            if len(token) == 1 or self.merge(token) == [token]:  # else no text is ever encoded to it
+                node = self.endings
+                for c in reversed(token):
+                    node = node.setdefault(c, {})
+                node[""] = token
+        self.totals = Totals(self)
 
     def merge(self, text: str) -> list[str]:
         """Best score first, leftmost first among equals."""
@@ -71,35 +94,59 @@ class PrefixCounts(dict):
     def stays_apart(self, a: str, b: str) -> bool:
         known = self.apart.get((a, b))
         if known is None:
-            if len(self.apart) >= 2 * KEPT:
+            if len(self.apart) >= KEPT:
                 self.apart.clear()
             known = self.apart[a, b] = self.merge(a + b) == [a, b]
         return known
 
-    def is_whole(self, token: str) -> bool:
-        """Whether the merges ever make this token."""
-        known = self.whole.get(token)
-        if known is None:
-            known = self.whole[token] = len(token) == 1 or token in self.score and self.merge(token) == [token]
-        return known
-
-    def prefixes(self, word: str) -> tuple[list[int], list[str]]:
-        """Count and first token of every prefix of ``word``, from one character on."""
-        n, score, longest, apart = len(word), self.score, self.longest, self.apart
-        counts, lasts, firsts = [0] * (n + 1), [""] * (n + 1), [""] * (n + 1)
-        for i in range(1, n + 1):
-            for j in range(max(0, i - longest), i):
-                token = word[j:i]
-                if (token in score or j == i - 1) and self.is_whole(token):
-                    if j:
-                        pair = (lasts[j], token)
-                        ok = apart.get(pair)
-                        if not (self.stays_apart(*pair) if ok is None else ok):
-                            continue
-                    lasts[i], firsts[i] = token, firsts[j] or token
-                    counts[i] = counts[j] + (1 if token in score else len(token.encode()))
+    def extend(self, text: str, at: int, here: dict[int, tuple[int, str]]) -> None:
+        """(count, last token) of ``text[:i]`` for i > ``at`` into ``here``; shorter ones are there or stored."""
+        apart, endings = self.apart, self.endings
+        for i in range(at, len(text)):
+            node, j, options = endings, i, []
+            while j >= 0 and (node := node.get(text[j])) is not None:
+                token = node.get("")
+                if token is not None:
+                    options.append((j, token))
+                j -= 1
+            if not options or options[0][0] != i:  # a character without a token: its bytes
+                options.insert(0, (i, text[i]))
+            while True:  # exactly one of them goes on from its prefix's last token
+                j, token = options.pop()
+                if not j:
+                    count = 0
+                    break
+                before = here.get(j)
+                if before is None:
+                    before = here[j] = self[text[:j]]
+                count = before[0]
+                pair = before[1], token
+                ok = apart.get(pair)
+                if ok if ok is not None else self.stays_apart(*pair):
                     break
-        return counts[1:], firsts[1:]
+            here[i + 1] = count + (1 if token in self.score else len(token.encode())), token
+
+    def prefixes(self, text: str) -> list[tuple[int, str]]:
+        """(count, last token) of every prefix of a space and a word, from the space on; nothing is stored."""
+        here: dict[int, tuple[int, str]] = {}
+        self.extend(text, 0, here)
+        return [here[i] for i in range(1, len(text) + 1)]
+
+    def stored(self, text: str) -> tuple[int, str]:
+        """(count, last token) of ``text``, stored with those of all its prefixes."""
+        found = self.get(text)
+        if found is None:
+            if len(self) > KEPT:
+                self.clear()
+            at = len(text) - 1
+            while at and text[:at] not in self:
+                at -= 1
+            here: dict[int, tuple[int, str]] = {}
+            self.extend(text, at, here)
+            for i in range(at + 1, len(text) + 1):
+                self[text[:i]] = here[i]
+            found = here[len(text)]
+        return found
 
     def run(self, n: int) -> int:
         """Tokens of ``n`` spaces: the leftmost pair that makes a token is merged, again and again."""
@@ -116,26 +163,29 @@ class PrefixCounts(dict):
             self.run_count.append(len(state))
         return self.run_count[n]
 
-    def __missing__(self, word: str) -> bytes | tuple[int, ...]:
-        counts, _ = self.prefixes(SPACE + word)
-        kept = bytes(counts) if max(counts) < 256 else tuple(counts)
-        if len(self) >= KEPT:
-            self.clear()
-        if len(word) <= 64:
-            self[word] = kept
-        return kept
-
     def after_spaces(self, fragment: str) -> list[int]:
         """Counts of every prefix of several spaces and a word: the last space may belong to the word."""
         word = fragment.lstrip(SPACE)
         n = len(fragment) - len(word)
-        counts, firsts = self.prefixes(SPACE + word)
-        return [self.run(i) for i in range(1, n + 1)] + [self.run(n) + c - 1 if f == SPACE else self.run(n - 1) + c for c, f in zip(counts[1:], firsts[1:])]
+        out, heads = [self.run(i) for i in range(1, n + 1)], [""]
+        for i, (count, token) in enumerate(self.prefixes(SPACE + word), 1):
+            heads.append(heads[i - len(token)] or token)
+            if i > 1:
+                out.append(self.run(n) + count - 1 if heads[i] == SPACE else self.run(n - 1) + count)
+        return out
+
+    def of_word(self, fragment: str) -> list[int]:
+        if fragment.startswith(SPACE * 2):
+            return self.after_spaces(fragment)
+        if len(fragment) > LONG:
+            return [c for c, _ in self.prefixes(fragment)]
+        self.stored(fragment)
+        return [self[fragment[:i]][0] for i in range(1, len(fragment) + 1)]
 
     def count(self, text: str) -> int:
         words = text.replace(SPACE, " ").split(" ")
         if "" not in words:
-            return sum(map(last, map(self.__getitem__, words)))
+            return sum(map(self.totals.__getitem__, words))
         return int(self.every_prefix(text)[-1])
 
     def every_prefix(self, text: str) -> np.ndarray:
@@ -144,9 +194,7 @@ class PrefixCounts(dict):
             return np.zeros(1, dtype=np.int32)
         found, total = [], 0
         for f in WORDS(SPACE + text.replace(" ", SPACE)):
-            counts = self.after_spaces(f) if f.startswith(SPACE * 2) else self[f[1:]]
-            part = np.frombuffer(counts, dtype=np.uint8) if isinstance(counts, bytes) else np.array(counts)
-            found.append(part.astype(np.int32) + total)
+            found.append(np.array(self.of_word(f), dtype=np.int32) + total)
             total = int(found[-1][-1])
         out = np.concatenate(found)
         out[0] = 0  # the space that the model puts before a text isn't part of it

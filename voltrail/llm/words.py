@@ -84,9 +84,10 @@ class Words:
         return np.flatnonzero(ok)
 
 
-def split(texts: list[bytes]) -> Words:
+def split(texts: list[bytes], between: np.ndarray = SPACE) -> Words:
+    """``between`` flags the bytes that words don't hold; a space must be one of them."""
     joined = np.frombuffer(b" " + b" ".join(texts) + b" ", dtype=np.uint8)
-    blank = SPACE[joined]
+    blank = between[joined]
     starts = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1
     ends = np.flatnonzero(~blank[:-1] & blank[1:]) + 1
     at = np.concatenate(([1], 1 + np.cumsum([len(t) + 1 for t in texts], dtype=np.int64))) if texts else np.array([1])
