@@ -228,8 +228,11 @@ def scan_documents(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
 def digests(docs: DataFrame) -> DataFrame:
     found = scan_documents(docs)
     base = F.filter("found", lambda s: s["kind"].isin([r.kind for r in BASE]))
-    count = {r.kind: F.size(F.filter("found", lambda s, k=r.kind: s["kind"] == k)).cast("long") for r in BASE}
-    return found.select("doc_id", *(c.alias(f"n_{k}") for k, c in count.items()), F.sha2(spelled(base), 256).alias("base_sha256"), spelled(F.col("found")).alias("spans"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select("doc_id", *(count(r.kind).alias(f"n_{r.kind}") for r in BASE), F.sha2(spelled(base), 256).alias("base_sha256"), spelled(F.col("found")).alias("spans"))
 
 
 def redacted(text: Column, spans: Column, mask: str) -> Column:
