@@ -15,7 +15,7 @@ import pyarrow as pa
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 _rng = np.random.Generator(np.random.PCG64(20240229))
-_BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
+BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 _powers: dict[int, np.ndarray] = {}
@@ -75,7 +75,7 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
     def hashes(self) -> np.ndarray:
-        return run_hash(_BYTE[self.data], self.starts, self.ends)
+        return run_hash(BYTE[self.data], self.starts, self.ends)
 
     def windows(self, n: int) -> np.ndarray:
         """Where windows of ``n`` words within one text start."""
@@ -111,3 +111,47 @@ def parts(batches: Iterable[pa.RecordBatch], column: str, limit: int = 4 << 20)
             size += len(t)
         if len(texts) > at:
             yield batch.slice(at), texts[at:]
+
+
+class Table:
+    """64-bit key -> non-negative number, looked up for many keys at once; -1 where there is none."""
+
+    EMPTY = np.uint64(2**64 - 1)
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        bits = max(4, int(4 * len(keys)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.keys = np.full(1 << bits, self.EMPTY, dtype=np.uint64)
+        self.values = np.full(1 << bits, -1, dtype=np.int64)
+        keys = keys.astype(np.uint64)
+        left, slot = np.arange(len(keys)), self.slots(keys)
+        while len(left):
+            free = self.keys[slot[left]] == self.EMPTY
+            _, one = np.unique(slot[left[free]], return_index=True)
+            put = left[free][one]
+            self.keys[slot[put]], self.values[slot[put]] = keys[put], values[put]
+            left = np.setdiff1d(left, put)
+            slot[left] = (slot[left] + 1) & (len(self.keys) - 1)
+
+    def slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * _BASE) >> self.shift).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        slot = self.slots(keys)
+        there = self.keys[slot]
+        out = np.where(there == keys, self.values[slot], -1)
+        left = np.flatnonzero((there != keys) & (there != self.EMPTY))
+        slot = slot[left]
+        while len(left):
+            slot = (slot + 1) & (len(self.keys) - 1)
+            there = self.keys[slot]
+            same = there == keys[left]
+            out[left[same]] = self.values[slot[same]]
+            go = ~same & (there != self.EMPTY)
+            left, slot = left[go], slot[go]
+        return out
+
+
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The positions of many stretches, one after another."""
+    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
