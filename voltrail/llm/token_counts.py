@@ -7,9 +7,9 @@ prefix stores its last token and its count, and no prefix is encoded again.  A s
 pairs is the encoding, as the merges of a neighbouring pair depend on nothing else.
 
 White space starts a token and never stands inside one, so a text falls into words whose prefix
-counts add up; words and their beginnings repeat, and a task keeps a
-bounded table of prefixes.  Truncation ("how much of
-the text fits in N tokens") and budgets read the stored counts.
+counts add up; each different word of a batch is done once, and all of them side by side, a
+character a round.  Truncation ("how much of the text fits in N tokens") and budgets read the
+stored counts.
 
 Null or empty text: 0 tokens, nothing over any limit.
 """
@@ -25,30 +25,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voltrail.llm import words
+from voltrail.llm.words import Table
+
 SPACE = "▁"
-KEPT = 800_000  # prefixes, words and pairs that a task remembers; beyond it starts over
-LONG = 64  # characters of a word beyond which its prefixes aren't remembered
+LONG = 48  # characters of a word beyond which it is done on its own
+UNKNOWN = -1  # the last token of a prefix that ends with a character without a token
+WIDER, UTF8 = np.array([0x80, 0x800, 0x10000]), np.array([1, 2, 3, 4])
 WORDS = re.compile(f"{SPACE}+[^{SPACE}]*").findall
 
 
-class Totals(dict):
-    """Word -> tokens of a space and the word, made on first use."""
-
-    def __init__(self, table: PrefixCounts):
-        self.table = table
-
-    def __missing__(self, word: str) -> int:
-        text = SPACE + word
-        if len(text) > LONG:
-            return self.table.prefixes(text)[-1][0]
-        if len(self) >= KEPT:
-            self.clear()
-        n = self[word] = self.table.stored(text)[0]
-        return n
-
-
-class PrefixCounts(dict):
-    """Space and part of a word -> (token count, last token); with a prefix, all shorter ones are there."""
+class PrefixCounts:
+    """Token counts of the prefixes of texts."""
 
     def __init__(self, path: str):
         from sentencepiece import sentencepiece_model_pb2
@@ -66,17 +54,27 @@ class PrefixCounts(dict):
         if any(self.score[p] >= floor for p in runs) or len({self.score[p] for p in runs}) > 1:
             raise ValueError("tokens of several spaces must be merged last, and alike")
         self.run_sizes = {len(p) for p in runs}
-        self.apart: dict[tuple[str, str], bool] = {}
+        if any(c not in self.score for piece in self.score for c in piece):
+            raise ValueError("every character of a token must be a token")
+        #: Tokens that texts are ever encoded to.
+        self.tokens = [t for t in self.score if len(t) == 1 or self.merge(t) == [t]]
+        self.number = {t: i for i, t in enumerate(self.tokens)}
+        # Tokens read from the last character to the first: (node, character) -> node, and the token that ends at a node.
+        step, token_at = {}, [-1]
+        for i, token in enumerate(self.tokens):
+            node = 0
+            for c in reversed(token):
+                node = step.setdefault(node << 21 | ord(c), len(token_at))
+                if node == len(token_at):
+                    token_at.append(-1)
+            token_at[node] = i
+        self.step = step
+        self.steps = Table(np.array(list(step), dtype=np.uint64), np.array(list(step.values())))
+        self.token_at = np.array(token_at)
+        self.apart: dict[int, int] = {}  # (token, token) -> whether the two stay apart
+        self.known = Table(np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64))
+        self.n_known = 0
         self.run_state, self.run_count = [], [0]
-        #: Tokens by their characters from the last to the first; the token itself under "".
-        self.endings: dict = {}
-        for token in self.score:
-            if len(token) == 1 or self.merge(token) == [token]:  # else no text is ever encoded to it
-                node = self.endings
-                for c in reversed(token):
-                    node = node.setdefault(c, {})
-                node[""] = token
-        self.totals = Totals(self)
 
     def merge(self, text: str) -> list[str]:
         """Best score first, leftmost first among equals."""
@@ -91,62 +89,76 @@ class PrefixCounts(dict):
                 return parts
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
 
-    def stays_apart(self, a: str, b: str) -> bool:
-        known = self.apart.get((a, b))
+    def stays_apart(self, a: int, b: int) -> int:
+        pair = a << 20 | b
+        known = self.apart.get(pair)
         if known is None:
-            if len(self.apart) >= KEPT:
-                self.apart.clear()
-            known = self.apart[a, b] = self.merge(a + b) == [a, b]
+            x, y = self.tokens[a], self.tokens[b]
+            known = self.apart[pair] = int(self.merge(x + y) == [x, y])
         return known
 
-    def extend(self, text: str, at: int, here: dict[int, tuple[int, str]]) -> None:
-        """(count, last token) of ``text[:i]`` for i > ``at`` into ``here``; shorter ones are there or stored."""
-        apart, endings = self.apart, self.endings
-        for i in range(at, len(text)):
-            node, j, options = endings, i, []
-            while j >= 0 and (node := node.get(text[j])) is not None:
-                token = node.get("")
-                if token is not None:
-                    options.append((j, token))
-                j -= 1
-            if not options or options[0][0] != i:  # a character without a token: its bytes
-                options.insert(0, (i, text[i]))
-            while True:  # exactly one of them goes on from its prefix's last token
-                j, token = options.pop()
-                if not j:
-                    count = 0
-                    break
-                before = here.get(j)
-                if before is None:
-                    before = here[j] = self[text[:j]]
-                count = before[0]
-                pair = before[1], token
-                ok = apart.get(pair)
-                if ok if ok is not None else self.stays_apart(*pair):
+    def pairs_apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        pair = a.astype(np.uint64) << np.uint64(20) | b.astype(np.uint64)
+        out = self.known.get(pair)
+        left = np.flatnonzero(out < 0)
+        if len(left):
+            new, of = np.unique(pair[left], return_inverse=True)
+            out[left] = np.array([self.stays_apart(p >> 20, p & 0xFFFFF) for p in new.tolist()])[of]
+            if len(self.apart) > 1.25 * self.n_known + 1024:
+                self.n_known = len(self.apart)
+                self.known = Table(np.array(list(self.apart), dtype=np.uint64), np.array(list(self.apart.values())))
+        return out == 1
+
+    def word_prefixes(self, chars: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Counts of every prefix of many words (code points, each with the space before it), side by side; as long as ``chars``."""
+        counts, lasts = np.zeros(len(chars), dtype=np.int32), np.full(len(chars), UNKNOWN, dtype=np.int64)
+        order = np.argsort(-sizes, kind="stable")
+        starts, sizes = starts[order], sizes[order]
+        for i in range(int(sizes[0]) if len(sizes) else 0):
+            at = starts[:np.searchsorted(-sizes, -i, side="left")] + i
+            node = np.zeros(len(at), dtype=np.int64)
+            for back in range(i + 1):
+                if not len(at):
                     break
-            here[i + 1] = count + (1 if token in self.score else len(token.encode())), token
+                node = self.steps.get(node.astype(np.uint64) << np.uint64(21) | chars[at - back].astype(np.uint64))
+                there = node >= 0
+                if not back:  # a character without a token: its bytes
+                    odd = at[~there]
+                    counts[odd] = (counts[odd - 1] if i else 0) + UTF8[np.searchsorted(WIDER, chars[odd], side="right")]
+                at, node = at[there], node[there]
+                token = self.token_at[node]
+                ends = np.flatnonzero(token >= 0)
+                if i > back:
+                    before = lasts[at[ends] - back - 1]
+                    known = np.flatnonzero(before != UNKNOWN)
+                    ok = np.ones(len(ends), dtype=bool)
+                    ok[known] = self.pairs_apart(before[known], token[ends][known])
+                    ends = ends[ok]
+                counts[at[ends]] = 1 + (counts[at[ends] - back - 1] if i > back else 0)
+                lasts[at[ends]] = token[ends]
+                going = np.ones(len(at), dtype=bool)
+                going[ends] = False
+                at, node = at[going], node[going]
+        return counts
 
     def prefixes(self, text: str) -> list[tuple[int, str]]:
-        """(count, last token) of every prefix of a space and a word, from the space on; nothing is stored."""
-        here: dict[int, tuple[int, str]] = {}
-        self.extend(text, 0, here)
-        return [here[i] for i in range(1, len(text) + 1)]
-
-    def stored(self, text: str) -> tuple[int, str]:
-        """(count, last token) of ``text``, stored with those of all its prefixes."""
-        found = self.get(text)
-        if found is None:
-            if len(self) > KEPT:
-                self.clear()
-            at = len(text) - 1
-            while at and text[:at] not in self:
-                at -= 1
-            here: dict[int, tuple[int, str]] = {}
-            self.extend(text, at, here)
-            for i in range(at + 1, len(text) + 1):
-                self[text[:i]] = here[i]
-            found = here[len(text)]
-        return found
+        """(count, last token) of every prefix of a space and one word of any length."""
+        here: list[tuple[int, str]] = [(0, "")]
+        for i, c in enumerate(text):
+            node, j, options = 0, i, []
+            while j >= 0 and (node := self.step.get(node << 21 | ord(text[j]), 0)):
+                if self.token_at[node] >= 0:
+                    options.append((j, int(self.token_at[node])))
+                j -= 1
+            if not options:
+                here.append((here[i][0] + len(c.encode()), c))
+                continue
+            for j, token in reversed(options):
+                before = self.number.get(here[j][1], -1)
+                if not j or before < 0 or self.stays_apart(before, token):
+                    break
+            here.append((here[j][0] + 1, self.tokens[token]))
+        return here[1:]
 
     def run(self, n: int) -> int:
         """Tokens of ``n`` spaces: the leftmost pair that makes a token is merged, again and again."""
@@ -175,18 +187,42 @@ class PrefixCounts(dict):
         return out
 
     def of_word(self, fragment: str) -> list[int]:
-        if fragment.startswith(SPACE * 2):
-            return self.after_spaces(fragment)
-        if len(fragment) > LONG:
-            return [c for c, _ in self.prefixes(fragment)]
-        self.stored(fragment)
-        return [self[fragment[:i]][0] for i in range(1, len(fragment) + 1)]
-
-    def count(self, text: str) -> int:
-        words = text.replace(SPACE, " ").split(" ")
-        if "" not in words:
-            return sum(map(self.totals.__getitem__, words))
-        return int(self.every_prefix(text)[-1])
+        return self.after_spaces(fragment) if fragment.startswith(SPACE * 2) else [c for c, _ in self.prefixes(fragment)]
+
+    def count_all(self, texts: list[str], limit: int) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens of each text, characters of its longest prefix of at most ``limit`` tokens); each different word is done once."""
+        total, fits = np.zeros(len(texts), dtype=np.int64), np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+        spaced = [t.replace(SPACE, " ") for t in texts]
+        alone = np.array([bool(t) and (t[0] == " " or t[-1] == " " or "  " in t) for t in spaced], dtype=bool)
+        for i in np.flatnonzero(alone):
+            counts = self.every_prefix(texts[i])
+            total[i], fits[i] = counts[-1], np.flatnonzero(counts <= limit)[-1]
+        plain = np.array([i for i, t in enumerate(spaced) if t and not alone[i]], dtype=np.int64)
+        chars = np.frombuffer("".join(" " + spaced[i] for i in plain).encode("utf-32-le"), dtype=np.uint32).copy()
+        chars[chars == 32] = ord(SPACE)
+        starts = np.flatnonzero(chars == ord(SPACE))
+        if not len(starts):
+            return total, fits
+        ends = np.concatenate((starts[1:], [len(chars)]))
+        _, one, of = np.unique(words.run_hash(words.mix(chars.astype(np.uint64)), starts, ends), return_index=True, return_inverse=True)
+        s, size = starts[one], (ends - starts)[one]
+        short = size <= LONG
+        counts = self.word_prefixes(chars, s[short], size[short])
+        for a, n in zip(s[~short].tolist(), size[~short].tolist()):
+            counts[a:a + n] = [c for c, _ in self.prefixes(chars[a:a + n].tobytes().decode("utf-32-le"))]
+        tokens = counts[s + size - 1].astype(np.int64)[of]
+        text_at = np.cumsum(fits[plain] + 1) - fits[plain] - 1
+        first = np.searchsorted(starts, text_at)
+        total[plain] = np.add.reduceat(tokens, first)
+        for k in np.flatnonzero(total[plain] > limit).tolist():
+            before = np.cumsum(tokens[first[k]:first[k + 1] if k + 1 < len(first) else None])
+            w = int(np.searchsorted(before, limit, side="left"))  # the word in which the limit is reached
+            base = int(before[w - 1]) if w else 0
+            u = of[first[k] + w]
+            inside = np.flatnonzero(base + counts[s[u]:s[u] + size[u]] <= limit)
+            there = starts[first[k] + w] - text_at[k] + (inside[-1] + 1 if len(inside) else 0) - 1
+            fits[plain[k]] = max(0, there)
+        return total, fits
 
     def every_prefix(self, text: str) -> np.ndarray:
         """Token counts of ``text[:0]``, ``text[:1]``, .. ``text``."""
@@ -230,12 +266,9 @@ def token_counts(text: Column, path: str, limit: int) -> Column:
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table = load(path)
         for column in batches:
-            texts = [t or "" for t in column.to_pylist()]
-            n = np.fromiter(map(table.count, texts), dtype=np.int64, count=len(texts))
-            fits = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
-            for i in np.flatnonzero(n > limit):
-                fits[i] = np.flatnonzero(table.every_prefix(texts[i]) <= limit)[-1]
-            yield pa.StructArray.from_arrays([pa.array(n), pa.array(n > limit), pa.array(fits)], ["n_tokens", "over_limit", "fitting_chars"])
+            for _, texts in words.parts([pa.RecordBatch.from_arrays([column], ["t"])], "t"):
+                n, fits = table.count_all([t.decode() for t in texts], limit)
+                yield pa.StructArray.from_arrays([pa.array(n), pa.array(n > limit), pa.array(fits)], ["n_tokens", "over_limit", "fitting_chars"])
 
     return count(text)
 
