@@ -74,3 +74,9 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from voltrail.llm import decontaminate
     return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from voltrail.llm import license_scan
+    return license_scan.digests(documents(spark, sf_dir))
