@@ -80,3 +80,9 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     from voltrail.llm import license_scan
     return license_scan.digests(documents(spark, sf_dir))
+
+
+@query
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from voltrail.llm import html_extract
+    return html_extract.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
