@@ -86,3 +86,9 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     from voltrail.llm import html_extract
     return html_extract.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+@query
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from voltrail.llm import warc_zip
+    return warc_zip.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
