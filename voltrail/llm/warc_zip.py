@@ -86,7 +86,7 @@ def directory(f, size: int) -> dict[str, tuple[int, int]]:
     """Name -> (offset, size) of the data of each stored member, from the file's end and its directory alone."""
     tail_at = max(0, size - 65557)  # the last record and the longest comment
     tail = read_at(f, tail_at, size - tail_at)
-    end = tail.rfind(b"PK\5\6")
+    end = tail.rfind(b"PK\5\6", 0, len(tail) - 18)
     while end >= 0 and end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail):
         end = tail.rfind(b"PK\5\6", 0, end)  # these bytes stand in the comment
     if end < 0:
