@@ -160,29 +160,41 @@ def round4(col: Column) -> Column:
 
 # ----------------------------------------------------------------------------- job
 
-def inputs(lines: DataFrame, stations: DataFrame, points: DataFrame,
-           readings: DataFrame, status: DataFrame) -> DataFrame:
-    """Per (managed station, tick with an upload): every formula input.
+def analog_inputs(lines: DataFrame, stations: DataFrame, points: DataFrame, readings: DataFrame,
+                  lo: int | None = None, hi: int | None = None) -> DataFrame:
+    """Per managed station and active tick (within lo..hi): every formula input but the run status.
 
-    Columns: station_abbr, seq, area, m_*, c_*, e_ALL_ZNDB, on_*.
+    Columns: station_abbr, seq, area, has, m_*, c_*, e_ALL_ZNDB.  The readings are scanned once:
+    their class sums are persisted and read by the grid and by the scores.
     """
     managed = P.managed_stations(lines, stations).select("station_abbr", "area")
     classified = P.classify_points(points, stations)
-    # Output gate first, so unmanaged stations never reach the aggregate.
-    gated = join_dimension(R.with_seq(readings), managed.select("station_abbr"), "station_abbr", how="left_semi",
-                           bound_by=managed)
-    sums = join_dimension(R.tick_sums(gated, classified), managed, "station_abbr")
-    sizes = P.class_sizes(classified, MEAN_CLASSES)
-    x = R.class_means(sums, sizes, bound_by=classified)
+    sums = R.tick_sums(readings, classified).persist()
+    x = R.on_grid(R.tick_grid(managed, sums, lo, hi), sums)
+    x = R.class_means(x, P.class_sizes(classified, MEAN_CLASSES))
     x = R.meter_deltas(x, 1, "c")
-    x = R.meter_deltas(x, DAY_TICKS, "e", classes=("ALL_ZNDB",))
-    flags = S.run_flags(status, classified, x.select("station_abbr", "seq"))
-    return x.join(flags, ["station_abbr", "seq"])
+    return R.meter_deltas(x, DAY_TICKS, "e", classes=("ALL_ZNDB",))
+
+
+def run_inputs(x: DataFrame, stations: DataFrame, points: DataFrame, status: DataFrame) -> DataFrame:
+    """``x`` with on_*: the status log is scanned once, and only by what needs the run status."""
+    classified = P.classify_points(points, stations)
+    return S.with_flags(x, S.run_flags(status, classified, x.select("station_abbr", "seq")))
+
+
+def inputs(lines: DataFrame, stations: DataFrame, points: DataFrame, readings: DataFrame, status: DataFrame,
+           lo: int | None = None, hi: int | None = None) -> DataFrame:
+    """Per managed station and active tick: every formula input."""
+    return run_inputs(analog_inputs(lines, stations, points, readings, lo, hi), stations, points, status)
+
+
+#: Scores that need no run status.
+ANALOG_SCORES = ("d1", "d4")
 
 
 def scores(x: DataFrame, p: Params, names=DAY_COLUMNS) -> DataFrame:
     """(station_abbr, seq, <score>...) unrounded."""
-    x = with_intermediates(x, p)
+    x = x.withColumn("zt", room_temp()) if set(names) <= set(ANALOG_SCORES) else with_intermediates(x, p)
     return x.select("station_abbr", "seq", *[SCORES[n](p).alias(n) for n in names])
 
 

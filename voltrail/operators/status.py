@@ -34,7 +34,7 @@ def latest_state(status: DataFrame, keys=("station_abbr", "id"), ts: str = "ts",
 
     ``max(ts)`` per key is partial-aggregated, then joined back on
     (keys, ts): the join hashes on the timestamp too, so a hot key does not
-    land in one task.
+    land in one task, and how large the keys are is left to the join.
     """
     s = status
     if lo is not None:
@@ -43,7 +43,7 @@ def latest_state(status: DataFrame, keys=("station_abbr", "id"), ts: str = "ts",
         s = s.filter(F.col(ts) < hi)
     keys = list(keys)
     mx = s.groupBy(*keys).agg(F.max(ts).alias(ts))
-    return s.join(maybe_broadcast(mx), keys + [ts], "left_semi")
+    return s.join(mx, keys + [ts], "left_semi")
 
 
 def run_points(classified: DataFrame) -> DataFrame:
@@ -52,9 +52,9 @@ def run_points(classified: DataFrame) -> DataFrame:
             .select("station_abbr", F.col("control_id").alias("id"), "cls"))
 
 
-def bucket_latest(status: DataFrame, ids: DataFrame, bound_by: DataFrame | None = None) -> DataFrame:
+def bucket_latest(status: DataFrame, ids: DataFrame) -> DataFrame:
     """(station_abbr, id, seq, m_ts, m_on) per 20-minute bucket of the log."""
-    s = status.join(maybe_broadcast(ids, bound_by=bound_by), ["station_abbr", "id"], "left_semi")
+    s = status.join(maybe_broadcast(ids), ["station_abbr", "id"], "left_semi")
     return (
         s.select("station_abbr", "id", tick_seq("ts").alias("seq"),
                  F.struct(F.col("ts").alias("ts"), (F.col("value") == "1").cast("int").alias("on")).alias("m"))
@@ -63,11 +63,10 @@ def bucket_latest(status: DataFrame, ids: DataFrame, bound_by: DataFrame | None
     )
 
 
-def point_on_at(status: DataFrame, ids: DataFrame, grid: DataFrame, bound_by: DataFrame | None = None) -> DataFrame:
+def point_on_at(status: DataFrame, ids: DataFrame, grid: DataFrame) -> DataFrame:
     """(station_abbr, id, seq, on) for every grid tick and every listed id of the station."""
-    buckets = bucket_latest(status, ids, bound_by).withColumn("kind", F.lit(1))
-    evals = join_dimension(grid.select("station_abbr", "seq"), ids, "station_abbr",
-                           bound_by=bound_by).withColumn("kind", F.lit(0))
+    buckets = bucket_latest(status, ids).withColumn("kind", F.lit(1))
+    evals = join_dimension(grid.select("station_abbr", "seq"), ids, "station_abbr").withColumn("kind", F.lit(0))
     u = evals.unionByName(buckets, allowMissingColumns=True)
     w = (Window.partitionBy("station_abbr", "id").orderBy("seq", "kind")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -82,17 +81,20 @@ def point_on_at(status: DataFrame, ids: DataFrame, grid: DataFrame, bound_by: Da
 
 def run_flags(status: DataFrame, classified: DataFrame, grid: DataFrame,
               classes: tuple[str, ...] = RUN_CLASSES) -> DataFrame:
-    """(station_abbr, seq, on_<C> ...) — any point of C latest-'1' in (t−24h, t) (E-3)."""
+    """(station_abbr, seq, on_<C> ...): any point of C latest-'1' in (t-24h, t) (E-3).
+
+    Stations without any run point have no row; ``with_flags`` takes them as off."""
     rp = run_points(classified).filter(F.col("cls").isin(*classes))
-    ids = rp.select("station_abbr", "id").distinct()
-    on = point_on_at(status, ids, grid, bound_by=classified)
-    j = join_dimension(on, rp, ["station_abbr", "id"], bound_by=classified)
-    flags = j.groupBy("station_abbr", "seq").agg(
-        *[F.max(F.when(F.col("cls") == c, F.col("on"))).alias(f"on_{c}") for c in classes])
-    # Grid ticks of stations without any run point still get all-off flags.
-    out = grid.select("station_abbr", "seq").join(flags, ["station_abbr", "seq"], "left")
-    return out.select("station_abbr", "seq",
-                      *[F.coalesce(F.col(f"on_{c}"), F.lit(0)).cast("double").alias(f"on_{c}") for c in classes])
+    on = point_on_at(status, rp.select("station_abbr", "id").distinct(), grid)
+    j = join_dimension(on, rp, ["station_abbr", "id"])
+    return j.groupBy("station_abbr", "seq").agg(
+        *[F.coalesce(F.max(F.when(F.col("cls") == c, F.col("on"))), F.lit(0)).cast("double").alias(f"on_{c}") for c in classes])
+
+
+def with_flags(x: DataFrame, flags: DataFrame, classes: tuple[str, ...] = RUN_CLASSES) -> DataFrame:
+    """``x`` with its run flags, off where there are none."""
+    out = x.join(flags, ["station_abbr", "seq"], "left")
+    return out.withColumns({f"on_{c}": F.coalesce(F.col(f"on_{c}"), F.lit(0.0)) for c in classes})
 
 
 def status_of_class(status: DataFrame, run_pts: DataFrame) -> DataFrame:

@@ -1,10 +1,11 @@
 """Fact-to-dimension joins with a checked broadcast.
 
-A dimension is broadcast only when a bounded count proves it small
-(``limit(max_rows + 1).count()`` reads at most ``max_rows + 1`` rows); above the
-bound the join falls back to a shuffle join and AQE (skew split, coalescing)
-takes over.  Fixed literal tables (the 26 patterns) are broadcast directly by
-their callers: their size is a constant.
+A dimension is broadcast only when the tables it is derived from are small in bytes, as their file
+listing says (the leaves of its plan).  That takes no job and remembers nothing, so a table that
+has grown is seen at the next plan.  A dimension built here multiplies its tables by a constant at
+most (a station by its point catalogue).  Above the bound the join is a shuffle join, and AQE
+(skew split, coalescing) takes over.  Fixed literal tables (the 26 patterns) are broadcast
+directly by their callers: their size is a constant.
 """
 
 from __future__ import annotations
@@ -12,38 +13,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a narrow dimension that are safe to ship to every executor.  A
-# metro network has O(10^3) stations and O(10^6) points.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+#: Bytes of the source tables of a dimension that is shipped to every executor.
+MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 
 
-_CHECKED: dict[tuple[int, int], bool] = {}
+def source_bytes(df: DataFrame) -> int:
+    """Bytes of the tables that ``df`` reads; those of literal rows are counted as well."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
-def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def is_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    return source_bytes(df) <= max_bytes
 
-    The answer is remembered per (plan, bound) by the plan's semantic hash, so
-    a dimension used by several joins of one job is counted once.
-    """
-    key = (df.semanticHash(), max_rows)
-    if key not in _CHECKED:
-        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _CHECKED[key]
 
+def maybe_broadcast(dim: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint when ``dim`` is proven small."""
+    return F.broadcast(dim) if is_small(dim, max_bytes) else dim
 
-def maybe_broadcast(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                    bound_by: DataFrame | None = None) -> DataFrame:
-    """Broadcast hint when ``dim`` is proven small.
 
-    ``bound_by``: a frame with at least as many rows as ``dim`` (``dim`` is a
-    filter, projection, distinct or aggregate of it); checking it once covers
-    every dimension derived from it.
-    """
-    return F.broadcast(dim) if is_small(dim if bound_by is None else bound_by, max_rows) else dim
-
-
-def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-                   max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, bound_by: DataFrame | None = None) -> DataFrame:
+def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner", max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """``fact.join(dim, on, how)`` broadcasting ``dim`` only behind a size check."""
-    return fact.join(maybe_broadcast(dim, max_rows, bound_by), on, how)
+    return fact.join(maybe_broadcast(dim, max_bytes), on, how)

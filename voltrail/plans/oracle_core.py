@@ -63,20 +63,21 @@ GROUP BY r.station_abbr, r.seq"""
 
 
 def _x_sql() -> str:
+    both = "s.seq IS NOT NULL AND {p}.seq IS NOT NULL"
     means = ",\n ".join(
-        f"CASE WHEN COALESCE(z.n_{cl}, 0) > 0 THEN s.s_{cl} / z.n_{cl} ELSE {D(0)} END AS m_{cl}" for cl in MEAN_CLASSES)
+        f"CASE WHEN COALESCE(z.n_{cl}, 0) > 0 AND s.seq IS NOT NULL THEN s.s_{cl} / z.n_{cl} ELSE {D(0)} END AS m_{cl}" for cl in MEAN_CLASSES)
     d20 = ",\n ".join(
-        f"CASE WHEN p1.seq IS NOT NULL THEN s.s_{cl} - p1.s_{cl} ELSE {D(0)} END AS c_{cl}" for cl in METER_CLASSES)
+        f"CASE WHEN {both.format(p='p1')} THEN s.s_{cl} - p1.s_{cl} ELSE {D(0)} END AS c_{cl}" for cl in METER_CLASSES)
     d24 = ",\n ".join(
-        f"CASE WHEN p72.seq IS NOT NULL THEN s.s_{cl} - p72.s_{cl} ELSE {D(0)} END AS e_{cl}" for cl in METER_CLASSES)
-    return f"""SELECT s.station_abbr, s.seq, m.area,
+        f"CASE WHEN {both.format(p='p72')} THEN s.s_{cl} - p72.s_{cl} ELSE {D(0)} END AS e_{cl}" for cl in METER_CLASSES)
+    return f"""SELECT g.station_abbr, g.seq, g.area,
  {means},
  {d20},
  {d24}
-FROM sums s JOIN managed m ON m.station_abbr = s.station_abbr
-LEFT JOIN sizes z ON z.station_abbr = s.station_abbr
-LEFT JOIN sums p1 ON p1.station_abbr = s.station_abbr AND p1.seq = s.seq - 1
-LEFT JOIN sums p72 ON p72.station_abbr = s.station_abbr AND p72.seq = s.seq - 72"""
+FROM grid g LEFT JOIN sums s ON s.station_abbr = g.station_abbr AND s.seq = g.seq
+LEFT JOIN sizes z ON z.station_abbr = g.station_abbr
+LEFT JOIN sums p1 ON p1.station_abbr = g.station_abbr AND p1.seq = g.seq - 1
+LEFT JOIN sums p72 ON p72.station_abbr = g.station_abbr AND p72.seq = g.seq - 72"""
 
 
 def _flags_sql() -> str:
@@ -128,7 +129,10 @@ FROM fx_point p JOIN fx_station s ON p.line_name = s.line_name AND p.station_nam
 JOIN pat ON p.point_name LIKE pat.pattern""", ("fx_point", "fx_station", "pat")),
     "sums": (_sums_sql(), ("fx_reading", "classified", "managed")),
     "sizes": (_sizes_sql(), ("classified",)),
-    "x": (_x_sql(), ("sums", "managed", "sizes")),
+    "active": ("""SELECT DISTINCT seq + k AS seq FROM (SELECT DISTINCT seq FROM fx_reading), (VALUES (0), (1), (72)) AS o(k)""",
+               ("fx_reading",)),
+    "grid": ("SELECT m.station_abbr, m.area, a.seq FROM managed m, active a", ("managed", "active")),
+    "x": (_x_sql(), ("sums", "grid", "sizes")),
     "runp": (f"""SELECT station_abbr, control_id AS id, cls FROM classified
 WHERE cls IN ({", ".join(repr(c) for c in RUN_CLASSES)})""", ("classified",)),
     "cand": ("""SELECT g.station_abbr, g.seq, r.id, st.ts, st.value

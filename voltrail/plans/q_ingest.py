@@ -26,7 +26,7 @@ def drop_folder(spark, sf_dir) -> str:
         lines = DF.export_lines(w["lines"], w["stations"], fx.fx_point(spark, sf_dir), w["readings"], w["status"])
         DF.write_files(lines, folder)
         return folder
-    return _memo((id(spark), sf_dir, "drop"), make)
+    return _memo(spark, (sf_dir, "drop"), make)
 
 
 def routed(spark, sf_dir):

@@ -19,19 +19,17 @@ from voltrail.plans.registry import register
 P0 = FIXTURE_PARAMS
 
 
-_MEMO: dict[tuple, object] = {}
-
-
-def _memo(key: tuple, make):
-    """DataFrames are immutable lazy plans: reuse one per (session, input, kind)
-    so several queries over the same tables build their plans once."""
-    if key not in _MEMO:
-        _MEMO[key] = make()
-    return _MEMO[key]
+def _memo(spark: SparkSession, key: tuple, make):
+    """DataFrames are immutable lazy plans: several queries over the same tables build theirs once.
+    They are kept on the session, so they end with it."""
+    plans = spark.__dict__.setdefault("_voltrail_plans", {})
+    if key not in plans:
+        plans[key] = make()
+    return plans[key]
 
 
 def world(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return _memo((id(spark), sf_dir, "world"), lambda: _world(spark, sf_dir))
+    return _memo(spark, (sf_dir, "world"), lambda: _world(spark, sf_dir))
 
 
 def _world(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -44,12 +42,22 @@ def _world(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+def _analog(spark, sf_dir) -> DataFrame:
+    def make():
+        w = world(spark, sf_dir)
+        return K.analog_inputs(w["lines"], w["stations"], w["points"], w["readings"])
+    return _memo(spark, (sf_dir, "analog"), make)
+
+
 def _inputs(spark, sf_dir) -> DataFrame:
-    return _memo((id(spark), sf_dir, "inputs"), lambda: K.inputs(**world(spark, sf_dir)))
+    def make():
+        w = world(spark, sf_dir)
+        return K.run_inputs(_analog(spark, sf_dir), w["stations"], w["points"], w["status"])
+    return _memo(spark, (sf_dir, "inputs"), make)
 
 
 def _rs(spark, sf_dir) -> DataFrame:
-    return _memo((id(spark), sf_dir, "rs"), lambda: K.kpi_real_status(_inputs(spark, sf_dir), P0))
+    return _memo(spark, (sf_dir, "rs"), lambda: K.kpi_real_status(_inputs(spark, sf_dir), P0))
 
 
 RS = kpi_rs_cte(P0)
@@ -86,23 +94,18 @@ def q_id_list(spark, sf_dir):
 
 @register("class_mean", with_ctes(present("x", [f"m_{c}" for c in MEAN_CLASSES]), ("x",)), "E-5", "D-4")
 def q_class_mean(spark, sf_dir):
-    return K.present(_inputs(spark, sf_dir), [f"m_{c}" for c in MEAN_CLASSES])
+    return K.present(_analog(spark, sf_dir), [f"m_{c}" for c in MEAN_CLASSES])
 
 
 @register("meter_delta_20m", with_ctes(present("x", [f"c_{c}" for c in METER_CLASSES]), ("x",)),
           "E-4", "D-6", "C-9", "F-2")
 def q_meter_delta_20m(spark, sf_dir):
-    return K.present(_inputs(spark, sf_dir), [f"c_{c}" for c in METER_CLASSES])
+    return K.present(_analog(spark, sf_dir), [f"c_{c}" for c in METER_CLASSES])
 
 
 @register("meter_delta_24h", with_ctes(present("x", [f"e_{c}" for c in METER_CLASSES]), ("x",)), "E-4", "F-2")
 def q_meter_delta_24h(spark, sf_dir):
-    w = world(spark, sf_dir)
-    managed = P.managed_stations(w["lines"], w["stations"]).select("station_abbr")
-    classified = P.classify_points(w["points"], w["stations"])
-    gated = R.with_seq(w["readings"]).join(F.broadcast(managed), "station_abbr", "left_semi")
-    sums = R.tick_sums(gated, classified)
-    return K.present(R.meter_deltas(sums, 72, "e"), [f"e_{c}" for c in METER_CLASSES])
+    return K.present(R.meter_deltas(_analog(spark, sf_dir), 72, "e"), [f"e_{c}" for c in METER_CLASSES])
 
 
 @register("run_status", with_ctes(present("xin", [f"on_{c}" for c in RUN_CLASSES]), ("xin",)), "E-3", "F-3")
@@ -119,7 +122,7 @@ def _formula_query(col_sql: str, name: str):
 
 @register("air_yield", _formula_query(F_SQL["air"], "air_yield"), "J-2")
 def q_air_yield(spark, sf_dir):
-    x = _inputs(spark, sf_dir).withColumn("air_yield", K.air_yield(P0))
+    x = _analog(spark, sf_dir).withColumn("air_yield", K.air_yield(P0))
     return K.present(x, ["air_yield"])
 
 
@@ -133,14 +136,15 @@ def q_cooling_output(spark, sf_dir):
 def q_water_indicator(spark, sf_dir):
     cons = F.col("c_LSJZ_ZNDB")
     w = K.water_indicator(P0, cons, F.col("m_LD_yield"), F.col("m_LD_OT"), F.col("m_LD_IT"))
-    x = _inputs(spark, sf_dir).withColumn("water_ld", F.when(cons == 0, F.lit(0.0)).otherwise(w))
+    x = _analog(spark, sf_dir).withColumn("water_ld", F.when(cons == 0, F.lit(0.0)).otherwise(w))
     return K.present(x, ["water_ld"])
 
 
 def _score_query(key: str, col: str, *ids: str):
     @register(key, _formula_query(F_SQL[col], col), *ids)
     def q(spark, sf_dir):
-        return K.present(K.scores(_inputs(spark, sf_dir), P0, (col,)), [col])
+        x = _analog(spark, sf_dir) if col in K.ANALOG_SCORES else _inputs(spark, sf_dir)
+        return K.present(K.scores(x, P0, (col,)), [col])
     q.__name__ = f"q_{key}"
     return q
 
