@@ -13,7 +13,8 @@ the item's length.  A window is dropped at the first symbol that no item has, so
 one look-up a repetition.  The number of repetitions is what a simulation with the largest allowed
 number of random edits on the items themselves needs for ``recall``.
 
-Every candidate is verified by the exact word edit distance between the item and the best stretch
+A candidate without any of the item's k + 1 rarest words (k: the edits allowed) needs more edits
+than that and is dropped.  Every other one is verified by the exact word edit distance between the item and the best stretch
 around the window, so nothing is reported that isn't there.
 
 Items go to tasks in blocks of bounded size; a larger benchmark is more passes over the documents.
@@ -111,6 +112,9 @@ class Index:
         self.seqs = [seqs[m[0]] for m in self.items]
         self.most = np.array([int(rate * len(s) + 1e-9) for s in self.seqs], dtype=np.int64)
         self.kind = np.array([size_class(len(s)) for s in self.seqs], dtype=np.int64)
+        self.names = np.unique(np.concatenate(self.seqs)) if self.seqs else np.empty(0, dtype=np.uint64)
+        self.vocabulary = words.Table(self.names, np.arange(len(self.names)))
+        self.word_of = [np.searchsorted(self.names, s) for s in self.seqs]
         self.rng = np.random.Generator(np.random.PCG64(seed))
         self.reps: list[Repetition] = []
         if not self.seqs:
@@ -209,6 +213,16 @@ class Index:
                 starts.append(at[which] - rep.offset[item])
         return np.concatenate(items), np.concatenate(starts)
 
+    def plausible(self, item: int, start: np.ndarray, there: np.ndarray, held: np.ndarray) -> np.ndarray:
+        """Starts of the windows that hold one of the item's k + 1 rarest words: without them all, k edits don't do.
+
+        ``there[held[w]:held[w + 1]]`` is where word w of the vocabulary stands in these texts."""
+        k, n = int(self.most[item]), len(self.seqs[item])
+        own = np.unique(self.word_of[item])
+        rare = own[np.argsort(held[own + 1] - held[own], kind="stable")[:k + 1]]
+        places = np.sort(np.concatenate([there[held[w]:held[w + 1]] for w in rare.tolist()]))
+        return start[np.searchsorted(places, start - 2 * k) < np.searchsorted(places, start + n + 2 * k)]
+
     def verified(self, h: np.ndarray, begin: np.ndarray, end: np.ndarray, item: int, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, words, edits) of the best stretch around each window; begin and end bound the window's text."""
         s, k = self.seqs[item], int(self.most[item])
@@ -246,8 +260,12 @@ class Index:
         fresh = np.concatenate(([True], (item[1:] != item[:-1]) | (start[1:] != start[:-1])))
         item, start = item[fresh], start[fresh]
         cut = np.searchsorted(item, np.arange(len(self.seqs) + 1))
+        which = self.vocabulary.get(h)
+        there = np.flatnonzero(which >= 0)
+        there = there[np.argsort(which[there], kind="stable")]
+        held = np.searchsorted(which[there], np.arange(len(self.names) + 1))
         for i in np.flatnonzero(np.diff(cut)):
-            every = start[cut[i]:cut[i + 1]]
+            every = self.plausible(int(i), start[cut[i]:cut[i + 1]], there, held)
             size = max(1, (1 << 20) // (len(self.seqs[i]) + 4 * int(self.most[i]) + 1))
             for a in range(0, len(every), size):
                 s = every[a:a + size]
