@@ -44,8 +44,9 @@ def strip_ext(name: Column | str) -> Column:
 
 
 def clean_value(value: Column | str) -> Column:
-    """Raw text reading -> DOUBLE; null marker, empty, junk and missing -> 0."""
-    return F.coalesce(_c(value).try_cast("double"), F.lit(0.0))
+    """Raw text reading -> DOUBLE; null marker, empty, junk, missing and what isn't finite -> 0."""
+    v = _c(value).try_cast("double")
+    return F.when(F.abs(v) < float("inf"), v).otherwise(F.lit(0.0))  # NaN is above every number
 
 
 def pad3(n: Column | str) -> Column:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from voltrail.functions import codec as C
@@ -200,7 +198,5 @@ def q_like_escape(spark, sf_dir):
     """SELECT station_abbr, COUNT(*) AS n_rows, COUNT(DISTINCT seq) AS n_ticks,
  COUNT(DISTINCT control_id) AS n_ids FROM fx_reading GROUP BY station_abbr""", ("fx_reading",)), "L-2")
 def q_sql_view(spark, sf_dir):
-    view = f"readings_{uuid.uuid4().hex[:8]}"
-    world(spark, sf_dir)["readings"].createOrReplaceTempView(view)
-    return spark.sql(f"""SELECT station_abbr, COUNT(*) AS n_rows, COUNT(DISTINCT seq) AS n_ticks,
-        COUNT(DISTINCT control_id) AS n_ids FROM {view} GROUP BY station_abbr""")
+    return spark.sql("""SELECT station_abbr, COUNT(*) AS n_rows, COUNT(DISTINCT seq) AS n_ticks,
+        COUNT(DISTINCT control_id) AS n_ids FROM {readings} GROUP BY station_abbr""", readings=world(spark, sf_dir)["readings"])

@@ -143,7 +143,8 @@ def q_typed_copy(spark, sf_dir):
         F.date_format("tick", "HHmm").alias("time"),
         F.coalesce(F.col("value").try_cast("double"), F.lit(0.0)).alias("data"))
     path = scratch_path(spark, "typed-copy")
-    ST.typed_copy(src, SC.TYPED_READING, path)
+    for _ in range(2):  # a second run writes the same rows again
+        ST.typed_copy(src, SC.TYPED_READING, path, ["rowkey"], "sdate")
     return ST.scan_typed(spark, path, SC.TYPED_READING)
 
 

@@ -12,13 +12,14 @@ from voltrail.plans.oracle_core import R4, TICK_TEXT, with_ctes
 from voltrail.plans.q_ingest import drop_folder
 from voltrail.plans.registry import register
 from voltrail.session import scratch_path
+from voltrail.sources import store as ST
 from voltrail.streaming import jobs as J
 
 
 def _events_stream(spark, sf_dir):
+    # The glob takes a single file of that name and a folder of part files alike.
     schema = fx.table(spark, sf_dir, "events").schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-            .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{sf_dir.rstrip('/')}/events.parquet*")
 
 
 @register("stream_ingest", with_ctes(
@@ -26,9 +27,9 @@ def _events_stream(spark, sf_dir):
     "K-1")
 def q_stream_ingest(spark, sf_dir):
     folder = drop_folder(spark, sf_dir)
-    table = scratch_path(spark, "stream-readings")
-    J.ingest_stream(spark, folder, table, scratch_path(spark, "ckpt-ingest"), max_files=300)
-    t = spark.read.parquet(table)
+    root = scratch_path(spark, "stream-tables")
+    J.ingest_stream(spark, folder, root, scratch_path(spark, "ckpt-ingest"), max_files=300)
+    t = spark.read.parquet(f"{root}/readings")
     return t.select("station_abbr", tick_text("tick").alias("kpi_time"), "control_id", "value")
 
 
@@ -36,19 +37,20 @@ def q_stream_ingest(spark, sf_dir):
  event_type, COUNT(*) AS n, {R4('SUM(value)')} AS total FROM events GROUP BY 1, 2""", "K-2", "F-4")
 def q_stream_tick_agg(spark, sf_dir):
     table = scratch_path(spark, "stream-ticks")
-    J.tick_agg_stream(_events_stream(spark, sf_dir), table, scratch_path(spark, "ckpt-ticks"))
-    t = spark.read.parquet(table)
+    checkpoint = scratch_path(spark, "ckpt-ticks")
+    J.tick_agg_stream(_events_stream(spark, sf_dir), table, checkpoint)
+    t = J.tick_agg_table(spark, table, checkpoint)
     return t.select(tick_text("tick").alias("kpi_time"), "event_type", "n",
                     (F.round("total", 4) + F.lit(0.0)).alias("total"))
 
 
 @register("stream_latest_state", with_ctes(
-    """SELECT s.station_abbr, s.id, strftime(s.ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, s.value
+    """SELECT DISTINCT s.station_abbr, s.id, strftime(s.ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, s.value
 FROM fx_status s JOIN (SELECT station_abbr, id, max(ts) AS mt FROM fx_status GROUP BY station_abbr, id) m
  ON s.station_abbr = m.station_abbr AND s.id = m.id AND s.ts = m.mt""", ("fx_status",)), "K-3")
 def q_stream_latest_state(spark, sf_dir):
     table = scratch_path(spark, "stream-latest")
     status = fx.status_from_events(_events_stream(spark, sf_dir))
     J.latest_state_stream(status, table, scratch_path(spark, "ckpt-latest"))
-    t = spark.read.parquet(table)
+    t = ST.read_versioned(spark, table)
     return t.select("station_abbr", "id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "value")

@@ -21,6 +21,13 @@ POINT_FILE = _st(
     ("quantity", I), ("lower_limit", D), ("upper_limit", D), ("description", S),
 )
 
+#: Drop-folder name of each dimension: its columns and natural key.
+DIMENSIONS = {
+    "center": (LINE_FILE, ["line_name"]),
+    "line": (STATION_FILE, ["line_name", "station_name"]),
+    "point": (POINT_FILE, ["line_name", "station_name", "type", "control_id"]),
+}
+
 # Long analog readings (YC): one row per (station, tick, control id).
 READING = _st(("station_abbr", S), ("tick", TS), ("control_id", I), ("value", S))
 # Status change log (YX).

@@ -2,13 +2,12 @@
 
 Library functions never create sessions; this module is for entry points,
 tests and the bench.  Scratch output (written drop folders, lineage cuts)
-always goes under the cluster's ``spark.checkpoint.dir``; a local fallback is
-set only when the session has none (tests, local runs).
+always goes under the cluster's ``spark.checkpoint.dir``; only a session on one
+machine that has none gets a temporary one (tests, local runs).
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -41,11 +40,15 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint dir, setting a local one only if unset."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
+    """The session's shared folder (``spark.checkpoint.dir``).
+
+    On a cluster it must be set: a machine's own folder isn't seen by the others.  A session that
+    runs on one machine (``local[..]``) and has none gets a temporary one.
+    """
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="voltrail-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if not spark.sparkContext.getCheckpointDir():
@@ -54,8 +57,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh, unique path under the shared folder, on whatever file system that is."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def file_system(spark: SparkSession, path: str):
+    """(file system, path) through Spark's own connectors: any store that its readers reach."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where

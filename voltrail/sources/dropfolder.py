@@ -16,14 +16,13 @@ listing time, before any data is read.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltrail.functions.codec import digits_only, strip_ext
 from voltrail.plans.joins import join_dimension
+from voltrail.session import file_system, scratch_path
 
 # fixed value: analog values per chunk file
 CHUNK_WIDTH = 200
@@ -32,11 +31,12 @@ CHUNK_WIDTH = 200
 # ------------------------------------------------------------------ reading
 
 def read_drop(spark: SparkSession, folder: str, tick: str | None = None) -> DataFrame:
-    """(file_name, line) of every file in the folder, or only those whose name
+    """(file_name, modified, line) of every file in the folder, or only those whose name
     starts with ``tick`` (A-1)."""
     reader = spark.read.option("pathGlobFilter", f"{tick}*" if tick else "*")
     r = reader.text(folder)
-    return r.select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("line"))
+    return r.select(F.col("_metadata.file_name").alias("file_name"),
+                    F.col("_metadata.file_modification_time").alias("modified"), F.col("value").alias("line"))
 
 
 def route(df: DataFrame) -> DataFrame:
@@ -65,14 +65,16 @@ def _field(f: Column, i: int, t: T.DataType) -> Column:
     return v if isinstance(t, T.StringType) else v.try_cast(t)
 
 
-def dimension_rows(routed: DataFrame, table: str, schema: T.StructType) -> DataFrame:
-    """A-4: one dimension table from its files, positional columns, short rows padded with NULL."""
+def dimension_rows(routed: DataFrame, table: str, schema: T.StructType, carry: tuple[str, ...] = ()) -> DataFrame:
+    """A-4: one dimension table from its files, positional columns, short rows padded with NULL.
+
+    ``carry``: columns of ``routed`` kept beside them (what orders writes)."""
     d = routed.filter((F.col("kind") == "dimension") & (F.col("table_name") == table))
     f = fields()
-    return d.select(*[_field(f, i, fld.dataType).alias(fld.name) for i, fld in enumerate(schema.fields)])
+    return d.select(*[_field(f, i, fld.dataType).alias(fld.name) for i, fld in enumerate(schema.fields)], *carry)
 
 
-def status_rows(routed: DataFrame) -> DataFrame:
+def status_rows(routed: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """A-5: (station_abbr, id, ts, value); the time keeps its digits only."""
     d = routed.filter(F.col("kind") == "status")
     f = fields()
@@ -81,51 +83,43 @@ def status_rows(routed: DataFrame) -> DataFrame:
         f.getItem(0).try_cast("int").alias("id"),
         F.try_to_timestamp(digits_only(f.getItem(1)), F.lit("yyyyMMddHHmmss")).alias("ts"),
         f.getItem(2).alias("value"),
+        *carry,
     )
 
 
-def analog_rows(routed: DataFrame, width: int = CHUNK_WIDTH) -> DataFrame:
+def analog_rows(routed: DataFrame, width: int = CHUNK_WIDTH, carry: tuple[str, ...] = ()) -> DataFrame:
     """A-6: chunk rows to the long form (station_abbr, tick, control_id, value).
 
     ``posexplode`` of the value fields; control id = (chunk − 1) * width + position.
     Empty fields are absent cells and produce no row."""
     d = routed.filter(F.col("kind") == "analog")
     f = fields()
-    x = d.select("station_abbr", "chunk",
+    x = d.select("station_abbr", "chunk", *carry,
                  F.try_to_timestamp(digits_only(f.getItem(0)), F.lit("yyyyMMddHHmmss")).alias("tick"),
                  F.posexplode(F.slice(f, 2, F.size(f) - 1)).alias("pos", "value"))
     return x.filter(F.col("value") != "").select(
-        "station_abbr", "tick", ((F.col("chunk") - 1) * width + F.col("pos")).cast("int").alias("control_id"), "value")
+        "station_abbr", "tick", ((F.col("chunk") - 1) * width + F.col("pos")).cast("int").alias("control_id"), "value", *carry)
 
 
 # ------------------------------------------------------------------ writing (exporter)
 
-def write_files(lines: DataFrame, folder: str, tasks: int = 8) -> None:
-    """Write (file_name, line) rows as flat text files under ``folder``.
+def write_files(lines: DataFrame, folder: str) -> None:
+    """Write (file_name, line) rows as flat text files under ``folder``, on any file system.
 
-    Rows are hash-partitioned by file name, so one task owns each file; a
-    task opens its files in write mode, so a retried task rewrites them
-    instead of appending twice.  ``folder`` must be visible to every executor
-    (the shared checkpoint folder of the cluster).
+    Spark's text writer makes a folder per file name, with one part each (a file's rows are one
+    task's); the committed parts are then renamed, which moves no data.
     """
-    os.makedirs(folder, exist_ok=True)
-
-    def write_partition(rows):
-        current, fh = None, None
-        try:
-            for r in rows:
-                if r.file_name != current:
-                    if fh is not None:
-                        fh.close()
-                    current = r.file_name
-                    fh = open(os.path.join(folder, current), "w", encoding="utf-8")
-                fh.write(r.line + "\n")
-        finally:
-            if fh is not None:
-                fh.close()
-
-    (lines.repartition(tasks, "file_name").sortWithinPartitions("file_name")
-     .foreachPartition(write_partition))
+    spark = lines.sparkSession
+    parts = scratch_path(spark, "drop-parts")
+    lines.select("file_name", "line").repartition("file_name").write.partitionBy("file_name").text(parts)
+    system, to = file_system(spark, folder)
+    system.mkdirs(to)
+    for entry in system.listStatus(file_system(spark, parts)[1]):
+        name = entry.getPath().getName()
+        if name.startswith("file_name="):
+            part, = (p.getPath() for p in system.listStatus(entry.getPath()) if p.getPath().getName().startswith("part-"))
+            if not system.rename(part, file_system(spark, f"{folder}/{name.removeprefix('file_name=')}")[1]):
+                raise OSError(f"{part} can't be renamed")
 
 
 def _seq_text(seq: int) -> str:

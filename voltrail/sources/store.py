@@ -1,28 +1,28 @@
 """Parquet-backed tables: typed scans, keyed upsert, typed copy (A-7, A-15, B-1..B-4).
 
 The original job wrote every cell as a keyed put, so re-ingesting a file is
-idempotent and the newest write of a key wins.  Here:
-
-* ``upsert`` is a pure DataFrame operator: the newest batch per key wins,
-  computed with ``groupBy(key).agg(max(struct(batch, …)))`` — partial
-  aggregation runs map-side, so heavily re-sent keys are combined before the
-  shuffle;
-* ``merge_into`` applies it to a date-partitioned Parquet table: only the
-  partitions the incoming batch touches are read, the merge result is
-  ``checkpoint()``-ed into the shared checkpoint folder (cutting the read of
-  the target path out of the lineage), then those partitions are overwritten
-  dynamically.
+idempotent and the last write of a key wins.  Here:
+
+* ``upsert`` is a DataFrame operator: the row of the greatest order columns per key wins; of equal
+  ones an incoming row wins over a stored one, and of two incoming rows the later.  It is
+  ``groupBy(key).agg(max(struct(order, ...)))``: partial aggregation runs map-side, so heavily
+  re-sent keys are combined before the shuffle;
+* ``merge_into`` applies it to a partitioned Parquet table: the incoming rows are computed once,
+  only the partitions they touch are read and overwritten, and the merged rows are a table of
+  their own in the shared folder before a partition is replaced;
+* ``replace_versioned`` replaces a whole small table: each state is a new version folder, and
+  readers take the last one that was written to its end, so a write that fails loses nothing.
 """
 
 from __future__ import annotations
 
-import os
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltrail.session import ensure_checkpoint_dir
+from voltrail.session import file_system, scratch_path
 
 
 def scan_typed(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
@@ -31,50 +31,95 @@ def scan_typed(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
 
 
 def all_string(df: DataFrame) -> DataFrame:
-    """Every column as text — the layout of the original key/value store."""
+    """Every column as text, the layout of the original key/value store."""
     return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
 
 
 def cast_to(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast text columns to a typed schema (ANSI ``try_cast``: junk → NULL)."""
+    """Cast text columns to a typed schema (ANSI ``try_cast``: junk is NULL)."""
     return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str], order_col: str = "batch") -> DataFrame:
-    """B-1: union of both sides, the row with the greatest ``order_col`` per key wins."""
-    cols = [c for c in existing.columns if c not in keys]
-    u = existing.unionByName(incoming.select(*existing.columns))
-    packed = F.struct(*[F.col(order_col)] + [F.col(c) for c in cols if c != order_col]).alias("w")
-    latest = u.groupBy(*keys).agg(F.max(packed).alias("w"))
-    return latest.select(*keys, *[F.col(f"w.{c}").alias(c) for c in cols])
+def order_columns(order: str | Sequence[str]) -> list[str]:
+    return [order] if isinstance(order, str) else list(order)
+
+
+def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str], order: str | Sequence[str] = "batch") -> DataFrame:
+    """B-1: of the rows of a key in both sides, the one written last.
+
+    Written last: the greatest ``order`` columns, then incoming before existing, then the later of
+    the incoming rows (their place in the input, e.g. the line of a file)."""
+    order = order_columns(order)
+    names = existing.columns
+    rest = [c for c in names if c not in keys and c not in order]
+    new = incoming.select(*names, F.lit(1).alias("__side"), F.monotonically_increasing_id().alias("__place"))
+    old = existing.select(*names, F.lit(0).alias("__side"), F.lit(0).cast("bigint").alias("__place"))
+    packed = F.struct(*[F.col(c) for c in [*order, "__side", "__place", *rest]]).alias("__last")
+    last = old.unionByName(new).groupBy(*keys).agg(F.max(packed).alias("__last"))
+    return last.select(*[F.col(c) if c in keys else F.col(f"__last.{c}").alias(c) for c in names])
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """A-18: a table exists when its folder holds data files."""
-    p = path[len("file:"):] if path.startswith("file:") else path
-    if os.path.isdir(p):
-        return any(not n.startswith(("_", ".")) for n in os.listdir(p))
-    try:
-        spark.read.parquet(path).schema  # noqa: B018
-        return True
-    except Exception:  # noqa: BLE001
+    """A-18: whether there is a folder with data files; a path that can't be looked at is an error."""
+    system, where = file_system(spark, path)
+    if not system.exists(where):
         return False
+    return any(not s.getPath().getName().startswith(("_", ".")) for s in system.listStatus(where))
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, and no lost executor loses it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def merge_into(spark: SparkSession, path: str, incoming: DataFrame, keys: list[str],
-               partition_col: str, order_col: str = "batch") -> None:
-    """B-1/B-2: upsert ``incoming`` into the Parquet table at ``path``."""
-    ensure_checkpoint_dir(spark)
+               partition_col: str, order: str | Sequence[str] = "batch") -> None:
+    """B-1/B-2: upsert ``incoming`` into the Parquet table at ``path``.
+
+    A key's rows must all lie in one partition."""
+    incoming = written(incoming, "incoming")
     if table_exists(spark, path):
         touched = incoming.select(partition_col).distinct()
-        current = spark.read.parquet(path).join(F.broadcast(touched), partition_col, "left_semi")
-        merged = upsert(current, incoming, keys, order_col).checkpoint(eager=True)
+        stored = spark.read.schema(incoming.schema).parquet(path).join(touched, partition_col, "left_semi")
     else:
-        merged = upsert(incoming.limit(0), incoming, keys, order_col)
+        stored = incoming.limit(0)
+    merged = written(upsert(stored.select(*incoming.columns), incoming, keys, order), "merged")
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
 
 
-def typed_copy(src: DataFrame, schema: T.StructType, path: str) -> None:
-    """B-3: table-to-table copy through a typed schema (append)."""
-    cast_to(src, schema).write.mode("append").parquet(path)
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete versions of a table, in order."""
+    system, where = file_system(spark, path)
+    if not system.exists(where):
+        return []
+    found = []
+    for s in system.listStatus(where):
+        name = s.getPath().getName()
+        if name.startswith("version=") and system.exists(file_system(spark, f"{path}/{name}/_SUCCESS")[1]):
+            found.append(int(name.removeprefix("version=")))
+    return sorted(found)
+
+
+def read_versioned(spark: SparkSession, path: str) -> DataFrame | None:
+    """The last complete state of a table, or None."""
+    found = versions(spark, path)
+    return spark.read.parquet(f"{path}/version={found[-1]}") if found else None
+
+
+def replace_versioned(df: DataFrame, path: str, keep: int = 2) -> None:
+    """Write ``df`` as the next version; the newest ``keep`` versions stay."""
+    spark = df.sparkSession
+    found = versions(spark, path)
+    df.write.mode("overwrite").parquet(f"{path}/version={(found[-1] if found else 0) + 1}")
+    for old in found[:-(keep - 1)] if keep > 1 else found:
+        system, where = file_system(spark, f"{path}/version={old}")
+        system.delete(where, True)
+
+
+def typed_copy(src: DataFrame, schema: T.StructType, path: str, keys: list[str], partition_col: str) -> None:
+    """B-3: table-to-table copy through a typed schema; a second run writes the same rows again."""
+    rows = cast_to(src, schema).withColumn("batch", F.lit(0))
+    merge_into(src.sparkSession, path, rows, keys, partition_col)

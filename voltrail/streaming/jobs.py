@@ -1,22 +1,31 @@
 """Structured Streaming jobs (K-1 .. K-3).
 
 The original job ran as a batch every tick from an outside scheduler; these
-are the incremental equivalents.  All use ``trigger(availableNow=True)`` — a
-run processes what has arrived, in bounded micro-batches, and stops — with
-checkpoints under the cluster's shared checkpoint folder, so a lost executor
-or a restarted run resumes where the last committed batch ended.  Sinks are
-idempotent merges (``foreachBatch`` + keyed upsert), so a replayed batch
-rewrites the same rows.
+are the incremental equivalents.  All use ``trigger(availableNow=True)``: a
+run processes what has arrived, in bounded micro-batches, and stops.  Their
+checkpoints lie in the cluster's shared folder, so a lost executor or a restarted
+run resumes where the last committed batch ended.
+
+Every sink gives the same table when a batch, or the whole input, is delivered again: K-1 merges by
+key in an order that the data carries, K-2 keeps one partial result per batch and sums them when
+read, K-3 keeps the distinct latest rows in versions of which the last complete one counts.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voltrail import schemas as SC
 from voltrail.sources import dropfolder as DF
 from voltrail.sources import store as ST
 
+#: What tells a later write from an earlier one, before the batch number.
+WRITE_ORDER = ("drop_tick", "modified", "batch")
+
 
 def _run(writer, checkpoint: str) -> None:
     q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -25,62 +34,83 @@ def _run(writer, checkpoint: str) -> None:
         raise RuntimeError(str(q.exception()))
 
 
-def ingest_stream(spark: SparkSession, folder: str, table_path: str, checkpoint: str,
-                  max_files: int = 200) -> None:
-    """K-1: new analog chunk files of the drop folder → the long readings table."""
-    src = (spark.readStream.format("text").option("pathGlobFilter", "*_hisdata_*")
-           .option("maxFilesPerTrigger", max_files).load(folder)
-           .select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("line")))
+def merge_drop(spark: SparkSession, routed: DataFrame, root: str, epoch: int) -> None:
+    """Merge routed lines of drop files into the tables under ``root``: readings, status, center, line, point."""
+    write = [F.col("drop_tick"), F.col("modified"), F.lit(epoch).cast("bigint").alias("batch")]
+    a = DF.analog_rows(routed, carry=("drop_tick", "modified"))
+    a = a.select("station_abbr", "tick", "control_id", "value", *write, F.to_date("tick").alias("date"))
+    s = DF.status_rows(routed, carry=("drop_tick", "modified"))
+    s = s.select("station_abbr", "id", "ts", "value", *write, F.to_date("ts").alias("date"))
+    jobs = [("readings", a, ["station_abbr", "tick", "control_id"], "date"), ("status", s, ["station_abbr", "id", "ts"], "date")]
+    for name, (schema, keys) in SC.DIMENSIONS.items():
+        d = DF.dimension_rows(routed, name, schema, carry=("drop_tick", "modified"))
+        jobs.append((name, d.select(*schema.fieldNames(), *write, F.lit(name).alias("part")), keys, "part"))
+    for name, rows, keys, part in jobs:
+        rows = rows.dropna(subset=keys)
+        if not rows.isEmpty():
+            ST.merge_into(spark, f"{root}/{name}", rows, keys, part, WRITE_ORDER)
+
+
+def ingest_stream(spark: SparkSession, folder: str, root: str, checkpoint: str, max_files: int = 200) -> None:
+    """K-1: new files of the drop folder, of every kind, into the tables under ``root``."""
+    src = (spark.readStream.format("text").option("maxFilesPerTrigger", max_files).load(folder)
+           .select(F.col("_metadata.file_name").alias("file_name"),
+                   F.col("_metadata.file_modification_time").alias("modified"), F.col("value").alias("line")))
 
     def merge(batch: DataFrame, epoch: int) -> None:
-        rows = DF.analog_rows(DF.route(batch)).select(
-            "station_abbr", "tick", "control_id", "value",
-            F.lit(epoch).cast("bigint").alias("batch"), F.to_date("tick").alias("date"))
-        ST.merge_into(batch.sparkSession, table_path, rows, ["station_abbr", "tick", "control_id"], "date")
+        batch = batch.persist()  # read once for all tables
+        try:
+            merge_drop(batch.sparkSession, DF.route(batch), root, epoch)
+        finally:
+            batch.unpersist()
 
     _run(src.writeStream.foreachBatch(merge), checkpoint)
 
 
-def tick_agg_stream(events: DataFrame, table_path: str, checkpoint: str, watermark: str = "1 hour") -> None:
+def _partials(table_path: str, checkpoint: str) -> str:
+    """Where the partial results of a run are: a new checkpoint reads all input again, into a table of its own."""
+    return f"{table_path}/run={hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}"
+
+
+def tick_agg_stream(events: DataFrame, table_path: str, checkpoint: str,
+                    late: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """K-2: 20-minute tumbling counts and sums per event type.
 
-    Rows later than the watermark behind the newest event are dropped; the
-    update-mode output is merged by (window start, type), so the table holds
-    the latest value of every window.
+    No row is dropped, however late it comes: each batch writes its own count and sum per window,
+    and ``tick_agg_table`` adds them up.  A caller who wants late rows left out passes ``late``, a
+    filter of a batch's rows.
     """
-    agg = (events.withColumn("ts", F.col("ts").cast("timestamp"))
-           .withWatermark("ts", watermark)
-           .groupBy(F.window("ts", "20 minutes").alias("w"), "event_type")
-           .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")))
-
     def merge(batch: DataFrame, epoch: int) -> None:
-        rows = batch.select(F.col("w.start").alias("tick"), "event_type", "n", "total",
-                            F.lit(epoch).cast("bigint").alias("batch"), F.to_date(F.col("w.start")).alias("date"))
-        ST.merge_into(batch.sparkSession, table_path, rows, ["tick", "event_type"], "date")
+        rows = batch if late is None else late(batch)
+        part = (rows.groupBy(F.window(F.col("ts").cast("timestamp"), "20 minutes").start.alias("tick"), "event_type")
+                .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")))
+        part.write.mode("overwrite").parquet(f"{_partials(table_path, checkpoint)}/batch={epoch}")
+
+    _run(events.writeStream.foreachBatch(merge), checkpoint)
 
-    _run(agg.writeStream.outputMode("update").foreachBatch(merge), checkpoint)
+
+def tick_agg_table(spark: SparkSession, table_path: str, checkpoint: str) -> DataFrame:
+    """(tick, event_type, n, total) of all batches of the run with this checkpoint."""
+    parts = spark.read.parquet(_partials(table_path, checkpoint))
+    return parts.groupBy("tick", "event_type").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
 
 
 def latest_state_stream(status: DataFrame, table_path: str, checkpoint: str,
                         keys: tuple[str, ...] = ("station_abbr", "id")) -> None:
-    """K-3: latest status row(s) per key, ties kept, merged batch by batch.
+    """K-3: latest status row(s) per key, different values at one time all kept, merged batch by batch.
 
-    Each batch is reduced to its own latest rows first (partial ``max`` per
-    key), then combined with the stored state; the result is checkpointed
-    before it replaces the state table it was read from.
+    Each batch is reduced to its own latest rows first (partial ``max`` per key), then combined
+    with the stored state into the next version of the table (``store.read_versioned``).
     """
     keys = list(keys)
 
     def latest(df: DataFrame) -> DataFrame:
         mx = df.groupBy(*keys).agg(F.max("ts").alias("ts"))
-        return df.join(mx, keys + ["ts"], "left_semi")
+        return df.join(mx, keys + ["ts"], "left_semi").distinct()
 
     def merge(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
         new = latest(batch)
-        if ST.table_exists(spark, table_path):
-            new = latest(spark.read.parquet(table_path).unionByName(new)).checkpoint(eager=True)
-        new.write.mode("overwrite").parquet(table_path)
+        state = ST.read_versioned(batch.sparkSession, table_path)
+        ST.replace_versioned(new if state is None else latest(state.unionByName(new)), table_path)
 
     _run(status.writeStream.foreachBatch(merge), checkpoint)
-
