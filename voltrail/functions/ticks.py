@@ -9,6 +9,9 @@ boundaries.
 
 from __future__ import annotations
 
+import datetime as dt
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -53,3 +56,13 @@ def parse_tick(text: Column | str) -> Column:
     text = F.col(text) if isinstance(text, str) else text
     ok = text.rlike(r"^[0-9]{14}$")
     return F.when(ok, F.try_to_timestamp(text, F.lit(TICK_FORMAT)))
+
+
+def tick_number(text: str) -> int:
+    """Tick number of a job's 14-digit tick argument (I-3); malformed, impossible or uneven ticks are errors."""
+    if not re.fullmatch(r"[0-9]{14}", text):
+        raise ValueError(f"a tick has 14 digits: {text!r}")
+    seconds = (dt.datetime.strptime(text, "%Y%m%d%H%M%S") - dt.datetime(1970, 1, 1)).total_seconds()
+    if seconds % TICK_SECONDS:
+        raise ValueError(f"a tick is a multiple of {TICK_SECONDS // 60} minutes: {text!r}")
+    return int(seconds // TICK_SECONDS)

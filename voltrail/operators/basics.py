@@ -6,8 +6,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltrail.functions.ticks import TICK_FORMAT, seq_to_tick, tick_seq
-from voltrail.plans.joins import join_dimension, maybe_broadcast
+from voltrail.functions.ticks import tick_seq
+from voltrail.plans.joins import join_dimension
+
+
+MOST_COLUMNS = 2000
+
+
+def key_range(df: DataFrame, key: str, start: str, stop: str) -> DataFrame:
+    """Rows with start <= key < stop, as a key-ordered store scans them (2.M); reaches the scan."""
+    return df.filter((F.col(key) >= start) & (F.col(key) < stop))
 
 
 def seq_text(seq: int) -> str:
@@ -17,22 +25,17 @@ def seq_text(seq: int) -> str:
     return t.strftime("%Y%m%d%H%M%S")
 
 
-def readings_at(readings: DataFrame, seqs: list[int]) -> DataFrame:
-    """Readings at a few given ticks (C-8 / C-9): an IN filter on the tick,
-    which prunes date partitions and row groups at the scan."""
-    r = readings if "seq" in readings.columns else readings.withColumn("seq", tick_seq("tick"))
-    ticks = [seq_to_tick(F.lit(s)) for s in seqs]
-    return r.filter(F.col("tick").isin(*ticks))
-
-
 def wide_view(readings: DataFrame, class_points: DataFrame, missing: str = "0") -> DataFrame:
     """C-2: one row per (station, tick) with a column per control id of the
     class (``id_<n>``); a missing cell reads as ``missing``.
 
-    The id list comes from the point dimension (bounded by the catalogue), and
-    ``pivot`` with explicit values compiles to one conditional aggregation.
+    The id list comes from the point dimension; a table has a bounded number of columns, so more
+    than ``MOST_COLUMNS`` ids are an error (the long form has no limit).  ``pivot`` with
+    explicit values compiles to one conditional aggregation.
     """
-    ids = sorted({r[0] for r in class_points.select("control_id").distinct().collect()})
+    ids = sorted(r[0] for r in class_points.select("control_id").distinct().limit(MOST_COLUMNS + 1).collect())
+    if len(ids) > MOST_COLUMNS:
+        raise ValueError(f"more than {MOST_COLUMNS} control ids: use the long form")
     r = readings if "seq" in readings.columns else readings.withColumn("seq", tick_seq("tick"))
     j = join_dimension(r.select("station_abbr", "seq", "control_id", "value"),
                        class_points.select("station_abbr", "control_id").distinct(),

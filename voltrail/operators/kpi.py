@@ -15,8 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltrail.functions.ticks import tick_text
-from voltrail.functions.ticks import seq_to_tick
+from voltrail.functions.ticks import seq_to_tick, tick_number, tick_text
 from voltrail.operators import points as P
 from voltrail.operators import readings as R
 from voltrail.operators import status as S
@@ -240,21 +239,16 @@ def last_seq(df: DataFrame) -> int:
     return int(df.agg(F.max("seq")).first()[0])
 
 
-def kpi_window(real_status: DataFrame, end_seq: int) -> DataFrame:
-    """A-10: stored KPI rows with lastDay < tick <= endTime."""
-    return real_status.filter((F.col("seq") > end_seq - DAY_TICKS) & (F.col("seq") <= end_seq))
+def rehandle(world: dict[str, DataFrame], p: Params, tick: str) -> DataFrame:
+    """J-15: the day scores of one past tick (14 digits), reading only the ticks it depends on.
 
-
-def rehandle(world: dict[str, DataFrame], p: Params, target_seq: int) -> DataFrame:
-    """J-15: the day scores of one past tick, reading only the ticks it depends on.
-
-    The day score at t averages ticks t−71..t; each of those needs uploads at
-    s, s−1 and s−72 and status rows after s−72 — so only ticks ≥ t−143 are
-    read, and the range filters reach the scans.
+    The day score at t averages ticks t-71..t; each of those needs uploads at s, s-1 and s-72 and
+    status rows after s-72, so ticks t-143..t are read, named as literals on date and tick.
     """
-    lo = target_seq - 2 * DAY_TICKS + 1
-    rd = R.with_seq(world["readings"]).filter((F.col("seq") >= lo) & (F.col("seq") <= target_seq))
-    st = world["status"].filter(
-        (F.col("ts") >= seq_to_tick(F.lit(lo))) & (F.col("ts") < seq_to_tick(F.lit(target_seq))))
-    x = inputs(world["lines"], world["stations"], world["points"], rd, st)
-    return kpi_day(kpi_real_status(x, p)).filter(F.col("seq") == target_seq)
+    from voltrail.operators.job import between_ticks, status_before
+    target = tick_number(tick)
+    lo = target - 2 * DAY_TICKS + 1
+    x = inputs(world["lines"], world["stations"], world["points"], between_ticks(world["readings"], lo, target),
+               status_before(world["status"], lo, target), lo=lo, hi=target)
+    rows = kpi_real_status(x, p).filter(F.col("seq") > target - DAY_TICKS)
+    return kpi_day(rows).filter(F.col("seq") == target)

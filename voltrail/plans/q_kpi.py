@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltrail.functions.ticks import seq_to_tick, tick_text
+from voltrail.functions.ticks import tick_seq
+from voltrail.operators import job as JOB
+from voltrail.operators.basics import seq_text
 from voltrail.operators import kpi as K
 from voltrail.operators import points as P
 from voltrail.operators import readings as R
@@ -15,6 +17,7 @@ from voltrail.params import (DAY_COLUMNS, FIXTURE_PARAMS, KPI_COLUMNS, MEAN_CLAS
 from voltrail.plans import fixtures as fx
 from voltrail.plans.oracle_core import (R4, TICK_TEXT, kpi_rs_cte, present, sql_formulas, with_ctes)
 from voltrail.plans.registry import register
+from voltrail.session import scratch_path
 
 P0 = FIXTURE_PARAMS
 
@@ -198,21 +201,44 @@ _LAST = "(SELECT max(seq) FROM kpi_rs)"
 
 @register("scan_kpi_window", with_ctes(
     present("kpi_rs", KPI_COLUMNS, f"WHERE seq > {_LAST} - 72 AND seq <= {_LAST}"), ("kpi_rs",), RS),
-    "A-10", "C-10")
+    "A-10", "B-2", "C-10")
 def q_scan_kpi_window(spark, sf_dir):
+    # All rows go through the KPI sink; the window is read back from the stored table.
+    root = scratch_path(spark, "kpi-tables")
     rs = _rs(spark, sf_dir)
-    return K.present(K.kpi_window(rs, K.last_seq(rs)), KPI_COLUMNS)
+    JOB.store_real(spark, root, rs)
+    end = K.last_seq(spark.read.parquet(f"{root}/kpi_real").select(tick_seq("tick").alias("seq")))
+    return K.present(JOB.scan_kpi(spark, root, "kpi_real", end - 71, end).withColumn("seq", tick_seq("tick")), KPI_COLUMNS)
 
 
-_REH = "(SELECT max(seq) - 72 FROM sums)"
+_LAST_UP = "(SELECT max(seq) FROM sums)"
+_REH = f"{_LAST_UP} - 72"
+
+
+def last_upload(spark, sf_dir) -> int:
+    """Newest tick at which a managed station uploaded."""
+    return K.last_seq(_analog(spark, sf_dir).filter("has"))
 
 
 @register("rehandle_tick", with_ctes(
     present("kpi_dayt", DAY_COLUMNS, f"WHERE seq = {_REH}"), ("kpi_dayt",), RS), "J-15", "I-3")
 def q_rehandle_tick(spark, sf_dir):
-    w = world(spark, sf_dir)
-    # The tick to re-run: one day before the newest upload of a managed station.
-    managed = P.managed_stations(w["lines"], w["stations"]).select("station_abbr")
-    t = R.with_seq(w["readings"]).join(F.broadcast(managed), "station_abbr", "left_semi")
-    target = t.agg(F.max("seq")).first()[0] - 72
-    return K.present(K.rehandle(w, P0, target), DAY_COLUMNS)
+    # The tick to run again: one day before the newest upload of a managed station.
+    return K.present(K.rehandle(world(spark, sf_dir), P0, seq_text(last_upload(spark, sf_dir) - 72)), DAY_COLUMNS)
+
+
+_JOB_TICKS = 3
+
+
+@register("kpi_tick_job", with_ctes(
+    present("job_day", DAY_COLUMNS), ("job_day",),
+    RS | {"job_rs": (f"SELECT * FROM kpi_rs WHERE seq > {_LAST_UP} - {_JOB_TICKS} AND seq <= {_LAST_UP}", ("kpi_rs", "sums")),
+          "job_day": (RS["kpi_dayt"][0].replace("FROM kpi_rs", "FROM job_rs"), ("job_rs",))}), "J-14", "B-2")
+def q_kpi_tick_job(spark, sf_dir):
+    # The tables as ingested, then the job of the last ticks one by one, each reading what the ones before stored;
+    # the last is run twice.
+    root = scratch_path(spark, "tick-job")
+    w, end = world(spark, sf_dir), last_upload(spark, sf_dir)
+    for seq in [*range(end - _JOB_TICKS + 1, end + 1), end]:
+        JOB.score_tick(spark, root, P0, seq_text(seq), w)
+    return K.present(spark.read.parquet(f"{root}/kpi_day").withColumn("seq", tick_seq("tick")), DAY_COLUMNS)

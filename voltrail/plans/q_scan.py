@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from voltrail.functions import codec as C
 from voltrail.functions.ticks import seq_to_tick, shift_ticks, tick_floor, tick_seq, tick_text
 from voltrail.operators import basics as B
+from voltrail.operators import job as JOB
 from voltrail.operators import points as P
 from voltrail.operators import status as S
 from voltrail.params import DAY_TICKS
@@ -73,7 +74,7 @@ WHERE seq IN ({_MAX_SEQ_SQL}, {_MAX_SEQ_SQL} - 1, {_MAX_SEQ_SQL} - 72)""", ("fx_
 def q_scan_analog_instants(spark, sf_dir):
     rd = world(spark, sf_dir)["readings"]
     end = rd.agg(F.max("seq")).first()[0]
-    return (B.readings_at(rd, [end - DAY_TICKS, end - 1, end])
+    return (JOB.at_ticks(rd, [end - DAY_TICKS, end - 1, end])
             .select("station_abbr", tick_text("tick").alias("kpi_time"), "control_id",
                     C.clean_value("value").alias("v")))
 
@@ -167,6 +168,13 @@ def q_group_count(spark, sf_dir):
     return B.group_count(fx.table(spark, sf_dir, "customer"), "c_mktsegment", "c_acctbal")
 
 
+@register("key_range", """SELECT o_orderkey, o_custkey FROM orders
+WHERE lpad(CAST(o_orderkey AS VARCHAR), 9, '0') >= '000000100' AND lpad(CAST(o_orderkey AS VARCHAR), 9, '0') < '000000500'""", "2.M")
+def q_key_range(spark, sf_dir):
+    o = fx.table(spark, sf_dir, "orders").withColumn("key", F.lpad(F.col("o_orderkey").cast("string"), 9, "0"))
+    return B.key_range(o, "key", "000000100", "000000500").select("o_orderkey", "o_custkey")
+
+
 @register("take_ordered", """SELECT o_orderkey, o_custkey, o_totalprice FROM orders
 ORDER BY o_totalprice DESC, o_orderkey LIMIT 10""", "G-1")
 def q_take_ordered(spark, sf_dir):
