@@ -60,6 +60,8 @@ def test_bpe_digests(spark, docs_of):
     got = [tuple(r) for r in bpe.digests(docs_of(rows, True), BYTE).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
     assert bpe.digests(docs_of([]), BYTE).count() == 0
+    back = bpe.encode_documents(docs_of(rows, True), BYTE).select("doc_id", "text", bpe.token_text(F.col("token_ids"), BYTE).alias("back"))
+    assert all(r["back"] == (r["text"] or "") for r in back.collect())
 
 
 def test_prefix_counts_equal_the_library_at_every_prefix(given):

@@ -36,6 +36,7 @@ PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{
 CUT, NONE, LOW = 1 << 63, 1 << 62, (1 << 32) - 1
 LONG = 48  # bytes of a fragment beyond which it is merged on its own
 SLICE = 512  # texts decoded at a time
+PART = 2 << 20  # bytes of text encoded at a time
 #: UTF-8 of the white space beyond ASCII.
 ODD_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2(?:\x80[\x80-\x8a\xa8\xa9\xaf]|\x81\x9f)|\xe3\x80\x80").search
 KEPT = 50_000  # words, and pieces, that a task remembers; beyond it starts over
@@ -294,6 +295,15 @@ def load(path: str) -> Bpe:
     return Bpe(path)
 
 
+def lists(ids: np.ndarray, ends: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+
+
+def decoded(token, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The text of each stretch of ids; ``token`` gives an id's bytes."""
+    return pa.array([b"".join(map(token, ids[a:b].tolist())).decode("utf-8", errors="replace") for a, b in zip(ends.tolist(), ends[1:].tolist())], pa.string())
+
+
 def token_ids(text: Column, path: str) -> Column:
     """``array<int>`` of the ids of each text; null text: empty."""
 
@@ -301,9 +311,9 @@ def token_ids(text: Column, path: str) -> Column:
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = load(path)
         for batch in batches:
-            for _, texts in words.parts([pa.RecordBatch.from_arrays([batch], ["t"])], "t"):
+            for _, texts in words.parts([pa.RecordBatch.from_arrays([batch], ["t"])], "t", PART):
                 ids, n = bpe.encode_all(texts)
-                yield pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))), pa.int32()), pa.array(ids, pa.int32()))
+                yield lists(ids, np.concatenate(([0], np.cumsum(n))))
 
     return encode(text)
 
@@ -317,12 +327,26 @@ def token_text(ids: Column, path: str) -> Column:
         for batch in batches:
             for at in range(0, len(batch), SLICE):
                 column = batch.slice(at, SLICE)
-                ends, values = column.offsets.to_numpy(), column.values.to_numpy()
-                yield pa.array([b"".join(map(token, values[a:b].tolist())).decode("utf-8", errors="replace") for a, b in zip(ends, ends[1:])], pa.string())
+                yield decoded(token, column.values.to_numpy(), column.offsets.to_numpy())
 
     return decode(ids)
 
 
+def round_trip(text: Column, path: str) -> Column:
+    """struct(ids, text): what each text is encoded to, and what those ids are decoded to, in one pass through Python."""
+
+    @F.arrow_udf("struct<ids:array<int>,text:string>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        bpe, token = load(path), tokens(path).__getitem__
+        for batch in batches:
+            for _, texts in words.parts([pa.RecordBatch.from_arrays([batch], ["t"])], "t", PART):
+                ids, n = bpe.encode_all(texts)
+                ends = np.concatenate(([0], np.cumsum(n)))
+                yield pa.StructArray.from_arrays([lists(ids, ends), decoded(token, ids, ends)], ["ids", "text"])
+
+    return both(text)
+
+
 def encode_documents(docs: DataFrame, path: str, text: str = "text", into: str = "token_ids") -> DataFrame:
     """``docs`` with the ids of every whole text in ``into`` (replaced if there is one)."""
     return docs.withColumn(into, token_ids(F.col(f"`{text}`"), path))
@@ -330,10 +354,10 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", into: str =
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256: what a round trip through the ids gives."""
-    coded = encode_documents(docs.select("doc_id", "text"), path).select("doc_id", "token_ids")
+    coded = docs.select("doc_id", round_trip(F.col("text"), path).alias("r"))
     return coded.select(
         "doc_id",
-        F.size("token_ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2(token_text(F.col("token_ids"), path), 256).alias("decoded_sha256"),
+        F.size("r.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("r.ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("r.text", 256).alias("decoded_sha256"),
     )
