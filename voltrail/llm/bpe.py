@@ -36,7 +36,6 @@ PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{
 CUT, NONE, LOW = 1 << 63, 1 << 62, (1 << 32) - 1
 LONG = 48  # bytes of a fragment beyond which it is merged on its own
 SLICE = 512  # texts decoded at a time
-PART = 2 << 20  # bytes of text encoded at a time
 #: UTF-8 of the white space beyond ASCII.
 ODD_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2(?:\x80[\x80-\x8a\xa8\xa9\xaf]|\x81\x9f)|\xe3\x80\x80").search
 KEPT = 50_000  # words, and pieces, that a task remembers; beyond it starts over
@@ -270,7 +269,7 @@ class Bpe(dict):
         ends = np.concatenate((starts[1:], [len(data)])) if len(starts) else starts
         out, n = np.empty(0, dtype=np.int32), np.zeros(len(texts), dtype=np.int64)
         if len(starts):
-            _, one, of = np.unique(words.run_hash(words.BYTE[data], starts, ends), return_index=True, return_inverse=True)
+            _, one, of = np.unique(words.stretch_hash(words.BYTE[data], starts, ends), return_index=True, return_inverse=True)
             s, e = starts[one], ends[one]
             dark = ~blank[e - 1]  # else the end of a text, white space only
             ids, count = self.encode_words(data, s[dark], e[dark])
@@ -311,7 +310,7 @@ def token_ids(text: Column, path: str) -> Column:
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = load(path)
         for batch in batches:
-            for _, texts in words.parts([pa.RecordBatch.from_arrays([batch], ["t"])], "t", PART):
+            for _, texts in words.parts([pa.RecordBatch.from_arrays([batch], ["t"])], "t"):
                 ids, n = bpe.encode_all(texts)
                 yield lists(ids, np.concatenate(([0], np.cumsum(n))))
 
@@ -339,7 +338,7 @@ def round_trip(text: Column, path: str) -> Column:
     def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe, token = load(path), tokens(path).__getitem__
         for batch in batches:
-            for _, texts in words.parts([pa.RecordBatch.from_arrays([batch], ["t"])], "t", PART):
+            for _, texts in words.parts([pa.RecordBatch.from_arrays([batch], ["t"])], "t"):
                 ids, n = bpe.encode_all(texts)
                 ends = np.concatenate(([0], np.cumsum(n)))
                 yield pa.StructArray.from_arrays([lists(ids, ends), decoded(token, ids, ends)], ["ids", "text"])

@@ -204,7 +204,7 @@ class PrefixCounts:
         if not len(starts):
             return total, fits
         ends = np.concatenate((starts[1:], [len(chars)]))
-        _, one, of = np.unique(words.run_hash(words.mix(chars.astype(np.uint64)), starts, ends), return_index=True, return_inverse=True)
+        _, one, of = np.unique(words.stretch_hash(words.mix(chars.astype(np.uint64)), starts, ends), return_index=True, return_inverse=True)
         s, size = starts[one], (ends - starts)[one]
         short = size <= LONG
         counts = self.word_prefixes(chars, s[short], size[short])

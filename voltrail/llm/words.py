@@ -25,10 +25,10 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     """``base ** 0 .. base ** (n-1)`` modulo 2**64, kept for the next call."""
     have = _powers.get(int(base))
     if have is None or len(have) < n:
-        step = np.full(max(n, 1 << 16), base, dtype=np.uint64)
+        step = np.full(max(n, 1 << 12), base, dtype=np.uint64)
         step[0] = 1
         have = np.cumprod(step, dtype=np.uint64)
-        if n <= 1 << 24:  # what a very long text needs isn't kept
+        if n <= 1 << 20:  # what a very long text needs isn't kept
             _powers[int(base)] = have
     return have[:n]
 
@@ -50,6 +50,19 @@ def run_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix((total[ends] - total[starts]) * back[starts] + (ends - starts).astype(np.uint64))
 
 
+def stretch_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of ``values[s:e]`` for stretches in order that don't overlap; none is empty."""
+    if not len(starts):
+        return np.empty(0, dtype=np.uint64)
+    size = (ends - starts).astype(np.int32)
+    first = np.cumsum(size, dtype=np.int32) - size
+    place = np.arange(int(size.sum()), dtype=np.int32)
+    v = values[place + np.repeat((starts - first).astype(np.int32), size)]
+    place -= np.repeat(first, size)
+    v *= powers(_BASE, int(size.max()))[place]
+    return mix(np.add.reduceat(v, first) + size.astype(np.uint64))
+
+
 @dataclass
 class Words:
     """Words of a batch of texts, in order; ``first[d]:first[d + 1]`` are those of text ``d``."""
@@ -75,7 +88,7 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
     def hashes(self) -> np.ndarray:
-        return run_hash(BYTE[self.data], self.starts, self.ends)
+        return stretch_hash(BYTE[self.data], self.starts, self.ends)
 
     def windows(self, n: int) -> np.ndarray:
         """Where windows of ``n`` words within one text start."""
@@ -99,7 +112,7 @@ def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [v or b"" for v in column.cast(pa.binary()).to_pylist()]
 
 
-def parts(batches: Iterable[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def parts(batches: Iterable[pa.RecordBatch], column: str, limit: int = 2 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Each batch in slices of about ``limit`` bytes of text (one text at least), which bounds a task's memory."""
     for batch in batches:
         texts = as_bytes(batch.column(batch.schema.get_field_index(column)))
