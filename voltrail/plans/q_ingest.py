@@ -17,6 +17,7 @@ from voltrail.plans.q_kpi import _memo, world
 from voltrail.plans.registry import register
 from voltrail.session import scratch_path
 from voltrail.sources import dropfolder as DF
+from voltrail.streaming import jobs as J
 
 
 def drop_folder(spark, sf_dir) -> str:
@@ -79,21 +80,52 @@ def q_ingest_tsv(spark, sf_dir):
     return r.groupBy("kind", "table_name", "n_fields").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
-@register("ingest_dimension", with_ctes(
+@register("ingest_tick", with_ctes(
+    """SELECT file_name, SUM(n_lines) AS n_lines FROM files
+WHERE starts_with(file_name, (SELECT max(substring(file_name, 1, 14)) FROM files)) GROUP BY 1""", ("files",), _EXTRA), "A-1")
+def q_ingest_tick(spark, sf_dir):
+    # The files of the newest tick alone, chosen by their names before any is read.
+    folder = drop_folder(spark, sf_dir)
+    tick = routed(spark, sf_dir).agg(F.max("drop_tick")).first()[0]
+    return DF.read_drop(spark, folder, tick).groupBy("file_name").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+def merged_twice(spark, sf_dir, name):
+    """A table that its files were delivered to at two ticks."""
+    root = scratch_path(spark, "ingest")
+    for epoch in (0, 1):
+        r = routed(spark, sf_dir)
+        later = F.when(F.lit(epoch == 1), F.lit("99991231000000")).otherwise(F.col("drop_tick"))
+        J.merge_drop(spark, r.withColumn("drop_tick", later), root, epoch, (name,))
+    return spark.read.parquet(f"{root}/{name}")
+
+
+def _dimension_query(key, name, sql, *ids):
+    @register(key, sql, *ids)
+    def q(spark, sf_dir):
+        return merged_twice(spark, sf_dir, name).select(*SC.DIMENSIONS[name][0].fieldNames())
+    return q
+
+
+_dimension_query("ingest_dimension", "point", with_ctes(
     """SELECT line_name, station_name, point_name, type, control_id, 'E' || CAST(control_id AS VARCHAR) AS equipment_id,
  regexp_extract(point_name, '^([A-Z]+)', 1) AS equipment_name,
  CASE WHEN type = 'YX' THEN 'int' ELSE 'float' END AS data_type, 0 AS statics,
  CASE WHEN type = 'YX' THEN '-' ELSE 'kWh' END AS unit, 1 AS quantity, CAST(0 AS DOUBLE) AS lower_limit,
  CAST(100 AS DOUBLE) AS upper_limit, CASE WHEN type = 'YX' THEN 'run status' END AS description FROM fx_point""",
     ("fx_point",)), "A-4")
-def q_ingest_dimension(spark, sf_dir):
-    return DF.dimension_rows(routed(spark, sf_dir), "point", SC.POINT_FILE)
+_dimension_query("ingest_center", "center", with_ctes(
+    "SELECT line_name, line_abbr, project_name, description, energy_mgr FROM fx_line", ("fx_line",)), "A-4")
+_dimension_query("ingest_line", "line", with_ctes(
+    "SELECT station_name, station_abbr, line_name, description, area, energy_mgr, transfer FROM fx_station", ("fx_station",)), "A-4")
 
 
 @register("ingest_status", with_ctes(
-    "SELECT station_abbr, id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, value FROM fx_status", ("fx_status",)), "A-5")
+    """SELECT station_abbr, id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, max(value) AS value
+FROM fx_status GROUP BY 1, 2, 3""", ("fx_status",)), "A-5")
 def q_ingest_status(spark, sf_dir):
-    s = DF.status_rows(routed(spark, sf_dir))
+    # A file's lines are in order of (id, time, value): of one key the greatest value is written last.
+    s = merged_twice(spark, sf_dir, "status")
     return s.select("station_abbr", "id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "value")
 
 

@@ -9,9 +9,9 @@ from voltrail.functions.codec import NULL_MARKER
 from voltrail.functions.ticks import seq_to_tick, tick_text
 from voltrail.operators import kpi as K
 from voltrail.operators import rollup as RU
-from voltrail.params import KPI_COLUMNS
+from voltrail.params import DAY_COLUMNS
 from voltrail.plans import fixtures as fx
-from voltrail.plans.oracle_core import R4, TICK_TEXT, with_ctes
+from voltrail.plans.oracle_core import R4, TICK_TEXT, D, with_ctes
 from voltrail.plans.q_kpi import RS, _rs, world
 from voltrail.plans.registry import register
 from voltrail.session import scratch_path
@@ -20,39 +20,54 @@ from voltrail.sources import store as ST
 
 # ------------------------------------------------------------------ rollups
 
-_UNPIVOT = ("SELECT station_abbr, seq, kpi, score FROM (UNPIVOT (SELECT station_abbr, seq, "
-            + ", ".join(KPI_COLUMNS) + " FROM kpi_rs) ON " + ", ".join(KPI_COLUMNS)
-            + " INTO NAME kpi VALUE score) WHERE score BETWEEN 0 AND 100")
+_ALL = "(" + " + ".join(DAY_COLUMNS) + f") / {D(len(DAY_COLUMNS))}"
 _HOURLY = {
-    "scores_long": (_UNPIVOT, ("kpi_rs",)),
-    "hourly_st": ("""SELECT station_abbr, CAST(floor(seq / 3) AS BIGINT) AS hour_seq, kpi,
- COUNT(*) AS n, SUM(score) AS total, AVG(score) AS mean FROM scores_long GROUP BY 1, 2, 3""", ("scores_long",)),
+    "day_all": (f'SELECT *, {_ALL} AS "all" FROM kpi_dayt', ("kpi_dayt",)),
+    "scores_long": ("SELECT station_abbr, CAST(floor(seq / 3) AS BIGINT) AS hour_seq, kpi, CASE WHEN score BETWEEN 0 AND 100 THEN score END AS score "
+                    'FROM (SELECT station_abbr, seq, "all", ' + ", ".join(DAY_COLUMNS)
+                    + ' FROM day_all) UNPIVOT INCLUDE NULLS (score FOR kpi IN ("all", ' + ", ".join(DAY_COLUMNS) + "))", ("day_all",)),
+    "hourly_any": ("SELECT station_abbr, hour_seq, kpi, COUNT(score) AS n, SUM(score) AS total FROM scores_long GROUP BY 1, 2, 3", ("scores_long",)),
+    "hourly_st": ("""SELECT * FROM hourly_any h WHERE EXISTS (SELECT 1 FROM hourly_any a
+ WHERE a.station_abbr = h.station_abbr AND a.hour_seq = h.hour_seq AND a.kpi = 'all' AND a.n > 0)""", ("hourly_any",)),
+    "hourly_tab": ("""SELECT m.line_name, h.station_abbr, h.hour_seq, h.kpi, h.total FROM hourly_st h JOIN fx_station m ON m.station_abbr = h.station_abbr
+UNION ALL SELECT m.line_name, 'all', h.hour_seq, h.kpi, SUM(h.total) FROM hourly_st h JOIN fx_station m ON m.station_abbr = h.station_abbr
+WHERE h.kpi = 'all' GROUP BY 1, 3, 4""", ("hourly_st", "fx_station")),
 }
 _HOURLY.update(RS)
 
 
+def _station_hours(spark, sf_dir):
+    return RU.hourly_station(K.kpi_day(_rs(spark, sf_dir)))
+
+
 @register("hourly_station_sum", with_ctes(
-    f"""SELECT station_abbr, {TICK_TEXT('hour_seq * 3')} AS hour, kpi, n, {R4('total')} AS total, {R4('mean')} AS mean
-FROM hourly_st""", ("hourly_st",), _HOURLY), "E-8", "C-12")
+    f"""SELECT station_abbr, {TICK_TEXT('hour_seq * 3')} AS hour, kpi, n, {R4('total')} AS total,
+ {R4('CASE WHEN n > 0 THEN total / n END')} AS mean FROM hourly_st""", ("hourly_st",), _HOURLY), "E-8", "C-12")
 def q_hourly_station_sum(spark, sf_dir):
-    h = RU.hourly_station(_rs(spark, sf_dir))
+    h = _station_hours(spark, sf_dir)
     return h.select("station_abbr", tick_text(seq_to_tick(F.col("hour_seq") * 3)).alias("hour"), "kpi", "n",
                     K.round4(F.col("total")).alias("total"), K.round4(F.col("mean")).alias("mean"))
 
 
 @register("hourly_line_rollup", with_ctes(
-    f"""SELECT m.line_name, {TICK_TEXT('h.hour_seq * 3')} AS hour, h.kpi, SUM(h.n) AS n,
- {R4('SUM(h.total)')} AS total, {R4('SUM(h.total) / SUM(h.n)')} AS mean
-FROM hourly_st h JOIN fx_station m ON m.station_abbr = h.station_abbr
-WHERE h.station_abbr <> 'all' GROUP BY m.line_name, h.hour_seq, h.kpi""", ("hourly_st", "fx_station"), _HOURLY),
-    "E-9", "C-13")
+    f"""SELECT line_name, {TICK_TEXT('hour_seq * 3')} AS hour, kpi, COUNT(*) AS n,
+ {R4('SUM(total)')} AS total, {R4('SUM(total) / COUNT(*)')} AS mean
+FROM hourly_tab WHERE station_abbr <> 'all' GROUP BY line_name, hour_seq, kpi""", ("hourly_tab",), _HOURLY), "E-9", "C-13")
 def q_hourly_line_rollup(spark, sf_dir):
-    h = RU.hourly_line(_rs(spark, sf_dir), world(spark, sf_dir)["stations"])
-    return h.select("line_name", tick_text(seq_to_tick(F.col("hour_seq") * 3)).alias("hour"), "kpi",
-                    F.col("n").cast("bigint").alias("n"),
+    h = RU.hourly_line(RU.hourly_table(_station_hours(spark, sf_dir), world(spark, sf_dir)["stations"]))
+    return h.select("line_name", tick_text(seq_to_tick(F.col("hour_seq") * 3)).alias("hour"), "kpi", "n",
                     K.round4(F.col("total")).alias("total"), K.round4(F.col("mean")).alias("mean"))
 
 
+@register("hourly_table", with_ctes(
+    f"SELECT line_name, station_abbr, {TICK_TEXT('hour_seq * 3')} AS hour, kpi, {R4('total')} AS total FROM hourly_tab",
+    ("hourly_tab",), _HOURLY), "E-8", "E-9")
+def q_hourly_table(spark, sf_dir):
+    t = RU.hourly_table(_station_hours(spark, sf_dir), world(spark, sf_dir)["stations"])
+    return t.select("line_name", "station_abbr", tick_text(seq_to_tick(F.col("hour_seq") * 3)).alias("hour"), "kpi",
+                    K.round4(F.col("total")).alias("total"))
+
+
 # ------------------------------------------------------------------ cells and catalogs
 
 _CUST_COLS = ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]

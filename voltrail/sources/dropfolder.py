@@ -111,7 +111,8 @@ def write_files(lines: DataFrame, folder: str) -> None:
     """
     spark = lines.sparkSession
     parts = scratch_path(spark, "drop-parts")
-    lines.select("file_name", "line").repartition("file_name").write.partitionBy("file_name").text(parts)
+    lines = lines.select("file_name", "line").repartition("file_name").sortWithinPartitions("file_name", "line")
+    lines.write.partitionBy("file_name").text(parts)
     system, to = file_system(spark, folder)
     system.mkdirs(to)
     for entry in system.listStatus(file_system(spark, parts)[1]):

@@ -34,8 +34,12 @@ def _run(writer, checkpoint: str) -> None:
         raise RuntimeError(str(q.exception()))
 
 
-def merge_drop(spark: SparkSession, routed: DataFrame, root: str, epoch: int) -> None:
-    """Merge routed lines of drop files into the tables under ``root``: readings, status, center, line, point."""
+#: Tables that the files of a drop folder are merged into.
+TABLES = ("readings", "status", *SC.DIMENSIONS)
+
+
+def merge_drop(spark: SparkSession, routed: DataFrame, root: str, epoch: int, tables: tuple[str, ...] = TABLES) -> None:
+    """Merge routed lines of drop files into their tables under ``root``, by key."""
     write = [F.col("drop_tick"), F.col("modified"), F.lit(epoch).cast("bigint").alias("batch")]
     a = DF.analog_rows(routed, carry=("drop_tick", "modified"))
     a = a.select("station_abbr", "tick", "control_id", "value", *write, F.to_date("tick").alias("date"))
@@ -47,7 +51,7 @@ def merge_drop(spark: SparkSession, routed: DataFrame, root: str, epoch: int) ->
         jobs.append((name, d.select(*schema.fieldNames(), *write, F.lit(name).alias("part")), keys, "part"))
     for name, rows, keys, part in jobs:
         rows = rows.dropna(subset=keys)
-        if not rows.isEmpty():
+        if name in tables and not rows.isEmpty():
             ST.merge_into(spark, f"{root}/{name}", rows, keys, part, WRITE_ORDER)
 
 
