@@ -139,7 +139,7 @@ class Scanner:
     def __init__(self, rules: Sequence[Rule]):
         self.rules = [(r, re.compile(r.pattern, re.ASCII), trigram_query(r.pattern)) for r in rules]
         self.names = sorted(set().union(*(trigrams(q) for _, _, q in self.rules)))
-        self.table = np.zeros(1 << 24, dtype=np.uint16)
+        self.table = np.zeros(1 << 24, dtype=np.uint8 if len(self.names) < 256 else np.uint16)
         for i, t in enumerate(self.names, 1):
             self.table[t[0] << 16 | t[1] << 8 | t[2]] = i
         self.lower = np.arange(256, dtype=np.uint8)
@@ -235,37 +235,39 @@ def digests(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", *(count(r.kind).alias(f"n_{r.kind}") for r in BASE), F.sha2(spelled(base), 256).alias("base_sha256"), spelled(F.col("found")).alias("spans"))
 
 
-def redacted(text: Column, spans: Column, mask: str) -> Column:
-    """``text`` with each maximal stretch that spans cover replaced by ``mask``; null stays null."""
+def mask_spans(text: str, found: Sequence[tuple[str, int, int]], mask: str) -> str:
+    """``text`` with each maximal stretch that spans (in order) cover replaced by ``mask``."""
+    parts, end = [], 0
+    for _, a, b in found:
+        if a >= end:
+            parts += [text[end:a], mask]
+        end = max(end, b)
+    return "".join([*parts, text[end:]])
 
-    @F.arrow_udf("string")
-    def redact(texts: pa.Array, found: pa.Array) -> pa.Array:
-        out = []
-        for t, f in zip(texts.to_pylist(), found.to_pylist()):
-            if t is None or not f:
-                out.append(t)
-                continue
-            parts, at, end = [], 0, -1
-            for s in f:
-                if s["start"] >= end:
-                    if end >= 0:
-                        at = end
-                    parts += [t[at:s["start"]], mask]
-                end = max(end, s["end"])
-            out.append("".join([*parts, t[end:]]))
-        return pa.array(out, pa.string())
 
-    return redact(text, spans)
+def masked(text: Column, rules: Sequence[Rule], mask: str) -> Column:
+    """struct(text, n): each text with its secrets masked (null stays null), and how many spans it had."""
+    rules = tuple(rules)
+
+    @F.arrow_udf("struct<text:string,n:int>")
+    def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        scan = scanner(rules).scan
+        for column in batches:
+            for part, texts in words.parts([pa.RecordBatch.from_arrays([column], ["t"])], "t"):
+                found = scan(texts)
+                out = [None if t is None else mask_spans(t, f, mask) if f else t for t, f in zip(part.column(0).to_pylist(), found)]
+                yield pa.StructArray.from_arrays([pa.array(out, pa.string()), pa.array([len(f) for f in found], pa.int32())], ["text", "n"])
+
+    return clean(text)
 
 
 def redact_documents(docs: DataFrame, rules: Sequence[Rule] = RULES, mask: str = "[secret]") -> DataFrame:
     """The same rows and columns with secrets masked in ``text``, and ``n_chars`` (if any) counted anew where a text changed."""
     kept = docs.columns
     row = docs.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row"))
-    row = row.select("row", secret_spans(F.col("row.text"), rules).alias("found"))
-    row = row.select("row", "found", redacted(F.col("row.text"), F.col("found"), mask).alias("clean"))
-    new = {"text": F.col("clean")}
+    row = row.select("row", masked(F.col("row.text"), rules, mask).alias("clean"))
+    new = {"text": F.col("clean.text")}
     if "n_chars" in kept:
         kind = docs.schema["n_chars"].dataType
-        new["n_chars"] = F.when(F.size("found") > 0, F.char_length("clean").cast(kind)).otherwise(F.col("row.n_chars"))
+        new["n_chars"] = F.when(F.col("clean.n") > 0, F.char_length("clean.text").cast(kind)).otherwise(F.col("row.n_chars"))
     return row.select(*(new.get(c, F.col(f"row.`{c}`")).alias(c) for c in kept))
