@@ -13,11 +13,12 @@ TABLES = "region nation customer supplier part orders lineitem events".split()
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns[:2] == ["station_abbr", "kpi_time"]
-    assert df.count() >= 0
+    assert df.count() == 27540 and df.count() == df.dropDuplicates(["station_abbr", "kpi_time"]).count()
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    core = {k for k in E.queries() if not k.startswith("op") and k != "pipeline"}
+    assert core == {k for k in E.oracle_sql() if k in core}
 
 
 def test_no_python_udf_or_cartesian_in_kpi_plan(spark):
@@ -34,7 +35,8 @@ def _digest(cols, rows):
 
 
 @pytest.mark.parametrize("name", ["kpi_day", "run_status", "meter_delta_24h", "latest_state",
-                                  "hourly_line_rollup", "ingest_analog_chunk", "dynamic_projection"])
+                                  "hourly_line_rollup", "ingest_analog_chunk", "dynamic_projection", "kpi_tick_job",
+                                  "scan_kpi_window", "rehandle_tick", "stream_ingest", "stream_latest_state", "ingest_status", "ingest_tick"])
 def test_matches_oracle_sf0001(spark, name):
     if not os.path.isdir(SF):
         pytest.skip("no test data")
