@@ -1,6 +1,4 @@
 """The rows that the KPI job makes, one tick against many, and what its plans read."""
-import datetime as dt
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +10,7 @@ from voltrail.operators import job as JOB
 from voltrail.operators import kpi as K
 from voltrail.operators import readings as R
 from voltrail.operators import rollup as RU
-from voltrail.params import DAY_COLUMNS, FIXTURE_PARAMS, KPI_COLUMNS
+from voltrail.params import DAY_COLUMNS, FIXTURE_PARAMS
 from voltrail.plans import joins
 from voltrail.session import scratch_path
 from voltrail.sources import store as ST
@@ -49,7 +47,7 @@ def test_deltas_need_both_uploads(spark):
     got = {r.seq: r.c_C for r in R.meter_deltas(sums, 1, "c", ("C",)).collect()}
     assert got == {T: 0.0, T + 1: 0.0, T + 2: 0.0, T + 3: 3.0}
     lacking = sums.withColumn("l", F.when(F.col("seq") == T + 2, 1).otherwise(0))
-    strict = lacking.select("seq", R.lag_delta("s_C", 1, strict="l").alias("d")).collect() if False else lacking.withColumn("d", R.lag_delta("s_C", 1, strict="l")).collect()
+    strict = lacking.withColumn("d", R.lag_delta("s_C", 1, strict="l")).collect()
     assert {r.seq: r.d for r in strict}[T + 3] is None
 
 
@@ -195,4 +193,14 @@ def test_stored_tables_have_the_declared_columns(spark):
     for name, schema in (("kpi_real", SC.KPI_REAL), ("kpi_day", SC.KPI_DAY)):
         stored = JOB.scan_kpi(spark, root, name, T, T)
         assert [(f.name, f.dataType) for f in stored.schema] == [(f.name, f.dataType) for f in schema]
-    assert ST.table_exists(spark, f"{root}/kpi_status") and KPI_COLUMNS[0] == "d2" and dt
+    assert ST.table_exists(spark, f"{root}/kpi_status")
+
+
+def test_a_callers_time_zone_stays_and_changes_no_result(spark):
+    import __spark_entry__ as E
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    for name in ("tick_floor", "kpi_day"):
+        a = sorted(tuple(r) for r in E.queries()[name](spark, SF).collect())
+        assert a == sorted(tuple(r) for r in E.queries()[name](other, SF).collect())
+    assert other.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"

@@ -65,10 +65,7 @@ CATALOG: tuple[tuple[int, str, str, int], ...] = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # The tick grid is defined in UTC: the driver tables hold zone-less
-    # timestamps, read as UTC wall-clock time whatever the caller's session zone.
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """A driver table; its zone-less timestamps are read in the session's zone, which must be UTC (``utc_session``)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from voltrail.session import utc_session
+
 Builder = Callable[[SparkSession, str], DataFrame]
 
 
@@ -25,6 +27,6 @@ def register(name: str, oracle: str | None, *survey_ids: str):
     def deco(fn: Builder) -> Builder:
         if name in REGISTRY:
             raise ValueError(f"duplicate query {name}")
-        REGISTRY[name] = Entry(name, fn, oracle, survey_ids)
+        REGISTRY[name] = Entry(name, lambda spark, sf_dir: fn(utc_session(spark), sf_dir), oracle, survey_ids)
         return fn
     return deco

@@ -66,3 +66,22 @@ def file_system(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def utc_session(spark: SparkSession) -> SparkSession:
+    """``spark`` itself where its time zone is UTC, else a session beside it that differs in this alone.
+
+    Ticks are UTC wall-clock times, and texts of them are made in the session's zone; the caller's
+    own settings stay as they are.
+    """
+    if spark.conf.get("spark.sql.session.timeZone") == "UTC":
+        return spark
+    beside = spark.__dict__.get("_voltrail_utc")
+    if beside is None:
+        beside = spark.newSession()
+        for key, value in spark.conf.getAll.items():
+            if spark.conf.isModifiable(key):
+                beside.conf.set(key, value)
+        beside.conf.set("spark.sql.session.timeZone", "UTC")
+        spark._voltrail_utc = beside
+    return beside
