@@ -71,3 +71,17 @@ def test_sliding_least():
     x = np.random.default_rng(1).integers(0, 99, 50)
     for n in (1, 2, 3, 7, 10):
         assert S.sliding_least(x, n).tolist() == [x[i:i + n].min() for i in range(50 - n + 1)]
+
+
+def test_a_phrase_with_other_words_around_it_is_spread_over_blocks(spark, docs_of, monkeypatch):
+    phrase = " ".join(f"p{i}" for i in range(18))
+    given = [(i, f"a{i} b{i} {phrase} e{i} f{i}") for i in range(300)]
+    given += [(1000 + i, given[i][1]) for i in range(0, 300, 50)]
+    df = docs_of(given)
+    for hot in (10**9, 50):
+        monkeypatch.setattr(S, "HOT", hot)
+        assert (len(S.hot_anchors(S.keyed(df))) > 0) == (hot == 50)
+        assert sorted(tuple(r) for r in S.digests(df).collect()) == sorted(brute(given))
+    sizes = lambda h: [len(v) for b in S.index_blocks(20, h)(S.keyed(df).select("id", "tag", "text").toArrow().to_batches()) for v in b.column(1).to_pylist()]
+    none, some = sizes(np.empty(0, dtype=np.uint64)), sizes(S.hot_anchors(S.keyed(df)))
+    assert max(some) < max(none) / 2

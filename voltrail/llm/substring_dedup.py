@@ -11,9 +11,12 @@ The reference is all text, indexed in blocks.  The least hash of the 11-word run
 its anchor; equal windows have equal anchors, and neighbouring windows mostly share theirs.  A
 window is filed under its anchor in the block that the anchor's hash names, so each block answers
 for every window that could match in it and no block sees a document whole.  A block's size is
-bounded (``BLOCK`` bytes of text a block on average): their number follows the input.  Before
-anything is sent, a task drops what repeats within the text it has at hand, so that a passage that
-many documents share reaches its block once a task and not once a document.
+bounded (``BLOCK`` bytes of text a block on average): their number follows the input.  Two things
+keep single blocks from growing.  Before anything is sent, a task drops what repeats within the
+text it has at hand, so that a passage that many documents share reaches its block once a task
+and not once a document.  And the anchors of all text are counted first: the windows of an anchor
+that stands in very many places (a phrase with ever other words around it) are filed under
+their own hashes instead, over all blocks.  That a window matches doesn't depend on it.
 
 Null or empty text: no words, nothing removed.  Rows with equal doc_id: different texts are
 different documents (ordered by a hash of the text), rows alike in both are one document.  A null
@@ -31,11 +34,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltrail.llm import words
+from voltrail.llm.store import written
 
 WINDOW = 20
 ANCHOR = 11  # words whose hash files a window; WINDOW - ANCHOR + 1 of them stand in it
 BLOCK = 24 << 20  # bytes of text a block of the index
 FLUSH = 24 << 20  # bytes of text that a task indexes at a time
+LOCAL_HOT = 8  # places of an anchor in ``FLUSH`` bytes of text from which it is counted
+HOT = 20_000  # places of an anchor in all text from which its windows are spread
+MOST_HOT = 500_000  # so many anchors at most are spread: those with more than this share of all places
 NO_ID = -(2**63)
 FACTOR = "id bigint, tag bigint, start int, n int, ref_id bigint, ref_start int"
 KIND = np.dtype([("id", "<i8"), ("tag", "<i8"), ("start", "<i4"), ("n", "<i4"), ("ref_id", "<i8"), ("ref_start", "<i4")])
@@ -98,33 +105,81 @@ def unpacked(value: bytes, *kinds: np.dtype) -> list[np.ndarray]:
     return out
 
 
-GROUPS = ("u8", "<i8", "<i8", "<i4", "<i4", "u1")  # anchor, id, tag, start, windows; five bytes of each window's hash
+GROUPS = ("u8", "<i8", "<i8", "<i4", "<i4", "u1")  # what a window is filed under, id, tag, start, windows; five bytes of each window's hash
 
 
-def index_part(ids: np.ndarray, tags: np.ndarray, texts: list[bytes]) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+def anchored(w: words.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first words of the windows, their anchors, word hashes)."""
+    word = w.hashes()
+    at = w.windows(WINDOW)
+    if not len(at):
+        return at, np.empty(0, dtype=np.uint64), word
+    n = np.arange(len(word) + 1)
+    grams = words.run_hash(word, n[:-ANCHOR], n[ANCHOR:])
+    return at, sliding_least(grams, WINDOW - ANCHOR + 1)[at], word
+
+
+def hot_anchors(rows: DataFrame) -> np.ndarray:
+    """Anchors with very many places in all text, sorted; at most ``MOST_HOT``."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def flush() -> pa.RecordBatch:
+            anchor, n = np.unique(np.concatenate(held), return_counts=True)
+            often = n >= LOCAL_HOT
+            # The rest only counts in the total, under a number that no anchor is kept for.
+            out = np.concatenate((anchor[often].view(np.int64), [0])), np.concatenate((n[often], [n[~often].sum()]))
+            return pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1])], ["anchor", "n"])
+
+        for _, texts in words.parts(batches, "text"):
+            w = words.split(texts)
+            at, anchor, _ = anchored(w)
+            if len(at):
+                held.append(anchor[runs(anchor, w.text_of[at])])
+                size += sum(map(len, texts))
+            if size >= FLUSH:
+                yield flush()
+                held, size = [], 0
+        if held:
+            yield flush()
+
+    counts = rows.select("text").mapInArrow(count, "anchor bigint, n bigint").groupBy("anchor").agg(F.sum("n").alias("n"))
+    counts = written(counts, "anchors")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    often = counts.where((F.col("n") >= max(HOT, total // MOST_HOT + 1)) & (F.col("anchor") != 0)).select("anchor")
+    return np.sort(np.array([r[0] for r in often.collect()], dtype=np.int64).view(np.uint64))  # ``MOST_HOT`` at most
+
+
+def among(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    if not len(ordered):
+        return np.zeros(len(x), dtype=bool)
+    return ordered[np.minimum(np.searchsorted(ordered, x), len(ordered) - 1)] == x
+
+
+def index_part(ids: np.ndarray, tags: np.ndarray, texts: list[bytes], hot: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
     """(factors within these texts, the other windows grouped by anchor)."""
     by = np.lexsort((tags, ids))
     ids, tags, w = ids[by], tags[by], words.split([texts[i] for i in by])
-    word = w.hashes()
-    at = w.windows(WINDOW)
+    at, anchor, word = anchored(w)
     if not len(at):
         return np.empty(0, dtype=KIND), tuple(np.empty(0, dtype=k) for k in GROUPS)
     n = np.arange(len(word) + 1)
     whole = words.run_hash(word, n[at], n[at] + WINDOW)
-    grams = words.run_hash(word, n[:-ANCHOR], n[ANCHOR:])
-    anchor = sliding_least(grams, WINDOW - ANCHOR + 1)[at]
     text = w.text_of[at]
     start = (at - w.first[text]).astype(np.int32)
     local, found = factors_of(ids[text], tags[text], start, whole)
     keep = np.flatnonzero(~found)
     anchor, whole, start, text = anchor[keep], whole[keep], start[keep], text[keep]
-    cut = runs(anchor, text, start - np.arange(len(keep)))
+    spread = among(anchor, hot)
+    filed = np.where(spread, words.mix(anchor ^ whole), anchor)
+    cut = runs(filed, text, start - np.arange(len(keep)))
     size = np.diff(np.concatenate((cut, [len(keep)]))).astype(np.int32)
     five = np.ascontiguousarray(whole.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5])
-    return local, (anchor[cut], ids[text[cut]], tags[text[cut]], start[cut], size, five)
+    return local, (filed[cut], ids[text[cut]], tags[text[cut]], start[cut], size, five)
 
 
-def index_blocks(n_blocks: int):
+def index_blocks(n_blocks: int, hot: np.ndarray):
     """Documents -> rows (block, index): what each block is to hold, and factors that were found at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,7 +206,7 @@ def index_blocks(n_blocks: int):
         for batch, texts in words.parts(batches, "text"):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             tags = batch.column(1).to_numpy(zero_copy_only=False)
-            held.append(index_part(ids, tags, texts))
+            held.append(index_part(ids, tags, texts, hot))
             size += sum(map(len, texts))
             if size >= FLUSH:
                 yield flush()
@@ -200,7 +255,7 @@ def factors(rows: DataFrame) -> DataFrame:
     spark = rows.sparkSession
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BLOCK))
-    filed = rows.select("id", "tag", "text").mapInArrow(index_blocks(n_blocks), "block int, held binary")
+    filed = rows.select("id", "tag", "text").mapInArrow(index_blocks(n_blocks, hot_anchors(rows)), "block int, held binary")
     return filed.groupBy("block").applyInArrow(match_block, FACTOR)
 
 
