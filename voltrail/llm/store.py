@@ -30,8 +30,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Setting, its default, and the size that whole texts are sent to Python workers in.
+BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m")
+
+
 def ship(spark: SparkSession) -> None:
-    """Make this package importable in Python workers, once a session, as ``--py-files`` would."""
+    """Make this package importable in Python workers, once a session, as ``--py-files`` would.
+
+    A batch of whole texts lies in the JVM and in the worker several times over, so where the
+    session has left the size of Arrow batches at its default, they are made smaller."""
+    key, default, smaller = BATCH
+    if spark.conf.get(key, default) == default:
+        spark.conf.set(key, smaller)
     context = spark.sparkContext
     if getattr(context, "_voltrail_shipped", False):
         return

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -115,15 +116,14 @@ def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
 def parts(batches: Iterable[pa.RecordBatch], column: str, limit: int = 2 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Each batch in slices of about ``limit`` bytes of text (one text at least), which bounds a task's memory."""
     for batch in batches:
-        texts = as_bytes(batch.column(batch.schema.get_field_index(column)))
-        at = size = 0
-        for i, t in enumerate(texts):
-            if size and size + len(t) > limit:
-                yield batch.slice(at, i - at), texts[at:i]
-                at, size = i, 0
-            size += len(t)
-        if len(texts) > at:
-            yield batch.slice(at), texts[at:]
+        texts = batch.column(batch.schema.get_field_index(column))
+        size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < len(texts):
+            before = int(size[at - 1]) if at else 0
+            n = max(1, int(np.searchsorted(size, before + limit, side="right")) - at)
+            yield batch.slice(at, n), as_bytes(texts.slice(at, n))
+            at += n
 
 
 class Table:
