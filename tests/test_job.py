@@ -139,10 +139,10 @@ def test_plans_read_readings_once_and_status_only_where_used(spark):
     w["readings"].write.parquet(f"{path}/readings_t")
     w["status"].write.parquet(f"{path}/status_t")
     rd, st = spark.read.parquet(f"{path}/readings_t"), spark.read.parquet(f"{path}/status_t")
-    x = K.analog_inputs(w["lines"], w["stations"], w["points"], rd)
-    means = K.present(x, ["m_ZTX_T"])
+    job = K.Job(w["lines"], w["stations"], w["points"], rd, st)
+    means = K.present(job.analog(), ["m_ZTX_T"])
     assert scans(means, "readings_t")[1] == 1 and scans(means, "status_t")[0] == 0
-    day = K.kpi_day(K.kpi_real_status(K.run_inputs(x, w["stations"], w["points"], st), FIXTURE_PARAMS))
+    day = K.kpi_day(K.kpi_real_status(job.inputs(), FIXTURE_PARAMS))
     assert scans(day, "readings_t")[1] == 1 and scans(day, "status_t")[0] == 1
     assert fx.N_STATIONS == 25
 

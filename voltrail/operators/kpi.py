@@ -159,32 +159,38 @@ def round4(col: Column) -> Column:
 
 # ----------------------------------------------------------------------------- job
 
-def analog_inputs(lines: DataFrame, stations: DataFrame, points: DataFrame, readings: DataFrame,
-                  lo: int | None = None, hi: int | None = None) -> DataFrame:
-    """Per managed station and active tick (within lo..hi): every formula input but the run status.
+class Job:
+    """What the formulas of one job read, over managed stations and active ticks (within lo..hi).
 
-    Columns: station_abbr, seq, area, has, m_*, c_*, e_ALL_ZNDB.  The readings are scanned once:
-    their class sums are persisted and read by the grid and by the scores.
+    ``grid`` (its rows), ``classified`` (points by class) and ``sums`` (class sums of the readings)
+    are read several times and are small beside the readings: they are persisted, so each table is
+    scanned once.  Nothing runs before a result is asked for.
     """
-    managed = P.managed_stations(lines, stations).select("station_abbr", "area")
-    classified = P.classify_points(points, stations)
-    sums = R.tick_sums(readings, classified).persist()
-    x = R.on_grid(R.tick_grid(managed, sums, lo, hi), sums)
-    x = R.class_means(x, P.class_sizes(classified, MEAN_CLASSES))
-    x = R.meter_deltas(x, 1, "c")
-    return R.meter_deltas(x, DAY_TICKS, "e", classes=("ALL_ZNDB",))
 
+    def __init__(self, lines: DataFrame, stations: DataFrame, points: DataFrame, readings: DataFrame,
+                 status: DataFrame | None = None, lo: int | None = None, hi: int | None = None):
+        managed = P.managed_stations(lines, stations).select("station_abbr", "area")
+        self.status = status
+        self.classified = P.classify_points(points, stations).persist()
+        self.sums = R.tick_sums(readings, self.classified).persist()
+        self.grid = R.tick_grid(managed, self.sums, lo, hi).persist()
 
-def run_inputs(x: DataFrame, stations: DataFrame, points: DataFrame, status: DataFrame) -> DataFrame:
-    """``x`` with on_*: the status log is scanned once, and only by what needs the run status."""
-    classified = P.classify_points(points, stations)
-    return S.with_flags(x, S.run_flags(status, classified, x.select("station_abbr", "seq")))
+    def analog(self) -> DataFrame:
+        """station_abbr, seq, area, has, m_*, c_*, e_ALL_ZNDB: every input but the run status."""
+        x = R.on_grid(self.grid, self.sums)
+        x = R.class_means(x, P.class_sizes(self.classified, MEAN_CLASSES))
+        x = R.meter_deltas(x, 1, "c")
+        return R.meter_deltas(x, DAY_TICKS, "e", classes=("ALL_ZNDB",))
+
+    def inputs(self) -> DataFrame:
+        """Every formula input: ``analog`` and on_*."""
+        return S.with_flags(self.analog(), S.run_flags(self.status, self.classified, self.grid))
 
 
 def inputs(lines: DataFrame, stations: DataFrame, points: DataFrame, readings: DataFrame, status: DataFrame,
            lo: int | None = None, hi: int | None = None) -> DataFrame:
     """Per managed station and active tick: every formula input."""
-    return run_inputs(analog_inputs(lines, stations, points, readings, lo, hi), stations, points, status)
+    return Job(lines, stations, points, readings, status, lo, hi).inputs()
 
 
 #: Scores that need no run status.

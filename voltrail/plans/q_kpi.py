@@ -45,18 +45,16 @@ def _world(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+def _job(spark, sf_dir) -> K.Job:
+    return _memo(spark, (sf_dir, "job"), lambda: K.Job(**world(spark, sf_dir)))
+
+
 def _analog(spark, sf_dir) -> DataFrame:
-    def make():
-        w = world(spark, sf_dir)
-        return K.analog_inputs(w["lines"], w["stations"], w["points"], w["readings"])
-    return _memo(spark, (sf_dir, "analog"), make)
+    return _memo(spark, (sf_dir, "analog"), lambda: _job(spark, sf_dir).analog())
 
 
 def _inputs(spark, sf_dir) -> DataFrame:
-    def make():
-        w = world(spark, sf_dir)
-        return K.run_inputs(_analog(spark, sf_dir), w["stations"], w["points"], w["status"])
-    return _memo(spark, (sf_dir, "inputs"), make)
+    return _memo(spark, (sf_dir, "inputs"), lambda: _job(spark, sf_dir).inputs())
 
 
 def _rs(spark, sf_dir) -> DataFrame:
