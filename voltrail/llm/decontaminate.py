@@ -149,8 +149,8 @@ class Index:
             rep.triples[c] = three[of], of
         return rep
 
-    def edited(self) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
-        """Items with as many random edits as are allowed, in other text; (item, words before, words, place of each word of the item)."""
+    def edited(self) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        """Items with as many random edits as are allowed and other words after them: (item, words, which word of the item each is)."""
         out, rng = [], self.rng
         for t in range(TRIALS):
             i = t % len(self.seqs) if len(self.seqs) >= TRIALS else int(rng.integers(len(self.seqs)))
@@ -160,14 +160,14 @@ class Index:
                 new = (int(rng.integers(2**63)), -1)
                 s[k:k + 1] = [new] if kind == 0 else [] if kind == 1 and len(s) > 1 else [new, s[k]]
             tail = [(int(rng.integers(2**63)), -1) for _ in range(30)]
-            out.append((i, 0, np.array([x[0] for x in s + tail], dtype=np.uint64), np.array([x[1] for x in s])))
+            out.append((i, np.array([x[0] for x in s + tail], dtype=np.uint64), np.array([x[1] for x in s])))
         return out
 
     def caught(self, rep: Repetition, trials: list) -> np.ndarray:
         """Whether the walk from the place where the item's starting word now stands finds the item."""
         out = np.zeros(len(trials), dtype=bool)
         at, seqs, which = [], [], []
-        for t, (i, _, s, place) in enumerate(trials):
+        for t, (i, s, place) in enumerate(trials):
             k = np.flatnonzero(place == rep.offset[i])
             if len(k):
                 at.append(int(k[0]))
@@ -253,10 +253,8 @@ class Index:
         item, start = self.candidates(h, w.first[1:][text])
         if not len(item):
             return out
-        # The expected start may lie before its text; the sampled word tells which text it is.
-        offset_text = text[np.clip(start, 0, len(h) - 1)]
         order = np.lexsort((start, item))
-        item, start, offset_text = item[order], start[order], offset_text[order]
+        item, start = item[order], start[order]
         fresh = np.concatenate(([True], (item[1:] != item[:-1]) | (start[1:] != start[:-1])))
         item, start = item[fresh], start[fresh]
         cut = np.searchsorted(item, np.arange(len(self.seqs) + 1))
