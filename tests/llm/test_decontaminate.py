@@ -97,3 +97,10 @@ def test_more_blocks_find_the_same(spark, docs_of, monkeypatch):
     whole = sorted(tuple(r) for r in D.leaks(df, table).collect())
     monkeypatch.setattr(D.blocks, "__defaults__", (3000,))
     assert sorted(tuple(r) for r in D.leaks(df, table).collect()) == whole and len(whole) >= 40
+
+
+def test_items_at_the_edges_of_texts():
+    item = " ".join(f"w{i}" for i in range(20))
+    cut = [" ".join(f"w{i}" for i in range(4, 20)), " ".join(f"w{i}" for i in range(16)), "x y " + item, item + " x y", item]
+    found = D.Index([item.encode()]).search([t.encode() for t in cut] + [b"", b"w1"])
+    assert [[(h[1], h[3]) for h in f] for f in found] == [[(0, 4)], [(0, 4)], [(2, 0)], [(0, 0)], [(0, 0)], [], []]

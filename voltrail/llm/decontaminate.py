@@ -183,15 +183,15 @@ class Index:
         out[which] = got == want[item]
         return out
 
-    def candidates(self, h: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(item, expected start) of the windows of words ``h`` (``end``: where each word's text ends) that agree with an item."""
+    def candidates(self, h: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, expected start, first sampled word) of the windows of words ``h`` (``end``: where each word's text ends) that agree with an item."""
         # One bit a repetition: which of them have a word of this hash prefix first.
         table = np.zeros(1 << 18, dtype=np.uint64)
         for r, rep in enumerate(self.reps):
             slot = (rep.first >> np.uint64(46)).astype(np.int64)
             table[slot] |= np.uint64(1 << r)
         some = table[(h >> np.uint64(46)).astype(np.int64)]
-        items, starts = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
+        items, starts, seen = ([np.empty(0, dtype=np.int64)] for _ in range(3))
         for r, rep in enumerate(self.reps):
             at = np.flatnonzero(some & np.uint64(1 << r))
             one = h[at]
@@ -211,17 +211,18 @@ class Index:
                 item = of[np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())]
                 items.append(item)
                 starts.append(at[which] - rep.offset[item])
-        return np.concatenate(items), np.concatenate(starts)
+                seen.append(at[which])
+        return np.concatenate(items), np.concatenate(starts), np.concatenate(seen)
 
     def plausible(self, item: int, start: np.ndarray, there: np.ndarray, held: np.ndarray) -> np.ndarray:
-        """Starts of the windows that hold one of the item's k + 1 rarest words: without them all, k edits don't do.
+        """Which windows hold one of the item's k + 1 rarest words: without them all, k edits don't do.
 
         ``there[held[w]:held[w + 1]]`` is where word w of the vocabulary stands in these texts."""
         k, n = int(self.most[item]), len(self.seqs[item])
         own = np.unique(self.word_of[item])
         rare = own[np.argsort(held[own + 1] - held[own], kind="stable")[:k + 1]]
         places = np.sort(np.concatenate([there[held[w]:held[w + 1]] for w in rare.tolist()]))
-        return start[np.searchsorted(places, start - 2 * k) < np.searchsorted(places, start + n + 2 * k)]
+        return np.searchsorted(places, start - 2 * k) < np.searchsorted(places, start + n + 2 * k)
 
     def verified(self, h: np.ndarray, begin: np.ndarray, end: np.ndarray, item: int, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, words, edits) of the best stretch around each window; begin and end bound the window's text."""
@@ -240,8 +241,9 @@ class Index:
             row = np.minimum.accumulate(left - step, axis=1) + step
         last = row.argmin(axis=1)
         best = row[np.arange(len(row)), last]
-        first = best & (wide - 1)
-        return start - 2 * k + first, last - first, best >> np.int64(32)
+        # What lies outside the text stands for words of the item that aren't there.
+        first = np.maximum(start - 2 * k + (best & (wide - 1)), begin)
+        return first, np.maximum(np.minimum(start - 2 * k + last, end) - first, 0), best >> np.int64(32)
 
     def search(self, texts: list[bytes]) -> list[list[tuple[int, int, int, int]]]:
         """(item, start, words, edits) of the items in each text; of several places of one item the best, then the first."""
@@ -250,25 +252,26 @@ class Index:
         if not len(w.starts) or not self.reps:
             return out
         h, text = w.hashes(), w.text_of
-        item, start = self.candidates(h, w.first[1:][text])
+        item, start, seen = self.candidates(h, w.first[1:][text])
         if not len(item):
             return out
-        order = np.lexsort((start, item))
-        item, start = item[order], start[order]
-        fresh = np.concatenate(([True], (item[1:] != item[:-1]) | (start[1:] != start[:-1])))
-        item, start = item[fresh], start[fresh]
+        of = text[seen]  # an expected start may lie before its text
+        order = np.lexsort((of, start, item))
+        item, start, of = item[order], start[order], of[order]
+        fresh = np.concatenate(([True], (item[1:] != item[:-1]) | (start[1:] != start[:-1]) | (of[1:] != of[:-1])))
+        item, start, of = item[fresh], start[fresh], of[fresh]
         cut = np.searchsorted(item, np.arange(len(self.seqs) + 1))
         which = self.vocabulary.get(h)
         there = np.flatnonzero(which >= 0)
         there = there[np.argsort(which[there], kind="stable")]
         held = np.searchsorted(which[there], np.arange(len(self.names) + 1))
         for i in np.flatnonzero(np.diff(cut)):
-            every = self.plausible(int(i), start[cut[i]:cut[i + 1]], there, held)
+            mine = slice(cut[i], cut[i + 1])
+            likely = self.plausible(int(i), start[mine], there, held)
+            every, texts_of = start[mine][likely], of[mine][likely]
             size = max(1, (1 << 20) // (len(self.seqs[i]) + 4 * int(self.most[i]) + 1))
             for a in range(0, len(every), size):
-                s = every[a:a + size]
-                # Middle word of the expected window: in the text if the window is.
-                t = text[np.clip(s + len(self.seqs[i]) // 2, 0, len(h) - 1)]
+                s, t = every[a:a + size], texts_of[a:a + size]
                 first, n, edits = self.verified(h, w.first[t], w.first[t + 1], int(i), s)
                 good = np.flatnonzero(edits <= self.most[i])
                 for g in good.tolist():
