@@ -137,7 +137,7 @@ def trigrams(query) -> set[bytes]:
 
 class Scanner:
     def __init__(self, rules: Sequence[Rule]):
-        self.rules = [(r, re.compile(r.pattern, re.ASCII), trigram_query(r.pattern)) for r in rules]
+        self.rules = [(r, compiled(r), trigram_query(r.pattern)) for r in rules]
         self.names = sorted(set().union(*(trigrams(q) for _, _, q in self.rules)))
         self.table = np.zeros(1 << 24, dtype=np.uint8 if len(self.names) < 256 else np.uint16)
         for i, t in enumerate(self.names, 1):
@@ -171,27 +171,19 @@ class Scanner:
         return set.intersection(*parts) if query[0] == "and" else set.union(*parts)
 
     def scan(self, texts: list[bytes]) -> list[list[tuple[str, int, int]]]:
+        """Spans (kind, start, end) of each text, by start and then by the order of the rules."""
         index, found = self.postings(texts), [[] for _ in texts]
-        decoded: dict[int, str] = {}
         for order, (rule, pattern, query) in enumerate(self.rules):
             for i in self.candidates(query, index, range(len(texts))):
-                if not texts[i]:
-                    continue
-                if query is ANY and rule.shortest > 1 and rule.group == 0:
-                    # Every text is read: ask for the shortest match at once if one character class is repeated.
-                    text = texts[i].decode()
-                    hits = self.repeated(rule).finditer(text)
-                else:
-                    text = decoded.get(i) or decoded.setdefault(i, texts[i].decode())
-                    hits = pattern.finditer(text)
-                found[i] += [(m.start(), order, m.end()) for m in hits if m.end(rule.group) - m.start(rule.group) >= rule.shortest]
+                if texts[i]:
+                    found[i] += [(m.start(), order, m.end()) for m in pattern.finditer(texts[i].decode()) if m.end(rule.group) - m.start(rule.group) >= rule.shortest]
         return [[(self.rules[o][0].kind, s, e) for s, o, e in sorted(f)] for f in found]
 
-    @lru_cache(maxsize=None)  # noqa: B019  a scanner lives as long as its worker
-    def repeated(self, rule: Rule) -> re.Pattern:
-        """``[class]+`` with a least length is ``[class]{length,}``: the same maximal runs, found faster."""
-        one = re.fullmatch(r"(\[[^\]\\]+\])\+", rule.pattern)
-        return re.compile(f"{one[1]}{{{rule.shortest},}}" if one else rule.pattern, re.ASCII)
+
+def compiled(rule: Rule) -> re.Pattern:
+    """A rule that is ``[class]+`` with a least length is matched as ``[class]{length,}``: the same maximal runs, found faster."""
+    one = re.fullmatch(r"(\[[^\]\\]+\])\+", rule.pattern)
+    return re.compile(f"{one[1]}{{{rule.shortest},}}" if one else rule.pattern, re.ASCII)
 
 
 @lru_cache(maxsize=4)
