@@ -20,7 +20,6 @@ from voltrail.operators import points as P
 from voltrail.operators import readings as R
 from voltrail.operators import status as S
 from voltrail.params import DAY_COLUMNS, DAY_TICKS, KPI_COLUMNS, MEAN_CLASSES, Params
-from voltrail.plans.joins import join_dimension
 
 
 def c(name: str) -> Column:

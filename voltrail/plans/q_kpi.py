@@ -11,7 +11,6 @@ from voltrail.operators.basics import seq_text
 from voltrail.operators import kpi as K
 from voltrail.operators import points as P
 from voltrail.operators import readings as R
-from voltrail.operators import status as S
 from voltrail.params import (DAY_COLUMNS, FIXTURE_PARAMS, KPI_COLUMNS, MEAN_CLASSES, METER_CLASSES,
                              RUN_CLASSES)
 from voltrail.plans import fixtures as fx
