@@ -40,8 +40,33 @@ def test_dedup_equals_brute_force(spark, docs_of):
 def test_small_blocks_and_flushes_change_nothing(spark, docs_of, monkeypatch):
     given = [x for x in rows() if x[0] is not None]
     monkeypatch.setattr(S, "BLOCK", 2000)
-    got = [tuple(r) for r in S.digests(docs_of(given).repartition(3)).collect()]
-    assert sorted(got) == sorted(brute(given))
+    want = sorted(brute(given))
+    assert sorted(tuple(r) for r in S.digests(docs_of(given).repartition(3)).collect()) == want
+
+
+def test_a_row_a_group_gives_what_packed_blocks_give():
+    import pyarrow as pa
+    texts = [(t or "").encode() for i, t in rows() if i is not None]
+    ids = np.arange(len(texts))
+    _, groups = S.index_part(ids, ids * 0, texts, np.empty(0, dtype=np.uint64))
+    back = S.groups_of(S.group_rows(*groups))
+    assert all((a == b.ravel()).all() for a, b in zip(back, groups))
+    assert all(len(x) == 0 for x in S.groups_of(S.group_rows(*(g[:0] for g in groups))))
+    filed, id_, tag, start, n, five = groups
+    whole = S.match_block(pa.table({"block": pa.array([0], pa.int32()), "held": pa.array([S.packed(*groups)], pa.binary())}), True)
+    rowwise = S.match_block(pa.table({"block": pa.array([0] * len(n), pa.int32()), "held": S.group_rows(*groups)}), False)
+    assert whole.num_rows == rowwise.num_rows and whole.equals(rowwise)
+
+
+def test_many_blocks_change_nothing(spark, docs_of, monkeypatch):
+    given = [x for x in rows() if x[0] is not None]
+    monkeypatch.setattr(S, "BLOCK", 3)  # more than ``PACKED`` blocks
+    assert sum(len(t or "") for _, t in given) / 3 > S.PACKED
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 50)
+    try:
+        assert sorted(tuple(r) for r in S.digests(docs_of(given).repartition(3)).collect()) == sorted(brute(given))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
 def test_equal_ids_with_other_texts_are_documents_of_their_own(spark, docs_of):

@@ -43,6 +43,7 @@ FLUSH = 24 << 20  # bytes of text that a task indexes at a time
 LOCAL_HOT = 8  # places of an anchor in ``FLUSH`` bytes of text from which it is counted
 HOT = 20_000  # places of an anchor in all text from which its windows are spread
 MOST_HOT = 500_000  # so many anchors at most are spread: those with more than this share of all places
+PACKED = 4096  # blocks up to which a task sends each block one value; beyond, these would be small, and each group is a row
 NO_ID = -(2**63)
 FACTOR = "id bigint, tag bigint, start int, n int, ref_id bigint, ref_start int"
 KIND = np.dtype([("id", "<i8"), ("tag", "<i8"), ("start", "<i4"), ("n", "<i4"), ("ref_id", "<i8"), ("ref_start", "<i4")])
@@ -105,9 +106,32 @@ def unpacked(value: bytes, *kinds: np.dtype) -> list[np.ndarray]:
     return out
 
 
+HEAD = np.dtype([("filed", "<u8"), ("id", "<i8"), ("tag", "<i8"), ("start", "<i4"), ("n", "<i4")])
 GROUPS = ("u8", "<i8", "<i8", "<i4", "<i4", "u1")  # what a window is filed under, id, tag, start, windows; five bytes of each window's hash
 
 
+def group_rows(filed: np.ndarray, ids: np.ndarray, tags: np.ndarray, start: np.ndarray, n: np.ndarray, five: np.ndarray) -> pa.Array:
+    """Each group as a value of its own: a head and five bytes a window."""
+    head = np.empty(len(filed), dtype=HEAD)
+    for name, x in zip(HEAD.names, (filed, ids, tags, start, n)):
+        head[name] = x
+    size = HEAD.itemsize + 5 * n.astype(np.int64)
+    ends = np.concatenate(([0], np.cumsum(size)))
+    out = np.empty(int(ends[-1]), dtype=np.uint8)
+    out[ends[:-1, None] + np.arange(HEAD.itemsize)] = head.view(np.uint8).reshape(-1, HEAD.itemsize)
+    out[words.spread(ends[:-1] + HEAD.itemsize, 5 * n.astype(np.int64))] = five.ravel()
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(out)])
+
+
+def groups_of(values: pa.Array) -> list[np.ndarray]:
+    """``GROUPS`` of what ``group_rows`` made."""
+    at = np.frombuffer(values.buffers()[1], dtype=np.int32)[values.offset:values.offset + len(values) + 1].astype(np.int64)
+    data = np.frombuffer(values.buffers()[2], dtype=np.uint8) if at[-1] else np.empty(0, dtype=np.uint8)
+    head = np.ascontiguousarray(data[at[:-1, None] + np.arange(HEAD.itemsize)]).view(HEAD).ravel()
+    five = data[words.spread(at[:-1] + HEAD.itemsize, 5 * head["n"].astype(np.int64))]
+    return [*(np.ascontiguousarray(head[name]) for name in HEAD.names), five]
+
+
 def anchored(w: words.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first words of the windows, their anchors, word hashes)."""
     word = w.hashes()
@@ -189,6 +213,11 @@ def index_blocks(n_blocks: int, hot: np.ndarray):
             local = np.concatenate([h[0] for h in held])
             anchor, ids, tags, start, n, five = (np.concatenate([h[1][i] for h in held]) for i in range(6))
             block = (words.mix(anchor) % np.uint64(n_blocks)).astype(np.int64)
+            if n_blocks > PACKED:
+                rows, to = group_rows(anchor, ids, tags, start, n, five), pa.array(block, pa.int32())
+                if len(local):
+                    rows, to = pa.concat_arrays([rows, pa.array([local.tobytes()], pa.binary())]), pa.concat_arrays([to, pa.array([-1 - int(local["id"][0] % n_blocks)], pa.int32())])
+                return pa.RecordBatch.from_arrays([to, rows], ["block", "held"])
             order = np.argsort(block, kind="stable")
             ends = np.searchsorted(block[order], np.arange(n_blocks + 1))
             first = np.concatenate(([0], np.cumsum(n)))
@@ -217,13 +246,13 @@ def index_blocks(n_blocks: int, hot: np.ndarray):
     return run
 
 
-def match_block(table: pa.Table) -> pa.Table:
+def match_block(table: pa.Table, packed_values: bool) -> pa.Table:
     """All that one block holds -> its factors."""
-    block = table.column("block")[0].as_py()
+    block, held = table.column("block")[0].as_py(), table.column("held")
     if block < 0:
-        out = np.concatenate([np.frombuffer(v, dtype=KIND) for v in table.column("held").to_pylist()])
+        out = np.concatenate([np.frombuffer(v, dtype=KIND) for v in held.to_pylist()])
         return pa.table([pa.array(np.ascontiguousarray(out[f])) for f in KIND.names], names=list(KIND.names))
-    parts = [unpacked(v.as_buffer().to_pybytes() if hasattr(v, "as_buffer") else v.as_py(), *GROUPS) for v in table.column("held")]
+    parts = [unpacked(v, *GROUPS) for v in held.to_pylist()] if packed_values else [groups_of(c) for c in held.chunks if len(c)]
     anchor, ids, tags, start, n, five = (np.concatenate([p[i] for p in parts]) for i in range(6))
     del parts
     five = five.reshape(-1, 5)
@@ -256,7 +285,8 @@ def factors(rows: DataFrame) -> DataFrame:
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BLOCK))
     filed = rows.select("id", "tag", "text").mapInArrow(index_blocks(n_blocks, hot_anchors(rows)), "block int, held binary")
-    return filed.groupBy("block").applyInArrow(match_block, FACTOR)
+    packed_values = n_blocks <= PACKED
+    return filed.groupBy("block").applyInArrow(lambda table: match_block(table, packed_values), FACTOR)
 
 
 def without_spans(text: Column, spans: Column) -> Column:
