@@ -192,26 +192,26 @@ class PrefixCounts:
     def count_all(self, texts: list[str], limit: int) -> tuple[np.ndarray, np.ndarray]:
         """(tokens of each text, characters of its longest prefix of at most ``limit`` tokens); each different word is done once."""
         total, fits = np.zeros(len(texts), dtype=np.int64), np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
-        spaced = [t.replace(SPACE, " ") for t in texts]
-        alone = np.array([bool(t) and (t[0] == " " or t[-1] == " " or "  " in t) for t in spaced], dtype=bool)
-        for i in np.flatnonzero(alone):
-            counts = self.every_prefix(texts[i])
-            total[i], fits[i] = counts[-1], np.flatnonzero(counts <= limit)[-1]
-        plain = np.array([i for i, t in enumerate(spaced) if t and not alone[i]], dtype=np.int64)
-        chars = np.frombuffer("".join(" " + spaced[i] for i in plain).encode("utf-32-le"), dtype=np.uint32).copy()
+        plain = np.flatnonzero(fits)
+        chars = np.frombuffer("".join(" " + texts[i] for i in plain).encode("utf-32-le"), dtype=np.uint32).copy()
         chars[chars == 32] = ord(SPACE)
-        starts = np.flatnonzero(chars == ord(SPACE))
+        text_at = np.cumsum(fits[plain] + 1) - fits[plain] - 1
+        space = chars == ord(SPACE)
+        begins = space.copy()
+        begins[1:] &= ~space[:-1]
+        begins[text_at] = True
+        starts = np.flatnonzero(begins)
         if not len(starts):
             return total, fits
         ends = np.concatenate((starts[1:], [len(chars)]))
         _, one, of = np.unique(words.stretch_hash(words.mix(chars.astype(np.uint64)), starts, ends), return_index=True, return_inverse=True)
         s, size = starts[one], (ends - starts)[one]
-        short = size <= LONG
+        several = (size > 1) & space[np.minimum(s + 1, len(chars) - 1)]
+        short = (size <= LONG) & ~several
         counts = self.word_prefixes(chars, s[short], size[short])
         for a, n in zip(s[~short].tolist(), size[~short].tolist()):
-            counts[a:a + n] = [c for c, _ in self.prefixes(chars[a:a + n].tobytes().decode("utf-32-le"))]
+            counts[a:a + n] = self.of_word(chars[a:a + n].tobytes().decode("utf-32-le"))
         tokens = counts[s + size - 1].astype(np.int64)[of]
-        text_at = np.cumsum(fits[plain] + 1) - fits[plain] - 1
         first = np.searchsorted(starts, text_at)
         total[plain] = np.add.reduceat(tokens, first)
         for k in np.flatnonzero(total[plain] > limit).tolist():
