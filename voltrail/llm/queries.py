@@ -92,3 +92,21 @@ def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from voltrail.llm import warc_zip
     return warc_zip.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+#: RFC 4648 base 32 of a SHA-1 in hex: 20 bits, 5 hex digits, are 4 characters.
+_BASE32 = """array_to_string([array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(x, 5 * g + 1, 5) AS INTEGER) >> s) & 31), 1)
+  for s in [15, 10, 5, 0]], '') for g in range(8)], '')"""
+ORACLES["op2_warc"] = f"""WITH d AS (SELECT page_id, strlen(COALESCE(html, '')) AS payload_bytes, sha1(COALESCE(html, '')) AS x,
+ max(page_id) OVER (PARTITION BY COALESCE(html, '')) AS last FROM pages)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+ CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> last THEN last END AS refers_to FROM d"""
+ORACLES["op7_substring_dedup"] = r"""WITH t AS (SELECT doc_id, [x for x in string_split_regex(COALESCE(text, ''), '[\x20\x09-\x0D]+') if x <> ''] AS w FROM documents),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM t),
+windows AS (SELECT doc_id, p AS pos, array_to_string(w[p:p + 19], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS p FROM t WHERE len(w) >= 20)),
+again AS (SELECT doc_id, pos FROM (SELECT doc_id, pos, row_number() OVER (PARTITION BY k ORDER BY doc_id, pos) AS n FROM windows) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 20)) AS pos FROM again),
+kept AS (SELECT x.doc_id, COUNT(g.pos) AS n_removed, string_agg(x.word, ' ' ORDER BY x.pos) FILTER (WHERE g.pos IS NULL) AS left_over
+ FROM words x LEFT JOIN gone g ON g.doc_id = x.doc_id AND g.pos = x.pos GROUP BY x.doc_id)
+SELECT t.doc_id, CAST(len(t.w) AS BIGINT) AS n_words, COALESCE(k.n_removed, 0) AS n_removed, sha256(COALESCE(k.left_over, '')) AS kept_sha256
+FROM t LEFT JOIN kept k ON k.doc_id = t.doc_id"""
