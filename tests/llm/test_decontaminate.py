@@ -104,3 +104,47 @@ def test_items_at_the_edges_of_texts():
     cut = [" ".join(f"w{i}" for i in range(4, 20)), " ".join(f"w{i}" for i in range(16)), "x y " + item, item + " x y", item]
     found = D.Index([item.encode()]).search([t.encode() for t in cut] + [b"", b"w1"])
     assert [[(h[1], h[3]) for h in f] for f in found] == [[(0, 4)], [(0, 4)], [(2, 0)], [(0, 0)], [(0, 0)], [], []]
+
+
+def sized(sizes, seed):
+    r = random.Random(seed)
+    return [" ".join(f"v{r.randrange(20000)}" for _ in range(n)) for n in sizes]
+
+
+def missed(items, of, n, seed):
+    """Share of ``n`` documents with an item of ``of``, edited as much as is allowed, in which it isn't found."""
+    r, docs = random.Random(seed), []
+    for _ in range(n):
+        i = r.choice(of)
+        w = items[i].split()
+        for _ in range(int(0.2 * len(w) + 1e-9)):
+            at, kind = r.randrange(len(w)), r.randrange(3)
+            w[at:at + 1] = [f"zz{r.randrange(9999)}"] if kind == 0 else [] if kind == 1 and len(w) > 1 else [w[at], f"yy{r.randrange(9999)}"]
+        a, b = ([f"q{r.randrange(999)}" for _ in range(40)] for _ in range(2))
+        docs.append((i, " ".join(a + w + b)))
+    found = D.Index([t.encode() for t in items]).search([t.encode() for _, t in docs])
+    return sum(all(h[0] != i for h in f) for (i, _), f in zip(docs, found)) / n
+
+
+def test_each_size_class_reaches_the_recall():
+    # A tenth of the items is long, behind the first 400 or among too few of them to count in a pooled rate.
+    for short in (270, 900):
+        items = sized([12] * short + [400] * (short // 9), 1)
+        assert missed(items, range(short, len(items)), 300, 5) <= 0.06
+        assert missed(items, range(short), 300, 5) <= 0.06
+
+
+def test_trials_are_spread_over_all_items():
+    index = D.Index([t.encode() for t in sized([12] * 1000, 2)])
+    tried = [i for i, _, _ in index.edited([D.np.arange(1000)])]
+    assert len(set(tried)) == D.TRIALS and max(tried) > 990 and index.most.max() == 2
+
+
+def test_classes_that_the_walks_do_not_reach_are_searched_everywhere(monkeypatch):
+    monkeypatch.setattr(D, "MOST", 1)
+    items = sized([12] * 40 + [60] * 10, 3)
+    index = D.Index([t.encode() for t in items])
+    assert len(index.reps) == 1 and len(index.everywhere) == 50
+    assert missed(items, range(50), 200, 6) == 0
+    edge = [" ".join(items[40].split()[12:]), "x " + " ".join(items[40].split()[:48]), items[3] + " " + items[4]]
+    assert [[(h[0], h[1], h[3]) for h in f] for f in index.search([t.encode() for t in edge])] == [[(40, 0, 12)], [(40, 1, 12)], [(3, 0, 0), (4, 12, 0)]]

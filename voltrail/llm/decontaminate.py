@@ -10,8 +10,9 @@ draws a new walk, a word of the item to start from (edits near one place don't f
 positions to sample; a window of the document is a candidate if all sampled symbols agree with an
 item's.  Windows start at every word.  They are taken item-sized: how far samples reach follows
 the item's length.  A window is dropped at the first symbol that no item has, so most cost
-one look-up a repetition.  The number of repetitions is what a simulation with the largest allowed
-number of random edits on the items themselves needs for ``recall``.
+one look-up a repetition.  Each size class of items gets the repetitions that a simulation with the
+largest allowed number of random edits on its own items needs for ``recall``.  A class that doesn't
+get there in ``MOST`` repetitions is searched for at every place where enough of its words stand.
 
 A candidate without any of the item's k + 1 rarest words (k: the edits allowed) needs more edits
 than that and is dropped.  Every other one is verified by the exact word edit distance between the item and the best stretch
@@ -35,10 +36,11 @@ from pyspark.sql import functions as F
 from voltrail.llm import words
 
 RATE = 0.2  # word edits a word of the item
-RECALL = 0.97  # that the walks must reach for items with the most edits allowed
+RECALL = 0.97  # that the walks must reach in each class of items with the most edits allowed
 BLOCK_BYTES = 8 << 20  # of item text that goes to tasks at once
-MOST = 60  # repetitions
-TRIALS = 400
+MOST = 60  # repetitions, a bit of a word each
+TRIALS = 400  # a class
+FEW = 7  # edits: below this, one edit more or less makes a class of its own in the simulation
 BETWEEN = words.SPACE.copy()
 BETWEEN[[*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = True
 PAD = np.uint64(0)
@@ -74,7 +76,7 @@ class Repetition:
 
     seed: int
     second: int  # step of the second sample
-    third: dict[int, int]  # size class -> step of the third
+    third: dict[int, int]  # size class -> step of the third, of the classes that need this repetition
     offset: np.ndarray  # word of each item that the walk starts from
     first: np.ndarray  # the items' symbols: sorted, without repeats
     pairs: np.ndarray
@@ -119,48 +121,52 @@ class Index:
         self.reps: list[Repetition] = []
         if not self.seqs:
             return
-        miss = np.ones(TRIALS)
-        trials = self.edited()
-        while len(self.reps) < MOST and miss.mean() > 1 - recall:
-            self.reps.append(self.repetition(len(self.reps) + seed * 100))
-            miss *= ~self.caught(self.reps[-1], trials)
-        self.recall = 1 - miss.mean()
+        same, group = np.unique(self.kind * (FEW + 1) + np.minimum(self.most, FEW), return_inverse=True)
+        trials = self.edited([np.flatnonzero(group == g) for g in range(len(same))])
+        missed = np.ones((len(same), TRIALS), dtype=bool)
+        lacking = np.ones(len(same), dtype=bool)
+        while len(self.reps) < MOST and lacking.any():
+            self.reps.append(self.repetition(len(self.reps) + seed * 100, np.unique(same[lacking] // (FEW + 1))))
+            missed &= ~self.caught(self.reps[-1], trials).reshape(missed.shape)
+            lacking = missed.mean(axis=1) > 1 - recall
+        self.everywhere = np.flatnonzero(lacking[group])  # items that the walks don't find often enough
 
     def flat(self, seqs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         end = np.cumsum([len(s) for s in seqs])
         return np.concatenate(seqs), end - [len(s) for s in seqs], end
 
-    def repetition(self, seed: int) -> Repetition:
+    def repetition(self, seed: int, kinds: np.ndarray) -> Repetition:
         rng = self.rng
         n = np.array([len(s) for s in self.seqs])
         offset = np.minimum((rng.random(len(n)) * (0.5 * n)).astype(np.int64), np.maximum(n - 1, 0))
         third = {}
-        for c in np.unique(self.kind).tolist():
+        for c in kinds.tolist():
             # A walk moves on at every second step: about this many lie before the end of the item.
             reach = int(n[self.kind == c].min())
             third[c] = int(rng.integers(min(3, reach), max(4, reach)))
         rep = Repetition(seed, int(rng.integers(1, 4)), third, offset, *[np.empty(0, dtype=np.uint64)] * 2, {})
-        h, at, end = self.flat(self.seqs)
-        one, two, three = samples(rep, h, at + offset, end, self.kind)
+        mine = np.flatnonzero(np.isin(self.kind, kinds))
+        h, at, end = self.flat([self.seqs[i] for i in mine])
+        one, two, three = samples(rep, h, at + offset[mine], end, self.kind[mine])
         rep.first, rep.pairs = np.unique(one), np.unique(two)
         for c in third:
-            of = np.flatnonzero(self.kind == c)
+            of = np.flatnonzero(self.kind[mine] == c)
             of = of[np.argsort(three[of], kind="stable")]
-            rep.triples[c] = three[of], of
+            rep.triples[c] = three[of], mine[of]
         return rep
 
-    def edited(self) -> list[tuple[int, np.ndarray, np.ndarray]]:
-        """Items with as many random edits as are allowed and other words after them: (item, words, which word of the item each is)."""
+    def edited(self, groups: list[np.ndarray]) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        """TRIALS items of each group, spread over all of it, with as many random edits as are allowed and other words after
+        them: (item, words, which word of the item each is)."""
         out, rng = [], self.rng
-        for t in range(TRIALS):
-            i = t % len(self.seqs) if len(self.seqs) >= TRIALS else int(rng.integers(len(self.seqs)))
-            s = list(zip(self.seqs[i].tolist(), range(len(self.seqs[i]))))
-            for _ in range(self.most[i]):
-                kind, k = rng.integers(3), int(rng.integers(len(s)))
-                new = (int(rng.integers(2**63)), -1)
-                s[k:k + 1] = [new] if kind == 0 else [] if kind == 1 and len(s) > 1 else [new, s[k]]
-            tail = [(int(rng.integers(2**63)), -1) for _ in range(30)]
-            out.append((i, np.array([x[0] for x in s + tail], dtype=np.uint64), np.array([x[1] for x in s])))
+        for of in groups:
+            for i in of[np.arange(TRIALS) * max(len(of), TRIALS) // TRIALS % len(of)].tolist():
+                s, k = list(zip(self.seqs[i].tolist(), range(len(self.seqs[i])))), int(self.most[i])
+                draws, new = rng.random((k, 2)).tolist(), rng.integers(2**63, size=k + 30).tolist()
+                for (kind, place), word in zip(draws, new):
+                    kind, at = int(3 * kind), int(place * len(s))
+                    s[at:at + 1] = [(word, -1)] if kind == 0 else [] if kind == 1 and len(s) > 1 else [(word, -1), s[at]]
+                out.append((i, np.array([x[0] for x in s] + new[k:], dtype=np.uint64), np.array([x[1] for x in s])))
         return out
 
     def caught(self, rep: Repetition, trials: list) -> np.ndarray:
@@ -169,7 +175,7 @@ class Index:
         at, seqs, which = [], [], []
         for t, (i, s, place) in enumerate(trials):
             k = np.flatnonzero(place == rep.offset[i])
-            if len(k):
+            if len(k) and self.kind[i] in rep.third:
                 at.append(int(k[0]))
                 seqs.append(s)
                 which.append(t)
@@ -178,8 +184,9 @@ class Index:
         h, start, end = self.flat(seqs)
         item = np.array([trials[t][0] for t in which])
         got = samples(rep, h, start + at, end, self.kind[item])[2]
-        h, start, end = self.flat(self.seqs)
-        want = samples(rep, h, start + rep.offset, end, self.kind)[2]
+        want = np.zeros(len(self.seqs), dtype=np.uint64)
+        for keys, of in rep.triples.values():
+            want[of] = keys
         out[which] = got == want[item]
         return out
 
@@ -214,6 +221,20 @@ class Index:
                 seen.append(at[which])
         return np.concatenate(items), np.concatenate(starts), np.concatenate(seen)
 
+    def places(self, item: int, which: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start, a word of its text) of windows that hold every stretch within the item's edits: such a stretch has at most
+        n + k words, n - k of them the item's.  ``which`` names the words in the vocabulary (-1: no item's)."""
+        k, n = int(self.most[item]), len(self.seqs[item])
+        own = np.zeros(len(self.names) + 1, dtype=bool)
+        own[self.word_of[item]] = True
+        held = np.concatenate(([0], np.cumsum(own[which])))
+        at = np.arange(len(which))
+        first = np.flatnonzero(held[np.minimum(at + n + k, end)] - held[at] >= n - k)
+        # A window is good for stretches that start up to k words before it.
+        start = -(-first // (k + 1)) * (k + 1)
+        fresh = np.flatnonzero(np.concatenate(([True], (start[1:] != start[:-1]) | (end[first[1:]] != end[first[:-1]])))[:len(first)])
+        return start[fresh], first[fresh]
+
     def plausible(self, item: int, start: np.ndarray, there: np.ndarray, held: np.ndarray) -> np.ndarray:
         """Which windows hold one of the item's k + 1 rarest words: without them all, k edits don't do.
 
@@ -253,6 +274,10 @@ class Index:
             return out
         h, text = w.hashes(), w.text_of
         item, start, seen = self.candidates(h, w.first[1:][text])
+        which = self.vocabulary.get(h)
+        for i in self.everywhere.tolist():
+            more = self.places(i, which, w.first[1:][text])
+            item, start, seen = (np.concatenate(x) for x in ((item, np.full(len(more[0]), i)), (start, more[0]), (seen, more[1])))
         if not len(item):
             return out
         of = text[seen]  # an expected start may lie before its text
@@ -261,7 +286,6 @@ class Index:
         fresh = np.concatenate(([True], (item[1:] != item[:-1]) | (start[1:] != start[:-1]) | (of[1:] != of[:-1])))
         item, start, of = item[fresh], start[fresh], of[fresh]
         cut = np.searchsorted(item, np.arange(len(self.seqs) + 1))
-        which = self.vocabulary.get(h)
         there = np.flatnonzero(which >= 0)
         there = there[np.argsort(which[there], kind="stable")]
         held = np.searchsorted(which[there], np.arange(len(self.names) + 1))
