@@ -204,3 +204,15 @@ def test_a_callers_time_zone_stays_and_changes_no_result(spark):
         a = sorted(tuple(r) for r in E.queries()[name](spark, SF).collect())
         assert a == sorted(tuple(r) for r in E.queries()[name](other, SF).collect())
     assert other.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+
+
+def test_the_job_from_files_gives_whole_24_hour_scores(spark):
+    import __spark_entry__ as E
+    got = {(r.station_abbr, r.kpi_time): r for r in E.queries()["kpi_tick_job_24h"](spark, SF).collect()}
+    day = E.queries()["kpi_day"](spark, SF).filter(F.col("kpi_time").isin([r.kpi_time for r in got.values()])).collect()
+    assert len(got) == len(day) > 0 and len({t for _, t in got}) <= 3
+    for r in day:
+        assert [got[(r.station_abbr, r.kpi_time)][c] for c in DAY_COLUMNS] == pytest.approx([r[c] for c in DAY_COLUMNS])
+    # Scores of the last ticks alone, as kpi_tick_job has them, are others.
+    alone = {(r.station_abbr, r.kpi_time): r for r in E.queries()["kpi_tick_job"](spark, SF).collect()}
+    assert set(alone) == set(got) and any(alone[k][c] != got[k][c] for k in got for c in DAY_COLUMNS)

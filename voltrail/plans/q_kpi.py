@@ -17,6 +17,8 @@ from voltrail.plans import fixtures as fx
 from voltrail.plans.oracle_core import (R4, TICK_TEXT, kpi_rs_cte, present, sql_formulas, with_ctes)
 from voltrail.plans.registry import register
 from voltrail.session import scratch_path
+from voltrail.sources import dropfolder as DF
+from voltrail.streaming import jobs as J
 
 P0 = FIXTURE_PARAMS
 
@@ -239,3 +241,26 @@ def q_kpi_tick_job(spark, sf_dir):
     for seq in [*range(end - _JOB_TICKS + 1, end + 1), end]:
         JOB.score_tick(spark, root, P0, seq_text(seq), w)
     return K.present(spark.read.parquet(f"{root}/kpi_day").withColumn("seq", tick_seq("tick")), DAY_COLUMNS)
+
+
+@register("kpi_tick_job_24h", with_ctes(
+    present("kpi_dayt", DAY_COLUMNS, f"WHERE seq > {_LAST_UP} - {_JOB_TICKS} AND seq <= {_LAST_UP}"), ("kpi_dayt",), RS),
+    "J-14", "A-8", "B-2")
+def q_kpi_tick_job_24h(spark, sf_dir):
+    # The whole job: the store holds all that came before, and the files of each of the last ticks are
+    # ingested and scored, the last tick's twice.
+    root, folder = scratch_path(spark, "tick-job-24h"), scratch_path(spark, "tick-drop")
+    w, end = world(spark, sf_dir), last_upload(spark, sf_dir)
+    first = end - _JOB_TICKS + 1
+    points = fx.fx_point(spark, sf_dir)
+    known_at = F.floor(F.unix_seconds("ts") / 1200) + 1  # the tick whose files bring a status change
+
+    def lines(readings, status, per_tick):
+        return DF.export_lines(w["lines"], w["stations"], points, w["readings"].filter(readings), w["status"].filter(status), per_tick)
+    before = lines(F.col("seq") < first, known_at < first, False)
+    J.merge_drop(spark, DF.route(before.withColumn("modified", F.timestamp_seconds(F.lit(0)))), root, 0)
+    JOB.store_real(spark, root, _rs(spark, sf_dir).filter(F.col("seq") < first))
+    DF.write_files(lines(F.col("seq").between(first, end), known_at.between(first, end), True), folder)
+    for seq in [*range(first, end + 1), end]:
+        JOB.run_tick(spark, folder, root, P0, seq_text(seq))
+    return K.present(spark.read.parquet(f"{root}/kpi_day").withColumn("seq", tick_seq("tick")), DAY_COLUMNS)

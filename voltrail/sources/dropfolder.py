@@ -133,13 +133,20 @@ def _day_tick_text(seq: Column) -> Column:
     return F.date_format(F.timestamp_seconds(day_start * 1200), "yyyyMMddHHmmss")
 
 
+def _tick_text(seq: Column) -> Column:
+    return F.date_format(F.timestamp_seconds(seq * 1200), "yyyyMMddHHmmss")
+
+
 def export_lines(lines_dim: DataFrame, stations: DataFrame, points: DataFrame,
-                 readings: DataFrame, status: DataFrame) -> DataFrame:
+                 readings: DataFrame, status: DataFrame, per_tick: bool = False) -> DataFrame:
     """(file_name, line) for a whole drop folder: dimension files at the first
-    day, and one status file and one file per analog chunk per station and day."""
+    day, and one status file and one file per analog chunk per station and day.
+
+    ``per_tick``: files of each tick instead, with the readings of the tick and the status changes before it."""
+    span, named, until = (1, _tick_text, 1) if per_tick else (72, _day_tick_text, 0)
     abbr = stations.join(lines_dim.select("line_name", "line_abbr"), "line_name").select("station_abbr", "line_abbr")
-    # The dimension files carry the first day's tick (one small aggregate).
-    first = readings.agg(F.min(F.floor(F.col("seq") / 72) * 72)).first()[0]
+    # The dimension files carry the first day's (or the first) tick (one small aggregate).
+    first = readings.agg(F.min(F.floor(F.col("seq") / span) * span)).first()[0]
     t0 = _seq_text(int(first))
 
     def dim(df: DataFrame, table: str, cols: list[str]) -> DataFrame:
@@ -153,7 +160,7 @@ def export_lines(lines_dim: DataFrame, stations: DataFrame, points: DataFrame,
                                   "equipment_name", "data_type", "statics", "unit", "quantity", "lower_limit",
                                   "upper_limit", "description"])
     st = join_dimension(status, abbr, "station_abbr").select(
-        F.concat(_day_tick_text(F.floor(F.unix_seconds("ts") / 1200)), F.lit("_hisdataYX_"), "line_abbr",
+        F.concat(named(F.floor(F.unix_seconds("ts") / 1200) + until), F.lit("_hisdataYX_"), "line_abbr",
                  F.lit("_"), "station_abbr", F.lit(".txt")).alias("file_name"),
         F.concat_ws("\t", F.col("id").cast("string"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), "value")
         .alias("line"))
@@ -164,7 +171,7 @@ def export_lines(lines_dim: DataFrame, stations: DataFrame, points: DataFrame,
         F.map_from_entries(F.collect_list(F.struct("pos", "value"))).alias("m"), F.max("pos").alias("maxpos"))
     cells = F.transform(F.sequence(F.lit(0), F.col("maxpos")), lambda i: F.coalesce(F.col("m")[i], F.lit("")))
     yc = join_dimension(g, abbr, "station_abbr").select(
-        F.concat(_day_tick_text(F.col("seq")), F.lit("_hisdata_"), "line_abbr", F.lit("_"), "station_abbr",
+        F.concat(named(F.col("seq")), F.lit("_hisdata_"), "line_abbr", F.lit("_"), "station_abbr",
                  F.lit("_"), F.col("chunk").cast("string"), F.lit(".txt")).alias("file_name"),
         F.concat_ws("\t", F.date_format("tick", "yyyy-MM-dd HH:mm:ss"), F.array_join(cells, "\t")).alias("line"))
     return center.unionByName(line).unionByName(point).unionByName(st).unionByName(yc)
