@@ -110,3 +110,21 @@ def test_a_phrase_with_other_words_around_it_is_spread_over_blocks(spark, docs_o
     sizes = lambda h: [len(v) for b in S.index_blocks(20, h)(S.keyed(df).select("id", "tag", "text").toArrow().to_batches()) for v in b.column(1).to_pylist()]
     none, some = sizes(np.empty(0, dtype=np.uint64)), sizes(S.hot_anchors(S.keyed(df)))
     assert max(some) < max(none) / 2
+
+
+def test_windows_of_one_anchor_are_told_apart_by_all_bits_of_their_hash():
+    import pyarrow as pa
+    low = np.uint64(0x1234567890)  # the five low bytes are alike
+    groups = lambda high: (np.array([7, 7], dtype=np.uint64), np.array([1, 2]), np.array([0, 0]), np.array([0, 0], dtype=np.int32), np.array([1, 1], dtype=np.int32), np.array([3 << 40, high << 40], dtype=np.uint64) | low)
+    for high, found in ((3, [2]), (4, [])):
+        packed = pa.table({"block": pa.array([0], pa.int32()), "held": pa.array([S.packed(*groups(high))], pa.binary())})
+        rowwise = pa.table({"block": pa.array([0, 0], pa.int32()), "held": S.group_rows(*groups(high))})
+        assert S.match_block(packed, True)["id"].to_pylist() == S.match_block(rowwise, False)["id"].to_pylist() == found
+
+
+def test_no_bits_of_a_hash_are_left_out():
+    text = " ".join(f"w{i}" for i in range(40)).encode()
+    _, groups = S.index_part(np.array([1]), np.array([0]), [text], np.empty(0, dtype=np.uint64))
+    w = S.words.split([text])
+    at = np.arange(21)
+    assert groups[5].tolist() == S.words.run_hash(w.hashes(), at, at + 20).tolist()

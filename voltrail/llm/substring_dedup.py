@@ -69,14 +69,13 @@ def runs(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def factors_of(ids: np.ndarray, tags: np.ndarray, starts: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(factors, which windows are found earlier) of windows in order of (id, tag, start); equal keys are equal windows."""
-    order = np.argsort(key, kind="stable")
-    k = key[order]
-    head = np.zeros(len(k), dtype=np.int64)
-    new = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1]))) if len(k) else head
+def factors_of(ids: np.ndarray, tags: np.ndarray, starts: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(factors, which windows are found earlier) of windows in order of (id, tag, start); windows alike in all keys are equal."""
+    order = np.lexsort(keys)
+    head = np.zeros(len(order), dtype=np.int64)
+    new = runs(*(k[order] for k in keys))
     head[new] = new
-    first = np.empty(len(k), dtype=np.int64)
+    first = np.empty(len(order), dtype=np.int64)
     first[order] = order[np.maximum.accumulate(head)]
     found = (ids[first] != ids) | (tags[first] != tags) | (starts[first] != starts)
     at = np.flatnonzero(found)
@@ -107,19 +106,19 @@ def unpacked(value: bytes, *kinds: np.dtype) -> list[np.ndarray]:
 
 
 HEAD = np.dtype([("filed", "<u8"), ("id", "<i8"), ("tag", "<i8"), ("start", "<i4"), ("n", "<i4")])
-GROUPS = ("u8", "<i8", "<i8", "<i4", "<i4", "u1")  # what a window is filed under, id, tag, start, windows; five bytes of each window's hash
+GROUPS = ("u8", "<i8", "<i8", "<i4", "<i4", "u8")  # what a window is filed under, id, tag, start, windows; each window's hash
 
 
-def group_rows(filed: np.ndarray, ids: np.ndarray, tags: np.ndarray, start: np.ndarray, n: np.ndarray, five: np.ndarray) -> pa.Array:
-    """Each group as a value of its own: a head and five bytes a window."""
+def group_rows(filed: np.ndarray, ids: np.ndarray, tags: np.ndarray, start: np.ndarray, n: np.ndarray, whole: np.ndarray) -> pa.Array:
+    """Each group as a value of its own: a head and eight bytes a window."""
     head = np.empty(len(filed), dtype=HEAD)
     for name, x in zip(HEAD.names, (filed, ids, tags, start, n)):
         head[name] = x
-    size = HEAD.itemsize + 5 * n.astype(np.int64)
+    size = HEAD.itemsize + 8 * n.astype(np.int64)
     ends = np.concatenate(([0], np.cumsum(size)))
     out = np.empty(int(ends[-1]), dtype=np.uint8)
     out[ends[:-1, None] + np.arange(HEAD.itemsize)] = head.view(np.uint8).reshape(-1, HEAD.itemsize)
-    out[words.spread(ends[:-1] + HEAD.itemsize, 5 * n.astype(np.int64))] = five.ravel()
+    out[words.spread(ends[:-1] + HEAD.itemsize, 8 * n.astype(np.int64))] = whole.view(np.uint8)
     return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(out)])
 
 
@@ -128,8 +127,8 @@ def groups_of(values: pa.Array) -> list[np.ndarray]:
     at = np.frombuffer(values.buffers()[1], dtype=np.int32)[values.offset:values.offset + len(values) + 1].astype(np.int64)
     data = np.frombuffer(values.buffers()[2], dtype=np.uint8) if at[-1] else np.empty(0, dtype=np.uint8)
     head = np.ascontiguousarray(data[at[:-1, None] + np.arange(HEAD.itemsize)]).view(HEAD).ravel()
-    five = data[words.spread(at[:-1] + HEAD.itemsize, 5 * head["n"].astype(np.int64))]
-    return [*(np.ascontiguousarray(head[name]) for name in HEAD.names), five]
+    whole = data[words.spread(at[:-1] + HEAD.itemsize, 8 * head["n"].astype(np.int64))].view("<u8")
+    return [*(np.ascontiguousarray(head[name]) for name in HEAD.names), whole]
 
 
 def anchored(w: words.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -199,8 +198,7 @@ def index_part(ids: np.ndarray, tags: np.ndarray, texts: list[bytes], hot: np.nd
     filed = np.where(spread, words.mix(anchor ^ whole), anchor)
     cut = runs(filed, text, start - np.arange(len(keep)))
     size = np.diff(np.concatenate((cut, [len(keep)]))).astype(np.int32)
-    five = np.ascontiguousarray(whole.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5])
-    return local, (filed[cut], ids[text[cut]], tags[text[cut]], start[cut], size, five)
+    return local, (filed[cut], ids[text[cut]], tags[text[cut]], start[cut], size, whole)
 
 
 def index_blocks(n_blocks: int, hot: np.ndarray):
@@ -211,10 +209,10 @@ def index_blocks(n_blocks: int, hot: np.ndarray):
 
         def flush() -> pa.RecordBatch:
             local = np.concatenate([h[0] for h in held])
-            anchor, ids, tags, start, n, five = (np.concatenate([h[1][i] for h in held]) for i in range(6))
+            anchor, ids, tags, start, n, whole = (np.concatenate([h[1][i] for h in held]) for i in range(6))
             block = (words.mix(anchor) % np.uint64(n_blocks)).astype(np.int64)
             if n_blocks > PACKED:
-                rows, to = group_rows(anchor, ids, tags, start, n, five), pa.array(block, pa.int32())
+                rows, to = group_rows(anchor, ids, tags, start, n, whole), pa.array(block, pa.int32())
                 if len(local):
                     rows, to = pa.concat_arrays([rows, pa.array([local.tobytes()], pa.binary())]), pa.concat_arrays([to, pa.array([-1 - int(local["id"][0] % n_blocks)], pa.int32())])
                 return pa.RecordBatch.from_arrays([to, rows], ["block", "held"])
@@ -225,7 +223,7 @@ def index_blocks(n_blocks: int, hot: np.ndarray):
             for b in np.flatnonzero(np.diff(ends)):
                 g = order[ends[b]:ends[b + 1]]
                 of = np.repeat(first[g] - np.concatenate(([0], np.cumsum(n[g])[:-1])), n[g]) + np.arange(n[g].sum())
-                out.append(packed(anchor[g], ids[g], tags[g], start[g], n[g], five[of]))
+                out.append(packed(anchor[g], ids[g], tags[g], start[g], n[g], whole[of]))
                 to.append(int(b))
             if len(local):  # any block passes these on
                 out.append(local.tobytes())
@@ -253,20 +251,16 @@ def match_block(table: pa.Table, packed_values: bool) -> pa.Table:
         out = np.concatenate([np.frombuffer(v, dtype=KIND) for v in held.to_pylist()])
         return pa.table([pa.array(np.ascontiguousarray(out[f])) for f in KIND.names], names=list(KIND.names))
     parts = [unpacked(v, *GROUPS) for v in held.to_pylist()] if packed_values else [groups_of(c) for c in held.chunks if len(c)]
-    anchor, ids, tags, start, n, five = (np.concatenate([p[i] for p in parts]) for i in range(6))
+    anchor, ids, tags, start, n, whole = (np.concatenate([p[i] for p in parts]) for i in range(6))
     del parts
-    five = five.reshape(-1, 5)
     names, of = np.unique(anchor, return_inverse=True)
     often = np.flatnonzero((np.bincount(of, minlength=len(names)) > 1)[of])
     first = np.concatenate(([0], np.cumsum(n)))
     g = often[np.lexsort((start[often], tags[often], ids[often]))]
     count = n[g]
     inner = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    wide = np.zeros((len(inner), 8), dtype=np.uint8)
-    wide[:, :5] = five[np.repeat(first[g], count) + inner]
-    # A block holds far fewer than 2**24 anchors, so anchor and window make one exact key.
-    key = wide.view("<u8").ravel() | np.repeat(of[g].astype(np.uint64), count) << np.uint64(40)
-    found, _ = factors_of(np.repeat(ids[g], count), np.repeat(tags[g], count), np.repeat(start[g], count) + inner.astype(np.int32), key)
+    key, filed = whole[np.repeat(first[g], count) + inner], np.repeat(of[g].astype(np.int32), count)
+    found, _ = factors_of(np.repeat(ids[g], count), np.repeat(tags[g], count), np.repeat(start[g], count) + inner.astype(np.int32), key, filed)
     return pa.table([pa.array(np.ascontiguousarray(found[f])) for f in KIND.names], names=list(KIND.names))
 
 
