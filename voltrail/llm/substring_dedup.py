@@ -1,11 +1,11 @@
-"""Duplicate passages by relative Lempel-Ziv parsing against all earlier text.
-
-A document is parsed into factors: longest runs of words that also stand, in one piece, at an
-earlier place (a smaller doc_id, or further up in the same document).  Factors of ``WINDOW`` words
-or more are duplicate spans.  A span may end where one factor ends and the next begins, though a
-window across that boundary stands earlier as well, at a third place; so every window of
-``WINDOW`` words is looked up, those over factor boundaries included, and a word goes if any
-window over it is found.
+"""Duplicate passages: every window of ``WINDOW`` words that also stands earlier.
+
+Relative Lempel-Ziv parsing cuts a document into factors: longest runs of words that also stand,
+in one piece, at an earlier place (a smaller doc_id, or further up in the same document).  Factors
+of ``WINDOW`` words or more are duplicate spans.  A span may end where one factor ends and the next
+begins, though a window across that boundary stands earlier as well, at a third place.  So factors
+aren't grown here: every window of ``WINDOW`` words is looked up by its hash, a word goes if any
+window over it is found, and windows found side by side are glued to pieces of factors.
 
 The reference is all text, indexed in blocks.  The least hash of the 11-word runs in a window is
 its anchor; equal windows have equal anchors, and neighbouring windows mostly share theirs.  A
