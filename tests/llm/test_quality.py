@@ -88,3 +88,24 @@ def test_kept_rows_have_all_their_columns(spark, docs_of, extra):
     df = docs_of([*ODD, (30, " ".join(f"w{i}" for i in range(70)))], extra)
     out = Q.keep_good(df, [])
     assert out.columns == df.columns and [r["doc_id"] for r in out.collect()] == [30]
+
+
+def test_learning_goes_on_after_a_rule_that_fails():
+    rng = np.random.default_rng(6)
+    n = 6000
+    rows = {f: rng.random(n) for f in Q.FEATURES}
+    noisy = (rows["word_length"] > 0.8) & (rng.random(n) < 0.7)  # never precise, and the first to be tried
+    rare = rows["repeat_share"] < 0.02
+    rules = Q.learn(rows, noisy | rare, np.arange(n) % 3 == 0)
+    fresh = {f: rng.random(n) for f in Q.FEATURES}
+    got = np.any([Q.covers(r, fresh, n) for r in rules], axis=0)
+    assert got[fresh["repeat_share"] < 0.015].mean() > 0.9 and got[fresh["repeat_share"] > 0.03].mean() < 0.02
+
+
+def test_few_labels_are_enough_for_a_clear_kind():
+    rng = np.random.default_rng(7)
+    rows = {f: rng.random(90) for f in Q.FEATURES}
+    bad = np.arange(90) < 12
+    rows["symbols_per_word"][bad] += 2
+    rules = Q.learn(rows, bad, np.arange(90) % 3 == 0)  # four of the twelve are for pruning
+    assert rules and (np.any([Q.covers(r, rows, 90) for r in rules], axis=0) == bad).all()

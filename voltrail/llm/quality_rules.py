@@ -4,7 +4,8 @@ Each document's statistics are counted once.  From a bounded, documented sample
 (``SAMPLE`` rows, those whose id hashes lowest) rules are learned one after another: a conjunction
 of thresholds grows on one part of the sample by the gain in information, its last conditions are
 pruned by their worth on the other part, and it joins the list if it is precise there.  Rows that
-a rule covers are taken out before the next one grows.  The list becomes one ordered Spark
+a rule covers are taken out before the next one grows; those of a rule that isn't precise, or covers
+so few that chance may do it, are only set aside, and learning goes on with the rest.  The list becomes one ordered Spark
 condition: the first rule that holds rejects the document, else it is kept.
 
 Documents that fail the base test (too short, or mostly repeated) are rejected whatever the list
@@ -27,7 +28,9 @@ from voltrail.llm import words
 SAMPLE = 20_000  # labelled rows that the list is learned from
 CUTS = 32  # thresholds tried for a statistic: so many quantiles
 PRECISE = 0.95  # least share of low-quality rows among those a rule covers, on the pruning part
-SUPPORT = 8  # least low-quality rows that a rule covers there
+SUPPORT = 0.002  # least share of the low-quality rows there that a rule covers
+LEAST = 2  # and so many of them
+CHANCE = 0.01  # that a rule of all those tried covers as many by luck
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_digits", "n_bars", "n_distinct")
 SYMBOLS = b"#*$%&|<>"
 
@@ -154,8 +157,11 @@ def learn(rows: dict[str, np.ndarray], bad: np.ndarray, prune_part: np.ndarray)
     """The ordered rules that cover low-quality rows (``bad``)."""
     rules: list[Rule] = []
     live = np.ones(len(bad), dtype=bool)
-    while (live & bad & ~prune_part).any():
-        rule = grow(rows, bad, live & ~prune_part)
+    aside = np.zeros(len(bad), dtype=bool)  # rows of rules that failed
+    least = max(LEAST, SUPPORT * (bad & prune_part).sum())
+    tried = 0
+    while (live & ~aside & bad & ~prune_part).any():
+        rule = grow(rows, bad, live & ~aside & ~prune_part)
         checked = live & prune_part
 
         def worth(r: Rule, checked: np.ndarray = checked) -> float:
@@ -165,9 +171,12 @@ def learn(rows: dict[str, np.ndarray], bad: np.ndarray, prune_part: np.ndarray)
         while len(rule) > 1 and worth(rule[:-1]) >= worth(rule):
             rule = rule[:-1]
         held = covers(rule, rows, len(bad))
-        p, n = (held & checked & bad).sum(), (held & checked).sum()
-        if not rule or p < SUPPORT or p < PRECISE * n:
+        p, n, tried = (held & checked & bad).sum(), (held & checked).sum(), tried + 1
+        if not rule:
             break
+        if p < least or p < PRECISE * n or ((checked & bad).sum() / max(1, checked.sum())) ** p > CHANCE / tried:
+            aside |= held
+            continue
         rules.append(rule)
         live &= ~held
     return rules
