@@ -109,3 +109,13 @@ def test_few_labels_are_enough_for_a_clear_kind():
     rows["symbols_per_word"][bad] += 2
     rules = Q.learn(rows, bad, np.arange(90) % 3 == 0)  # four of the twelve are for pruning
     assert rules and (np.any([Q.covers(r, rows, 90) for r in rules], axis=0) == bad).all()
+
+
+def test_rows_beyond_the_sample_are_cut_at_random(spark, docs_of, monkeypatch):
+    # Each id stands in four rows, two of them long; half of the rows are cut.
+    seen = []
+    monkeypatch.setattr(Q, "learn", lambda rows, bad, prune: seen.append(rows["n_words"]) or [])
+    df = docs_of([(i, f"w{i} x{k} " * size) for i in range(60) for k, size in enumerate((30, 30, 200, 200))])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, quality int")
+    Q.fit(df, labels, 120)
+    assert len(seen[0]) == 120 and 40 < (seen[0] > 300).sum() < 80

@@ -183,17 +183,17 @@ def learn(rows: dict[str, np.ndarray], bad: np.ndarray, prune_part: np.ndarray)
 
 
 def labelled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """Features, label and part of at most ``sample`` labelled documents; of several labels of one id the lowest counts."""
+    """Order (a hash of id and text), features, label and part of at most ``sample`` labelled documents; of several labels of one id the lowest counts."""
     ids = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # at most ``sample`` ids
-    rows = rows.select("doc_id", "quality", statistics(F.col("text")).alias("stats"))
-    return rows.select(*(feature(F.col("stats"), f).alias(f) for f in FEATURES), (F.col("quality") == 0).alias("bad"), (F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(3)) == 0).alias("prune"))
+    rows = rows.select("doc_id", "quality", F.xxhash64("doc_id", "text").alias("at"), statistics(F.col("text")).alias("stats"))
+    return rows.select("at", *(feature(F.col("stats"), f).alias(f) for f in FEATURES), (F.col("quality") == 0).alias("bad"), (F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(3)) == 0).alias("prune"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[Rule]:
-    # An id may stand in several rows: the limit holds for the rows as well.
-    t = labelled(docs, labels, sample).orderBy(*FEATURES, "bad", "prune").limit(sample).toPandas()
+    # An id may stand in several rows: the limit holds for the rows as well, and takes any of them alike.
+    t = labelled(docs, labels, sample).orderBy("at", *FEATURES, "bad", "prune").limit(sample).toPandas()
     if t["bad"].nunique() < 2:
         return []
     return learn({f: t[f].to_numpy(dtype=float) for f in FEATURES}, t["bad"].to_numpy(dtype=bool), t["prune"].to_numpy(dtype=bool))
