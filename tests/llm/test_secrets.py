@@ -60,3 +60,22 @@ def test_redaction_masks_spans_and_keeps_the_rest(spark, docs_of):
     assert out.columns == df.columns
     got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in out.collect()}
     assert got == {1: ("a [secret] b", 12), 2: (None, None), 3: ("nothing", 7), 4: ("é [secret] z [secret]", 21)}
+
+
+def test_a_private_key_is_masked_whole(spark, docs_of):
+    body = "\n".join("Ab3/" * 16 for _ in range(5)) + "\nshortEnd="
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    headers = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00FF\n"
+    flat = body.replace("\n", "\\n")
+    texts = [f"a {begin}\n{body}\n{end} b", f"a {begin}\n{headers}\n{body}\n{end}\nb", f"a {begin}\n{body}\nthen some words", f"a {begin}\n{headers}\n{body}",
+             f'a "{begin}\\n{flat}\\n{end}" b', f'a "{begin}\\n{flat}" b', f"the line {begin} alone\nand words", f"{begin} and {begin}\n{body}\n{end}", f"{begin}\r\n" + body.replace("\n", "\r\n") + f"\r\n{end}"]
+    want = ["a [secret] b", "a [secret]\nb", "a [secret]\nthen some words", "a [secret]", 'a "[secret]" b', 'a "[secret]" b', "the line [secret] alone\nand words", "[secret] and [secret]", "[secret]"]
+    out = {r["doc_id"]: r["text"] for r in S.redact_documents(docs_of(list(enumerate(texts)))).collect()}
+    assert [out[i] for i in range(len(texts))] == want
+
+
+def test_many_unended_keys_take_linear_time():
+    import time
+    t0 = time.time()
+    found = S.Scanner(S.RULES).scan([b"-----BEGIN PRIVATE KEY-----\n" * 20_000, b"-----BEGIN PRIVATE KEY-----\n" + b"a b - " * 200_000, b"-----BEGIN PRIVATE KEY-----" + b"\n" * 200_000 + b"A" * 100_000])
+    assert [len(f) for f in found] == [20_000, 1, 1] and time.time() - t0 < 20

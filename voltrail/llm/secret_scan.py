@@ -43,9 +43,14 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]+", 16),
     Rule("hex", r"[0-9a-f]+", 32),
 )
+#: A key reaches to its END line or, where that is missing, through its headers and lines of base64; the last may be short.
+#: Lines may also be parted by spaces or written-out line ends.
+_GAP = r"(?:\s|\\[rn])+"
+_LINE = _GAP + r"""[A-Za-z0-9+/]{40,}={0,2}(?=[\s\\"'`,]|\Z)"""
+_BODY = rf"""(?:{_GAP}(?:Proc-Type|DEK-Info):[^\r\n]*)*(?:{_LINE})+(?:(?:[\r\n]|\\[rn])+[A-Za-z0-9+/]+={{0,2}}(?=\s*[\r\n\\"'`,]|\s*\Z))?"""
 RULES = (
     *BASE,
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("private_key", rf"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?:[^-]|-(?!----))*+-----END [A-Z ]*PRIVATE KEY-----|{_BODY})?"),
     Rule("code_host", r"gh[opsu]_[A-Za-z0-9]{36}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("cloud_key", r"AIza[A-Za-z0-9_-]{35}"),
