@@ -64,3 +64,13 @@ def test_given_pages_give_what_their_article_holds(spark):
         parts = re.split(r"</?(?:p|h1)>", m[1] if m else "")
         parts = [" ".join(escapes.unescape(re.sub(r"</?b>", "", x.replace("<br>", " "))).split()) for x in parts]
         assert got[p["page_id"]] == "\n\n".join(x for x in parts if x)
+
+
+@pytest.mark.parametrize("inner,text", [
+    ("<h2 id='related-work'>Related work</h2>", "Related work"), ("<h3 id=\"search\">Search</h3>", "Search"), ("<ul><li id='notice'>An entry</li></ul>", "An entry"),
+    ("<section class='share-prices'><p>Prices rose</p></section>", "Prices rose"), ("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation encoding='t'>x\\eq 2</annotation></math> holds</p>", "so x=2 holds"),
+    ("<div class='box comments'><p>gone</p></div>", ""), ("<h2 class='related'>gone</h2>", ""),
+])
+def test_topics_of_an_article_are_no_asides(inner, text):
+    around = "<article><p>" + "word " * 40 + "</p>{}<p>" + "text " * 40 + "</p></article>"
+    assert local(around.format(inner)) == "\n\n".join(x for x in (" ".join(["word"] * 40), text, " ".join(["text"] * 40)) if x)

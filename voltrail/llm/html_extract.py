@@ -27,13 +27,14 @@ from pyspark.sql import functions as F
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[/!?a-zA-Z][^>]*+(?:>|\Z)""", re.DOTALL)
 #: HTML's block-level elements, elements whose content is no text, and void elements.
 BLOCK = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre search section summary table tbody td tfoot th thead tr ul".split())
-SILENT = frozenset("canvas embed iframe math noembed noframes noscript object script select style svg template textarea title video audio".split())
+SILENT = frozenset("canvas embed iframe annotation annotation-xml noembed noframes noscript object script select style svg template textarea title video audio".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements that hold no article text, and words of class, id or role that say so.
+#: Elements that hold no article text, and whole classes, ids or roles that say so; ids of headings and list items don't, they name a topic.
 ASIDE = frozenset("nav footer aside form menu dialog button fieldset".split())
-SAYS = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|commentlist|complementary|contentinfo|cookies?|copyright|disqus|footer|login|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|notification|pager|pagination|popup|promo\w*|reader-comments|related|replies|respond|search|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|subscription|toolbar|widget)(?:$|[\s_-])", re.IGNORECASE)
+SAYS = re.compile(r"(?:^|\s)(?:ads?|advert\w*|banner|breadcrumbs?|comments?|commentlist|complementary|contentinfo|cookies?|copyright|disqus|footer|login|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|notification|pager|pagination|popup|promo\w*|reader-comments|related|replies|respond|search|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|subscription|toolbar|widget)(?:$|\s)", re.IGNORECASE)
 HEAD = re.compile(r"(?:^|[\s_-])(?:header|site-header|page-header)(?:$|[\s_-])", re.IGNORECASE)
-NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.IGNORECASE)
+TOPIC = frozenset("h1 h2 h3 h4 h5 h6 li".split())
+NAMES = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.IGNORECASE)
 #: Of equally good splits the first feature's is taken.
 FEATURES = ("aside", "outside", "inside", "links", "words", "links_before", "links_after", "words_before", "words_after")
 
@@ -102,7 +103,7 @@ def blocks(html: str) -> list[tuple[str, int, int, bool, bool]]:
                 end_block()
                 state[2] = 0 if tag != "li" else state[2]
             if tag not in VOID and tag != "p" and (tag in BLOCK or "=" in m[3]):
-                names = " ".join(x.strip("\"'") for x in NAMES.findall(m[3])) if "=" in m[3] else ""
+                names = " ".join(x.strip("\"'") for name, x in NAMES.findall(m[3]) if tag not in TOPIC or name.lower() != "id") if "=" in m[3] else ""
                 main = int(tag in ("article", "main") or names == "main")
                 aside = int(tag in ASIDE or bool(names) and tag not in ("body", "html") and SAYS.search(names) is not None
                             or not state[0] and (tag == "header" or bool(names) and tag not in ("body", "html") and HEAD.search(names) is not None))
