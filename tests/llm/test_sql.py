@@ -7,10 +7,10 @@ import __spark_entry__ as E
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["op2_warc", "op7_substring_dedup"])
+@pytest.mark.parametrize("name", ["op2_warc", "op7_substring_dedup", "op11_merkle"])
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     found = con.execute(E.oracle_sql()[name])
     columns = [d[0] for d in found.description]

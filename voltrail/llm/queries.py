@@ -7,6 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from voltrail.llm import oracles
 from voltrail.llm.store import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +95,13 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_zip.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+@query
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from voltrail.llm import merkle
+    return merkle.digests(documents(spark, sf_dir))
+
+
+ORACLES["op11_merkle"] = oracles.MERKLE
 #: RFC 4648 base 32 of a SHA-1 in hex: 20 bits, 5 hex digits, are 4 characters.
 _BASE32 = """array_to_string([array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(x, 5 * g + 1, 5) AS INTEGER) >> s) & 31), 1)
   for s in [15, 10, 5, 0]], '') for g in range(8)], '')"""
