@@ -66,28 +66,29 @@ def blocks(nodes: DataFrame) -> DataFrame:
         flat = flat.groupBy("key", "n", "block", *[f"d{i}" for i in range(j + 1, DEPTH)]).agg(kids)
         joined = digest(F.array_join(F.transform("kids", lambda k: text_of(k["tree"]["node"])), ""))
         node = F.when(F.col("n") <= WIDTH ** j, F.col("kids")[0]["tree"]["node"]).otherwise(joined)
-        flat = flat.withColumn("tree", F.struct(node.alias("node"), "kids")).drop("kids")
+        flat = flat.select("key", "n", "block", *[f"d{i}" for i in range(j + 1, DEPTH)], F.struct(node.alias("node"), "kids").alias("tree"))
     return flat
 
 
-def beside(kids: Column) -> Column:
-    """Each child's tree and what stands left and right of it."""
+def children(level: int) -> Column:
+    """Each child of a node of level + 1: its tree, and its path with what stands left and right of it at the front."""
+    kids = F.col("tree.kids")
+
     def texts(some: Column) -> Column:
         return F.array_join(F.transform(some, lambda k: text_of(k["tree"]["node"])), "")
 
     def one(k: Column, i: Column) -> Column:
-        after = F.slice(kids, i + 2, F.lit(WIDTH))
-        return F.struct(k["tree"].alias("tree"), F.struct(texts(F.slice(kids, F.lit(1), i)).alias("left"), texts(after).alias("right")).alias("step"))
+        step = F.struct(texts(F.slice(kids, F.lit(1), i)).alias("left"), texts(F.slice(kids, i + 2, F.lit(WIDTH))).alias("right"))
+        path = F.when(F.col("n") <= WIDTH ** level, F.col("path")).otherwise(F.concat(F.array(step), F.col("path")))
+        return F.struct(k["tree"].alias("tree"), path.alias("path"))
     return F.transform(kids, one)
 
 
 def unnested(trees: DataFrame) -> DataFrame:
-    """(key, n, subroot, root, path, node, row) of every leaf of blocks with the path above them."""
+    """(key, subroot, root, path, node, row) of every leaf of blocks with the path above them."""
     for j in reversed(range(DEPTH)):
-        down = trees.select("key", "n", "subroot", "root", "path", F.inline(beside(F.col("tree.kids"))))
-        path = F.when(F.col("n") <= WIDTH ** j, F.col("path")).otherwise(F.concat(F.array("step"), F.col("path")))
-        trees = down.select("key", "n", "subroot", "root", path.alias("path"), "tree")
-    return trees.select("key", "n", "subroot", "root", "path", "tree.*")
+        trees = trees.select("key", "n", "subroot", "root", F.inline(children(j)))
+    return trees.select("key", "subroot", "root", "path", "tree.*")
 
 
 def proofs(leaves: DataFrame, over: Callable[[DataFrame], DataFrame]) -> DataFrame:
