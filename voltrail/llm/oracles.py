@@ -35,3 +35,18 @@ folded AS (SELECT d.doc_id, d.leaf, t.subroot, u.node AS root, sha256(COALESCE(p
  list_reduce(list_prepend(COALESCE(d.changed, d.leaf), COALESCE(p.path, [])), lambda a, s: sha256(split_part(s, '|', 1) || a || split_part(s, '|', 2))) AS folded_root
  FROM leaves d JOIN tops t ON t.source IS NOT DISTINCT FROM d.source CROSS JOIN (SELECT node FROM upper WHERE n = 1) u LEFT JOIN paths p ON p.doc_id = d.doc_id)
 SELECT *, folded_root = root AS verified FROM folded"""
+
+#: Rounds of sharing, then what each document has of its source's whole turns and of the last, started one.
+MIXING = r"""WITH RECURSIVE sized AS (SELECT doc_id, source, CAST(len([x for x in string_split_regex(COALESCE(text, ''), '[\x20\x09-\x0D]+') if x <> '']) AS BIGINT) AS size FROM documents),
+src AS (SELECT source, CAST(SUM(size) AS BIGINT) AS s, [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w FROM sized GROUP BY source),
+rounds AS (SELECT 0 AS i, CAST(SUM(s) AS HUGEINT) AS rest, CAST(SUM(w) AS HUGEINT) AS open FROM src UNION ALL
+ SELECT r.i + 1, CAST(SUM(s) - SUM(CASE WHEN w * r.rest > 3 * s * r.open THEN 3 * s ELSE 0 END) AS HUGEINT), CAST(SUM(CASE WHEN w * r.rest > 3 * s * r.open THEN 0 ELSE w END) AS HUGEINT)
+ FROM rounds r, src GROUP BY r.i, r.rest, r.open
+ HAVING SUM(CASE WHEN w * r.rest > 3 * s * r.open THEN 0 ELSE w END) <> r.open AND SUM(CASE WHEN w * r.rest > 3 * s * r.open THEN 0 ELSE w END) > 0),
+goal AS (SELECT source, s, CASE WHEN w * rest > 3 * s * open THEN CAST(3 * s AS DOUBLE) ELSE CAST(w AS DOUBLE) * CAST(rest AS DOUBLE) / CAST(open AS DOUBLE) END AS target
+ FROM src, (SELECT rest, open FROM rounds ORDER BY i DESC LIMIT 1)),
+placed AS (SELECT doc_id, source, size, CAST(SUM(size) OVER (PARTITION BY source ORDER BY md5(CAST(doc_id AS VARCHAR)) NULLS FIRST, doc_id, size
+ ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) - size AS before FROM sized)
+SELECT p.doc_id, p.size, g.s AS source_size, g.target, CASE WHEN g.s = 0 THEN 0 ELSE CAST(round(g.target) AS BIGINT) // g.s * p.size
+ + greatest(0, least(p.size, CAST(round(g.target) AS BIGINT) % g.s - p.before)) END AS taken
+FROM placed p JOIN goal g ON g.source IS NOT DISTINCT FROM p.source"""

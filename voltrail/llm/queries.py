@@ -101,7 +101,14 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.digests(documents(spark, sf_dir))
 
 
+@query
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from voltrail.llm import mixing
+    return mixing.digests(documents(spark, sf_dir))
+
+
 ORACLES["op11_merkle"] = oracles.MERKLE
+ORACLES["op12_mixing"] = oracles.MIXING
 #: RFC 4648 base 32 of a SHA-1 in hex: 20 bits, 5 hex digits, are 4 characters.
 _BASE32 = """array_to_string([array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(x, 5 * g + 1, 5) AS INTEGER) >> s) & 31), 1)
   for s in [15, 10, 5, 0]], '') for g in range(8)], '')"""
