@@ -7,7 +7,7 @@ import __spark_entry__ as E
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["op2_warc", "op7_substring_dedup", "op11_merkle", "op12_mixing"])
+@pytest.mark.parametrize("name", ["op2_warc", "op7_substring_dedup", "op11_merkle", "op12_mixing", "op13_hard_negatives"])
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
     for t in ("documents", "pages", "embeddings"):

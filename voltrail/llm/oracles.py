@@ -50,3 +50,15 @@ placed AS (SELECT doc_id, source, size, CAST(SUM(size) OVER (PARTITION BY source
 SELECT p.doc_id, p.size, g.s AS source_size, g.target, CASE WHEN g.s = 0 THEN 0 ELSE CAST(round(g.target) AS BIGINT) // g.s * p.size
  + greatest(0, least(p.size, CAST(round(g.target) AS BIGINT) % g.s - p.before)) END AS taken
 FROM placed p JOIN goal g ON g.source IS NOT DISTINCT FROM p.source"""
+
+#: Every anchor against every row.
+HARD_NEGATIVES = """WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) for x in embedding] AS v
+ FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+pairs AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+ FROM e a, e b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positive AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM pairs WHERE same
+ QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+negative AS (SELECT p.anchor_id, p.positive_id, p.positive_score, n.other_id AS negative_id, n.score AS negative_score,
+ row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.other_id) AS rank
+ FROM positive p JOIN pairs n ON n.anchor_id = p.anchor_id AND NOT n.same AND 30 * p.positive_score <= 100 * n.score AND 100 * n.score <= 90 * p.positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM negative WHERE rank <= 10"""

@@ -107,8 +107,15 @@ def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digests(documents(spark, sf_dir))
 
 
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from voltrail.llm import hard_negatives
+    return hard_negatives.digests(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 ORACLES["op11_merkle"] = oracles.MERKLE
 ORACLES["op12_mixing"] = oracles.MIXING
+ORACLES["op13_hard_negatives"] = oracles.HARD_NEGATIVES
 #: RFC 4648 base 32 of a SHA-1 in hex: 20 bits, 5 hex digits, are 4 characters.
 _BASE32 = """array_to_string([array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(x, 5 * g + 1, 5) AS INTEGER) >> s) & 31), 1)
   for s in [15, 10, 5, 0]], '') for g in range(8)], '')"""
