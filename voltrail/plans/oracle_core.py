@@ -1,14 +1,16 @@
 """DuckDB oracle SQL: fixture views and the KPI pipeline, written independently.
 
-The oracle deliberately uses the brute-force formulations the Spark plan
-avoids (self-joins on tick − 1 / − 72, a range join for the 24-hour status
-look-back), so agreement checks the Spark plan against the definition.
+The oracle uses other formulations than the Spark plan (self-joins on tick − 1 / − 72, an as-of join
+for the 24-hour status look-back), so agreement checks the plan against the definition.  Parts that
+are read more than once are MATERIALIZED.
 Every numeric literal is a DOUBLE cast, so DuckDB does not fall back to
 DECIMAL arithmetic.
 """
 
 from __future__ import annotations
 
+import re
+
 from voltrail.params import (DAY_COLUMNS, FIXTURE_PARAMS, KPI_COLUMNS, MEAN_CLASSES, METER_CLASSES,
                              PATTERNS, READING_CLASSES, RUN_CLASSES, Params)
 from voltrail.plans.fixtures import CATALOG, N_STATIONS
@@ -135,16 +137,12 @@ JOIN pat ON p.point_name LIKE pat.pattern""", ("fx_point", "fx_station", "pat"))
     "x": (_x_sql(), ("sums", "grid", "sizes")),
     "runp": (f"""SELECT station_abbr, control_id AS id, cls FROM classified
 WHERE cls IN ({", ".join(repr(c) for c in RUN_CLASSES)})""", ("classified",)),
-    "cand": ("""SELECT g.station_abbr, g.seq, r.id, st.ts, st.value
-FROM (SELECT station_abbr, seq FROM x) g
-JOIN (SELECT DISTINCT station_abbr, id FROM runp) r ON r.station_abbr = g.station_abbr
-JOIN fx_status st ON st.station_abbr = g.station_abbr AND st.id = r.id
- AND epoch_us(st.ts) > (g.seq - 72) * 1200000000 AND epoch_us(st.ts) < g.seq * 1200000000""",
-             ("x", "runp", "fx_status")),
-    "lat": ("SELECT station_abbr, seq, id, max(ts) AS mt FROM cand GROUP BY station_abbr, seq, id", ("cand",)),
-    "pon": ("""SELECT c.station_abbr, c.seq, c.id, max(CASE WHEN c.value = '1' THEN 1 ELSE 0 END) AS on_
-FROM cand c JOIN lat l ON c.station_abbr = l.station_abbr AND c.seq = l.seq AND c.id = l.id AND c.ts = l.mt
-GROUP BY c.station_abbr, c.seq, c.id""", ("cand", "lat")),
+    "changes": ("""SELECT st.station_abbr, st.id, epoch_us(st.ts) AS us, max(CASE WHEN st.value = '1' THEN 1 ELSE 0 END) AS on_
+FROM fx_status st GROUP BY 1, 2, 3""", ("fx_status",)),
+    "asked": ("""SELECT g.station_abbr, g.seq, r.id, g.seq * 1200000000 AS us
+FROM grid g JOIN (SELECT DISTINCT station_abbr, id FROM runp) r ON r.station_abbr = g.station_abbr""", ("grid", "runp")),
+    "pon": ("""SELECT a.station_abbr, a.seq, a.id, CASE WHEN c.us > (a.seq - 72) * 1200000000 THEN c.on_ ELSE 0 END AS on_
+FROM asked a ASOF JOIN changes c ON c.station_abbr = a.station_abbr AND c.id = a.id AND c.us < a.us""", ("asked", "changes")),
     "flags": (_flags_sql(), ("pon", "runp")),
     "xin": (_xin_sql(), ("x", "flags")),
 }
@@ -166,7 +164,9 @@ def with_ctes(final: str, needs: tuple[str, ...], extra: dict[str, tuple[str, tu
 
     for n in needs:
         visit(n)
-    body = ",\n".join(f"{n} AS (\n{defs[n][0]}\n)" for n in order)
+    texts = [defs[n][0] for n in order] + [final]
+    read = {n: sum(len(re.findall(rf"\b{n}\b", t)) for t in texts) for n in order}
+    body = ",\n".join(f"{n} AS {'MATERIALIZED ' if read[n] > 1 else ''}(\n{defs[n][0]}\n)" for n in order)
     return f"WITH {body}\n{final}"
 
 
