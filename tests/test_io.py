@@ -89,3 +89,18 @@ def test_jdbc_round_trip_embedded_derby(spark):
     back = (spark.read.format("jdbc").option("url", url).option("dbtable", "result_set")
             .option("driver", "org.apache.derby.jdbc.EmbeddedDriver").load())
     assert back.filter("20010 >= TIME").count() == 1
+
+
+def test_the_newest_version_of_a_cell_counts_not_the_greatest_text(spark):
+    df = spark.createDataFrame([("k", "9", "a", 1), ("k", "10", None, 2), ("k", "8", "z", 3), ("m", None, "q", 1), ("m", "5", "r", 1)], "key string, n string, t string, day int")
+    cells = M.to_cells(df, F.col("key"), "c", ["n", "t"], F.timestamp_seconds(F.col("day") * 86400))
+    assert cells.columns == ["rowkey", "family", "qualifier", "ts", "value"] and cells.count() == 10
+    catalog = {"n": ("n", "int"), "t": ("t", "string")}
+
+    def read(day=None):
+        return {r.rowkey: (r.n, r.t) for r in M.catalog_read(cells, catalog, "c", None if day is None else F.timestamp_seconds(F.lit(day * 86400))).collect()}
+    assert read() == {"k": (8, "z"), "m": (5, "r")}  # of one time the greatest, a value before none
+    assert read(2) == {"k": (10, None), "m": (5, "r")}  # the newest at that time has no t
+    assert read(1) == {"k": (9, "a"), "m": (5, "r")} and read(0) == {}
+    newest = {(r.rowkey, r.qualifier): r.value for r in M.newest_cells(cells).collect()}
+    assert newest == {("k", "n"): "8", ("k", "t"): "z", ("m", "n"): "5", ("m", "t"): "r"}

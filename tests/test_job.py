@@ -13,6 +13,7 @@ from voltrail.operators import rollup as RU
 from voltrail.params import DAY_COLUMNS, FIXTURE_PARAMS
 from voltrail.plans import joins
 from voltrail.session import scratch_path
+from voltrail.sources import runs as RN
 from voltrail.sources import store as ST
 
 SF = "/root/testdata/sf0.001"
@@ -70,10 +71,16 @@ def test_one_tick_equals_the_many_tick_plan(spark):
         assert [r[c] for c in DAY_COLUMNS] == pytest.approx([day[(r.station_abbr, r.seq)][c] for c in DAY_COLUMNS])
 
 
+def persisted(spark):
+    return set(spark.sparkContext._jsc.getPersistentRDDs())
+
+
 def test_scoring_a_tick_again_replaces_its_rows(spark):
     w, root = small_world(spark), scratch_path(spark, "job")
+    before = persisted(spark)
     for seq in (T, T + 1, T + 1, T + 3, T + 1):
         JOB.score_tick(spark, root, FIXTURE_PARAMS, text(seq), w)
+        assert persisted(spark) <= before  # a tick's caches are released
     assert JOB.scan_kpi(spark, root, "kpi_real", T, T + 3).count() == 6
     day = K.kpi_day(K.kpi_real_status(K.inputs(**w), FIXTURE_PARAMS).filter(F.col("seq").isin(T, T + 1, T + 3)))
     want = {(r.station_abbr, r.seq): [r[c] for c in DAY_COLUMNS] for r in day.collect()}
@@ -95,9 +102,9 @@ def test_the_whole_job_from_files(spark, tmpdir_path):
     root = scratch_path(spark, "job")
     JOB.run_tick(spark, tmpdir_path, root, FIXTURE_PARAMS, tick)
     JOB.run_tick(spark, tmpdir_path, root, FIXTURE_PARAMS, tick)
-    got = {r.station_abbr: r for r in spark.read.parquet(f"{root}/kpi_real").collect()}
+    got = {r.station_abbr: r for r in RN.read_runs(spark, f"{root}/kpi_real").collect()}
     assert set(got) == {"sa", "sb"} and got["sa"].d4 == pytest.approx(100.0)  # (56 + 0) / 2 = 28
-    assert spark.read.parquet(f"{root}/readings").count() == 1
+    assert RN.read_runs(spark, f"{root}/readings").count() == 1
 
 
 def test_tick_argument():
@@ -216,3 +223,65 @@ def test_the_job_from_files_gives_whole_24_hour_scores(spark):
     # Scores of the last ticks alone, as kpi_tick_job has them, are others.
     alone = {(r.station_abbr, r.kpi_time): r for r in E.queries()["kpi_tick_job"](spark, SF).collect()}
     assert set(alone) == set(got) and any(alone[k][c] != got[k][c] for k in got for c in DAY_COLUMNS)
+
+
+def stored_scores(spark, w):
+    root = scratch_path(spark, "job")
+    rs = ST.written(K.kpi_real_status(K.inputs(**w), FIXTURE_PARAMS), "rs")
+    JOB.store_real(spark, root, rs)
+    RN.upsert_into(spark, f"{root}/kpi_day", JOB.dated(K.kpi_day(rs), *DAY_COLUMNS), JOB.KEYS, "date")
+    return root
+
+
+def day_table(spark, root):
+    return {(r.station_abbr, r.tick): [r[c] for c in DAY_COLUMNS] for r in RN.read_runs(spark, f"{root}/kpi_day").collect()}
+
+
+def wanted_day(w):
+    rows = K.kpi_day(K.kpi_real_status(K.inputs(**w), FIXTURE_PARAMS)).collect()
+    return {(r.station_abbr, at(r.seq)): [r[c] for c in DAY_COLUMNS] for r in rows}
+
+
+def test_a_correction_reaches_what_depends_on_it_and_nothing_else(spark):
+    readings = [(s, at(T + k), c, str(20 + (k * 7 + c) % 13)) for s in ("sa", "sb") for k in range(0, 240, 4) for c in (8, 23, 24)]
+    w = world_of(spark, readings, [("sa", 0, at(T + k, 30), "1") for k in range(0, 240, 50)])
+    root, t = stored_scores(spark, w), T + 80
+    before, runs = day_table(spark, root), {e["run"] for e in RN.state_of(spark, f"{root}/kpi_day")["live"]}
+    fixed = F.when((F.col("tick") == F.lit(at(t))) & (F.col("station_abbr") == "sa"), "33").otherwise(F.col("value"))
+    new = w | {"readings": w["readings"].withColumn("value", fixed)}
+    held = persisted(spark)
+    only = spark.createDataFrame([("sa",)], "station_abbr string")
+    real, day = JOB.rehandle_from(spark, root, FIXTURE_PARAMS, text(t), new, only)
+    assert persisted(spark) <= held
+    assert {(r.station_abbr, r.tick) for r in real.collect()} <= {("sa", at(s)) for s in (t, t + 1, t + 72)}
+    after, want = day_table(spark, root), wanted_day(new)
+    assert set(after) == set(want) and all(after[k] == pytest.approx(want[k]) for k in want)
+    moved = {k for k in after if after[k] != pytest.approx(before[k], rel=1e-9)}
+    wrote = [(r.station_abbr, r.tick) for r in day.collect()]
+    assert set(wrote) == moved and len(wrote) == len(moved) > 30
+    assert all(s == "sa" and at(t) <= k <= at(t + 143) for s, k in moved)
+    assert after.keys() == before.keys() and runs & {e["run"] for e in RN.state_of(spark, f"{root}/kpi_day")["live"]}
+
+
+def test_a_status_change_that_came_late_reaches_a_day_of_ticks(spark):
+    readings = [("sa", at(T + k), c, "25") for k in range(160) for c in (8, 23, 24)]
+    w = world_of(spark, readings, [("sa", 5, at(T + 40, 30), "0")])
+    root = stored_scores(spark, w)
+    new = w | {"status": w["status"].unionByName(spark.createDataFrame([("sa", 5, at(T + 29, 30), "1")], w["status"].schema))}
+    real, day = JOB.rehandle_from(spark, root, FIXTURE_PARAMS, text(T + 29), new)
+    assert {r.tick for r in real.collect()} == {at(s) for s in range(T + 30, T + 41)}  # on from the change until the next
+    after, want = day_table(spark, root), wanted_day(new)
+    assert all(after[k] == pytest.approx(want[k]) for k in want) and day.count() > 11
+
+
+def test_an_upload_at_a_tick_that_had_none_makes_rows_for_every_station(spark):
+    readings = [("sa", at(T + k), 23, "25") for k in range(0, 100, 10)]
+    w = world_of(spark, readings, [])
+    root = stored_scores(spark, w)
+    new = w | {"readings": w["readings"].unionByName(spark.createDataFrame([("sa", at(T + 15), 23, "29")], w["readings"].schema))}
+    JOB.rehandle_from(spark, root, FIXTURE_PARAMS, text(T + 15), new, spark.createDataFrame([("sa",)], "station_abbr string"))
+    after, want = day_table(spark, root), wanted_day(new)
+    assert set(after) == set(want) and all(after[k] == pytest.approx(want[k]) for k in want)
+    assert ("sb", at(T + 15)) in after
+    with pytest.raises(ValueError, match="not been scored"):
+        JOB.rehandle_from(spark, root, FIXTURE_PARAMS, text(T + 9999), new)

@@ -162,3 +162,20 @@ def test_kpi_day_range_window_with_gaps(spark):
     assert day[T + 80].d2 == 20.0          # T and T+1 are more than 71 ticks back
     zero = spark.createDataFrame([("sa", T, 100.0, *([0.0] * 16))], cols)
     assert K.kpi_day(zero).first().d5 == 0.0   # denominator 0 → 0
+
+
+def test_run_status_by_day_blocks_equals_the_definition(spark):
+    import random
+    r = random.Random(5)
+    log = [("sa", i, at(T + r.randrange(400), r.randrange(0, 1200, 300)), r.choice("01")) for i in (1, 2) for _ in range(25)]
+    log += [("sa", 3, at(T), "1"), ("sa", 3, at(T + 72), "1"), ("sa", 3, at(T + 300, 1), "1")]  # on the blocks' edges
+    ids = spark.createDataFrame([("sa", i) for i in (1, 2, 3, 4)], "station_abbr string, id int")
+    ticks = range(T - 2, T + 480)
+    grid = spark.createDataFrame([("sa", t) for t in ticks], "station_abbr string, seq bigint")
+    got = {(x.id, x.seq): x.on for x in S.point_on_at(spark.createDataFrame(log, SC.STATUS), ids, grid).collect()}
+    assert len(got) == 4 * len(ticks)
+    for i in (1, 2, 3, 4):
+        for t in ticks:
+            seen = [(ts, v) for _, j, ts, v in log if j == i and at(t - 72) < ts < at(t)]
+            last = max((ts for ts, _ in seen), default=None)
+            assert got[i, t] == int(any(v == "1" for ts, v in seen if ts == last)), (i, t - T)

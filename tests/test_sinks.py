@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from voltrail import schemas as SC
 from voltrail.session import scratch_path
 from voltrail.sources import dropfolder as DF
+from voltrail.sources import runs as RN
 from voltrail.sources import store as ST
 from voltrail.streaming import jobs as J
 
@@ -23,7 +24,7 @@ def put(folder, name, lines, modified=None):
 
 
 def readings(spark, root):
-    return {r.control_id: r.value for r in spark.read.parquet(f"{root}/readings").collect()}
+    return {r.control_id: r.value for r in RN.read_runs(spark, f"{root}/readings").collect()}
 
 
 def test_stream_counts_every_event_in_any_order_of_arrival(spark, tmpdir_path):
@@ -54,7 +55,7 @@ def test_stream_equals_batch_for_a_file_and_for_a_folder(spark, tmpdir_path):
     assert one == many == ev.count()
 
 
-def test_latest_state_survives_replay_and_a_failed_write(spark, tmpdir_path):
+def test_latest_state_survives_replay_and_a_failed_write(spark, tmpdir_path, monkeypatch):
     t = dt.datetime(2024, 1, 1)
     rows = [("sa", 1, t, "0"), ("sa", 1, t, "1"), ("sa", 1, t - dt.timedelta(hours=1), "1"), ("sb", 1, t, "1")]
     src = os.path.join(tmpdir_path, "src")
@@ -63,12 +64,51 @@ def test_latest_state_survives_replay_and_a_failed_write(spark, tmpdir_path):
     table = scratch_path(spark, "state")
     for _ in range(3):
         J.latest_state_stream(stream, table, scratch_path(spark, "c"))
-        got = sorted((r.station_abbr, r.value) for r in ST.read_versioned(spark, table).collect())
+        got = sorted((r.station_abbr, r.value) for r in J.latest_state_table(spark, table).collect())
         assert got == [("sa", "0"), ("sa", "1"), ("sb", "1")]
-    last = ST.versions(spark, table)[-1]
-    spark.createDataFrame(rows[:1], SC.STATUS).write.parquet(f"{table}/version={last + 1}")
-    os.remove(f"{table.removeprefix('file:')}/version={last + 1}/_SUCCESS")  # as if the write had failed half way
-    assert ST.read_versioned(spark, table).count() == 3
+
+    def lost(*_):
+        raise OSError("killed")
+    with monkeypatch.context() as m:  # as if the write had failed half way
+        m.setattr(RN, "commit", lost)
+        with pytest.raises(Exception, match="killed"):
+            J.latest_state_stream(stream, table, scratch_path(spark, "c"))
+    assert J.latest_state_table(spark, table).count() == 3
+
+
+def test_a_batch_of_states_writes_the_keys_it_touches(spark, tmpdir_path):
+    t, src, table, check = dt.datetime(2024, 1, 1), os.path.join(tmpdir_path, "src"), scratch_path(spark, "state"), scratch_path(spark, "c")
+    spark.createDataFrame([(f"s{i}", i % 7, t, "1") for i in range(3000)], SC.STATUS).coalesce(1).write.parquet(src)
+    stream = spark.readStream.schema(SC.STATUS).parquet(src)
+    J.latest_state_stream(stream, table, check)
+    before = RN.state_of(spark, table)["live"]
+    late = [("s1", 1, t - dt.timedelta(days=1), "0"), ("s2", 2, t + dt.timedelta(hours=1), "0")]
+    spark.createDataFrame(late, SC.STATUS).coalesce(1).write.mode("append").parquet(src)
+    J.latest_state_stream(stream, table, check)
+    new = [e for e in RN.state_of(spark, table)["live"] if e not in before]
+    assert all(e in RN.state_of(spark, table)["live"] for e in before) and RN.scan(spark, table, RN.state_of(spark, table), new).count() == 2
+    got = {(r.station_abbr, r.value) for r in J.latest_state_table(spark, table).where("station_abbr in ('s1', 's2')").collect()}
+    assert got == {("s1", "1"), ("s2", "0")} and J.latest_state_table(spark, table).count() == 3000
+
+
+def test_windows_close_by_event_time_and_late_rows_are_kept(spark, tmpdir_path):
+    t0, src, table, check = dt.datetime(2024, 1, 1), os.path.join(tmpdir_path, "src"), scratch_path(spark, "w"), scratch_path(spark, "c")
+    schema = "event_id bigint, ts timestamp, event_type string, value double"
+    for k, hours in enumerate([(0, 1, 2), (10, 11, 1), (0, 12, 30, 11.5), (2, 29, 9, 31)]):
+        rows = [(10 * k + i, t0 + dt.timedelta(hours=h), "a", h + 1.0) for i, h in enumerate(hours)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(schema).parquet(src)
+        J.windows_stream(stream, table, check, "2 hours")  # each run goes on where the last one ended
+    parts = J.windows_table(spark, table, check)
+    n = {r.kind: r.n for r in parts.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
+    late = J.late_rows(spark, table, check).collect()
+    assert sum(n.values()) == 14 and n["late"] == len(late) > 0 and n["open"] == 3
+    assert {r.event_id for r in late} >= {20, 30} and all(r.tick == r.ts.replace(minute=r.ts.minute // 20 * 20) for r in late)
+    closed = parts.where("kind = 'closed'")
+    assert closed.count() == closed.select("tick", "event_type").distinct().count()  # a window closes once
+    assert {r.tick for r in parts.where("kind = 'open'").collect()} == {t0 + dt.timedelta(hours=h) for h in (29, 30, 31)}
+    got = {r.tick: (r.n, r.total) for r in parts.groupBy("tick").agg(F.sum("n").alias("n"), F.sum("total").alias("total")).collect()}
+    assert got[t0] == (2, 2.0) and got[t0 + dt.timedelta(hours=1)] == (2, 4.0) and got[t0 + dt.timedelta(hours=2)] == (2, 6.0)
 
 
 def test_ingest_takes_the_newest_write_whatever_the_batch(spark, tmpdir_path):
@@ -101,7 +141,7 @@ def test_ingest_takes_every_kind_and_double_delivery_changes_nothing(spark, tmpd
     put(tmpdir_path, "20240101002000_hisdataYX_l_sa.txt", ["1\t2024-01-01 00:01:00\t0"])
     J.ingest_stream(spark, tmpdir_path, root, check)
     J.ingest_stream(spark, tmpdir_path, root, scratch_path(spark, "c"))
-    read = lambda t: spark.read.parquet(f"{root}/{t}").collect()
+    read = lambda t: RN.read_runs(spark, f"{root}/{t}").collect()
     assert [r.quantity for r in read("point")] == [7]
     assert len(read("center")) == len(read("line")) == 1
     assert [(r.id, r.value) for r in read("status")] == [(1, "0")]

@@ -163,16 +163,20 @@ class Job:
 
     ``grid`` (its rows), ``classified`` (points by class) and ``sums`` (class sums of the readings)
     are read several times and are small beside the readings: they are persisted, so each table is
-    scanned once.  Nothing runs before a result is asked for.
+    scanned once.  Nothing runs before a result is asked for.  A job that has written its rows releases them.
     """
 
     def __init__(self, lines: DataFrame, stations: DataFrame, points: DataFrame, readings: DataFrame,
-                 status: DataFrame | None = None, lo: int | None = None, hi: int | None = None):
+                 status: DataFrame | None = None, lo: int | None = None, hi: int | None = None, active: DataFrame | None = None):
         managed = P.managed_stations(lines, stations).select("station_abbr", "area")
         self.status = status
         self.classified = P.classify_points(points, stations).persist()
         self.sums = R.tick_sums(readings, self.classified).persist()
-        self.grid = R.tick_grid(managed, self.sums, lo, hi).persist()
+        self.grid = R.tick_grid(managed, self.sums, lo, hi, active).persist()
+
+    def release(self) -> None:
+        for df in (self.grid, self.sums, self.classified):
+            df.unpersist()
 
     def analog(self) -> DataFrame:
         """station_abbr, seq, area, has, m_*, c_*, e_ALL_ZNDB: every input but the run status."""

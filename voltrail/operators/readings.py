@@ -11,8 +11,8 @@ The plan for any number of ticks at once (SURVEY §7.3):
    one tick, so a hot station is spread over all its ticks;
 3. the rows of the result are managed stations x active ticks (a tick is active
    when any station uploaded at it, one tick or 72 ticks before): each station's
-   tick numbers are exploded and semi-joined to the active ticks, so the grid is
-   as large as the output; a station without an upload has sums 0;
+   weeks are joined to the weeks' active ticks, so the grid is as large as the
+   output, whatever gaps there are; a station without an upload has sums 0;
 4. meter deltas need only the class *sums* at two instants (missing counts as
    0): a per-station range window reads the row exactly 1 or 72 ticks back.
    A station's window partition holds one row per tick, bounded by the time
@@ -60,15 +60,23 @@ def active_ticks(sums: DataFrame) -> DataFrame:
     return sums.select(F.explode(F.array(*[F.col("seq") + k for k in (0, 1, DAY_TICKS)])).alias("seq")).distinct()
 
 
-def tick_grid(managed: DataFrame, sums: DataFrame, lo: int | None = None, hi: int | None = None) -> DataFrame:
-    """``managed`` x active ticks (within lo..hi): every row that a job writes."""
-    active = active_ticks(sums)
+#: Ticks of a week, which the grid is joined by.
+GRID_TICKS = 7 * DAY_TICKS
+
+
+def tick_grid(managed: DataFrame, sums: DataFrame, lo: int | None = None, hi: int | None = None, active: DataFrame | None = None) -> DataFrame:
+    """``managed`` x active ticks (within lo..hi): every row that a job writes; ``active``: ticks known otherwise.
+
+    A station has a row a week, which is joined to the week's active ticks."""
+    active = active_ticks(sums) if active is None else active
     if lo is not None:
         active = active.filter(F.col("seq") >= lo)
     if hi is not None:
         active = active.filter(F.col("seq") <= hi)
-    ends = [active.agg(f("seq")).scalar() for f in (F.min, F.max)]
-    return managed.withColumn("seq", F.explode(F.sequence(*ends))).join(active, "seq", "left_semi")
+    weeks = active.groupBy(F.floor(F.col("seq") / GRID_TICKS).alias("__week")).agg(F.collect_list("seq").alias("__seqs"))
+    ends = [weeks.agg(f("__week")).scalar() for f in (F.min, F.max)]
+    rows = managed.withColumn("__week", F.explode(F.sequence(*ends))).join(weeks, "__week")
+    return rows.select(*managed.columns, F.explode("__seqs").alias("seq"))
 
 
 def on_grid(grid: DataFrame, sums: DataFrame) -> DataFrame:

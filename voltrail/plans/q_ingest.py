@@ -17,14 +17,19 @@ from voltrail.plans.q_kpi import _memo, world
 from voltrail.plans.registry import register
 from voltrail.session import scratch_path
 from voltrail.sources import dropfolder as DF
+from voltrail.sources import runs as RN
 from voltrail.streaming import jobs as J
 
 
+#: Ticks of a file: a week's, so that the export is some hundred files.
+FILE_TICKS = 504
+
+
 def drop_folder(spark, sf_dir) -> str:
     def make():
         w = world(spark, sf_dir)
         folder = scratch_path(spark, "drop")
-        lines = DF.export_lines(w["lines"], w["stations"], fx.fx_point(spark, sf_dir), w["readings"], w["status"])
+        lines = DF.export_lines(w["lines"], w["stations"], fx.fx_point(spark, sf_dir), w["readings"], w["status"], span=FILE_TICKS)
         DF.write_files(lines, folder)
         return folder
     return _memo(spark, (sf_dir, "drop"), make)
@@ -34,7 +39,7 @@ def routed(spark, sf_dir):
     return DF.route(DF.read_drop(spark, drop_folder(spark, sf_dir)))
 
 
-_DAY = "strftime(make_timestamp(CAST(floor({s} / 72) * 72 AS BIGINT) * 1200 * 1000000), '%Y%m%d%H%M%S')"
+_DAY = f"strftime(make_timestamp(CAST(floor({{s}} / {FILE_TICKS}) * {FILE_TICKS} AS BIGINT) * 1200 * 1000000), '%Y%m%d%H%M%S')"
 _ABBR = ("abbr", ("""SELECT s.station_abbr, l.line_abbr FROM fx_station s JOIN fx_line l ON l.line_name = s.line_name""",
                   ("fx_station", "fx_line")))
 _T0 = ("t0", (f"SELECT {_DAY.format(s='min(seq)')} AS t0 FROM fx_reading", ("fx_reading",)))
@@ -97,7 +102,7 @@ def merged_twice(spark, sf_dir, name):
         r = routed(spark, sf_dir)
         later = F.when(F.lit(epoch == 1), F.lit("99991231000000")).otherwise(F.col("drop_tick"))
         J.merge_drop(spark, r.withColumn("drop_tick", later), root, epoch, (name,))
-    return spark.read.parquet(f"{root}/{name}")
+    return RN.read_runs(spark, f"{root}/{name}")
 
 
 def _dimension_query(key, name, sql, *ids):

@@ -14,10 +14,11 @@ from voltrail.operators import readings as R
 from voltrail.params import (DAY_COLUMNS, FIXTURE_PARAMS, KPI_COLUMNS, MEAN_CLASSES, METER_CLASSES,
                              RUN_CLASSES)
 from voltrail.plans import fixtures as fx
-from voltrail.plans.oracle_core import (R4, TICK_TEXT, kpi_rs_cte, present, sql_formulas, with_ctes)
+from voltrail.plans.oracle_core import (CTES, R4, TICK_TEXT, kpi_rs_cte, present, sql_formulas, with_ctes)
 from voltrail.plans.registry import register
 from voltrail.session import scratch_path
 from voltrail.sources import dropfolder as DF
+from voltrail.sources import runs as RN
 from voltrail.streaming import jobs as J
 
 P0 = FIXTURE_PARAMS
@@ -206,7 +207,7 @@ def q_scan_kpi_window(spark, sf_dir):
     root = scratch_path(spark, "kpi-tables")
     rs = _rs(spark, sf_dir)
     JOB.store_real(spark, root, rs)
-    end = K.last_seq(spark.read.parquet(f"{root}/kpi_real").select(tick_seq("tick").alias("seq")))
+    end = K.last_seq(RN.read_runs(spark, f"{root}/kpi_real").select(tick_seq("tick").alias("seq")))
     return K.present(JOB.scan_kpi(spark, root, "kpi_real", end - 71, end).withColumn("seq", tick_seq("tick")), KPI_COLUMNS)
 
 
@@ -226,26 +227,50 @@ def q_rehandle_tick(spark, sf_dir):
     return K.present(K.rehandle(world(spark, sf_dir), P0, seq_text(last_upload(spark, sf_dir) - 72)), DAY_COLUMNS)
 
 
+# A correction: at one past tick every analog reading is its control id times three.
+_CORRECTED = RS | {"fx_delivered": (CTES["fx_reading"][0], CTES["fx_reading"][1]),
+                   "fx_reading": (f"""SELECT station_abbr, seq, control_id,
+ CASE WHEN seq = (SELECT max(seq) FROM fx_delivered WHERE station_abbr IN (SELECT station_abbr FROM managed)) - 216 THEN CAST(control_id * 3 AS VARCHAR) ELSE value END AS value
+FROM fx_delivered""", ("fx_delivered", "managed"))}
+
+
+def correction(spark, sf_dir) -> tuple[int, dict[str, DataFrame]]:
+    """The corrected tick, three days before the newest upload, and the world with its readings as corrected."""
+    w, t = world(spark, sf_dir), last_upload(spark, sf_dir) - 216
+    fixed = F.when(F.col("seq") == t, (F.col("control_id") * 3).cast("string")).otherwise(F.col("value"))
+    return t, w | {"readings": w["readings"].withColumn("value", fixed)}
+
+
+@register("rehandle_dependents", with_ctes(present("kpi_dayt", DAY_COLUMNS), ("kpi_dayt",), _CORRECTED), "J-15", "B-1")
+def q_rehandle_dependents(spark, sf_dir):
+    # All scores are stored; then a past tick is corrected and what depends on it is run again, for the stations that
+    # uploaded at it.  The stored table equals that of all ticks computed from the corrected readings.
+    root, rs = scratch_path(spark, "rehandled"), _rs(spark, sf_dir)
+    JOB.store_real(spark, root, rs)
+    RN.upsert_into(spark, f"{root}/kpi_day", JOB.dated(K.kpi_day(rs), *DAY_COLUMNS), JOB.KEYS, "date")
+    t, corrected = correction(spark, sf_dir)
+    uploaded = JOB.at_ticks(corrected["readings"], [t]).select("station_abbr").distinct()
+    JOB.rehandle_from(spark, root, P0, seq_text(t), corrected, uploaded)
+    return K.present(RN.read_runs(spark, f"{root}/kpi_day").withColumn("seq", tick_seq("tick")), DAY_COLUMNS)
+
+
 _JOB_TICKS = 3
+_TICKS_DAY = with_ctes(present("kpi_dayt", DAY_COLUMNS, f"WHERE seq > {_LAST_UP} - {_JOB_TICKS} AND seq <= {_LAST_UP}"), ("kpi_dayt",), RS)
 
 
-@register("kpi_tick_job", with_ctes(
-    present("job_day", DAY_COLUMNS), ("job_day",),
-    RS | {"job_rs": (f"SELECT * FROM kpi_rs WHERE seq > {_LAST_UP} - {_JOB_TICKS} AND seq <= {_LAST_UP}", ("kpi_rs", "sums")),
-          "job_day": (RS["kpi_dayt"][0].replace("FROM kpi_rs", "FROM job_rs"), ("job_rs",))}), "J-14", "B-2")
+@register("kpi_tick_job", _TICKS_DAY, "J-14", "B-2")
 def q_kpi_tick_job(spark, sf_dir):
-    # The tables as ingested, then the job of the last ticks one by one, each reading what the ones before stored;
-    # the last is run twice.
+    # The tables as ingested and the scores of all earlier ticks, then the job of the last ticks one by one, each
+    # reading what the ones before stored; the last is run twice.
     root = scratch_path(spark, "tick-job")
     w, end = world(spark, sf_dir), last_upload(spark, sf_dir)
+    JOB.store_real(spark, root, _rs(spark, sf_dir).filter(F.col("seq") <= end - _JOB_TICKS))
     for seq in [*range(end - _JOB_TICKS + 1, end + 1), end]:
         JOB.score_tick(spark, root, P0, seq_text(seq), w)
-    return K.present(spark.read.parquet(f"{root}/kpi_day").withColumn("seq", tick_seq("tick")), DAY_COLUMNS)
+    return K.present(RN.read_runs(spark, f"{root}/kpi_day").withColumn("seq", tick_seq("tick")), DAY_COLUMNS)
 
 
-@register("kpi_tick_job_24h", with_ctes(
-    present("kpi_dayt", DAY_COLUMNS, f"WHERE seq > {_LAST_UP} - {_JOB_TICKS} AND seq <= {_LAST_UP}"), ("kpi_dayt",), RS),
-    "J-14", "A-8", "B-2")
+@register("kpi_tick_job_24h", _TICKS_DAY, "J-14", "A-8", "B-2")
 def q_kpi_tick_job_24h(spark, sf_dir):
     # The whole job: the store holds all that came before, and the files of each of the last ticks are
     # ingested and scored, the last tick's twice.
@@ -263,4 +288,4 @@ def q_kpi_tick_job_24h(spark, sf_dir):
     DF.write_files(lines(F.col("seq").between(first, end), known_at.between(first, end), True), folder)
     for seq in [*range(first, end + 1), end]:
         JOB.run_tick(spark, folder, root, P0, seq_text(seq))
-    return K.present(spark.read.parquet(f"{root}/kpi_day").withColumn("seq", tick_seq("tick")), DAY_COLUMNS)
+    return K.present(RN.read_runs(spark, f"{root}/kpi_day").withColumn("seq", tick_seq("tick")), DAY_COLUMNS)

@@ -16,6 +16,7 @@ from voltrail.plans.q_kpi import RS, _rs, world
 from voltrail.plans.registry import register
 from voltrail.session import scratch_path
 from voltrail.sources import mapping as M
+from voltrail.sources import runs as RN
 from voltrail.sources import store as ST
 
 # ------------------------------------------------------------------ rollups
@@ -100,6 +101,52 @@ def q_catalog_read(spark, sf_dir):
     return M.catalog_read(_cells(spark, sf_dir), _CATALOG, family="c")
 
 
+# An order writes cells of its customer's row, at its date: a cell has as many versions as the customer has orders.
+_ORDER_COLS = ["o_orderstatus", "o_totalprice", "o_orderpriority"]
+_ORDER_CATALOG = {"o_orderstatus": ("status", "string"), "o_totalprice": ("price", "double"), "o_orderpriority": ("priority", "string")}
+_ORDER_CELLS = " UNION ALL ".join(
+    f"SELECT 'c' || CAST(o_custkey AS VARCHAR) AS rowkey, 'o' AS family, '{c}' AS qualifier, CAST(o_orderdate AS TIMESTAMP) AS ts, "
+    f"CAST({c} AS VARCHAR) AS value FROM orders" for c in _ORDER_COLS)
+_NEWEST = f"""SELECT rowkey, family, qualifier, ts, value, COUNT(*) OVER (PARTITION BY rowkey, family, qualifier) AS n,
+ row_number() OVER (PARTITION BY rowkey, family, qualifier ORDER BY ts DESC, value DESC NULLS LAST) AS k FROM ({_ORDER_CELLS})"""
+_MID = "(SELECT date_trunc('day', make_timestamp((epoch_us(min(CAST(o_orderdate AS TIMESTAMP))) + epoch_us(max(CAST(o_orderdate AS TIMESTAMP)))) // 2)) FROM orders)"
+
+
+def _order_cells(spark, sf_dir):
+    o = fx.table(spark, sf_dir, "orders")
+    return M.to_cells(o, F.concat(F.lit("c"), F.col("o_custkey").cast("string")), "o", _ORDER_COLS, F.col("o_orderdate").cast("timestamp"))
+
+
+@register("cell_versions", f"""SELECT rowkey, family, qualifier, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, value, n AS n_versions
+FROM ({_NEWEST}) WHERE k = 1""", "A-17")
+def q_cell_versions(spark, sf_dir):
+    cells = _order_cells(spark, sf_dir)
+    counts = cells.groupBy("rowkey", "family", "qualifier").agg(F.count(F.lit(1)).alias("n_versions"))
+    return M.newest_cells(cells).join(counts, ["rowkey", "family", "qualifier"]).withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+
+
+def _order_rows(where: str) -> str:
+    return f"""SELECT rowkey, MAX(CASE WHEN qualifier = 'o_orderstatus' THEN value END) AS status,
+ TRY_CAST(MAX(CASE WHEN qualifier = 'o_totalprice' THEN value END) AS DOUBLE) AS price,
+ MAX(CASE WHEN qualifier = 'o_orderpriority' THEN value END) AS priority
+FROM (SELECT rowkey, qualifier, value, row_number() OVER (PARTITION BY rowkey, qualifier ORDER BY ts DESC, value DESC NULLS LAST) AS k
+ FROM ({_ORDER_CELLS}) {where}) WHERE k = 1 GROUP BY rowkey"""
+
+
+@register("catalog_newest", _order_rows(""), "A-11", "A-17")
+def q_catalog_newest(spark, sf_dir):
+    return M.catalog_read(_order_cells(spark, sf_dir), _ORDER_CATALOG, "o")
+
+
+@register("catalog_as_of", _order_rows(f"WHERE ts <= {_MID}"), "A-11", "A-17")
+def q_catalog_as_of(spark, sf_dir):
+    # As of the middle of the order dates.
+    day = F.col("o_orderdate").cast("timestamp")
+    lo, hi = fx.table(spark, sf_dir, "orders").agg(F.unix_seconds(F.min(day)), F.unix_seconds(F.max(day))).first()
+    middle = F.date_trunc("day", F.timestamp_seconds(F.lit((lo + hi) // 2)))
+    return M.catalog_read(_order_cells(spark, sf_dir), _ORDER_CATALOG, "o", middle)
+
+
 @register("schema_discovery", f"""SELECT DISTINCT c.family, c.qualifier, COALESCE(t.type, 'string') AS type
 FROM ({_CELLS_SQL}) c LEFT JOIN (VALUES {", ".join(f"('{q}', '{t}')" for q, t in _TYPES)}) AS t(qualifier, type)
  ON t.qualifier = c.qualifier""", "A-12", "E-10")
@@ -174,8 +221,8 @@ def q_upsert_merge(spark, sf_dir):
     fix = base.filter(F.col("value") == NULL_MARKER).withColumn("value", F.lit("0")).withColumn("batch", F.lit(2))
     path = scratch_path(spark, "readings-table")
     keys = ["station_abbr", "tick", "control_id"]
-    ST.merge_into(spark, path, base, keys, "date")
-    ST.merge_into(spark, path, fix, keys, "date")
-    ST.merge_into(spark, path, fix, keys, "date")      # re-delivery of the same batch: idempotent
-    out = spark.read.parquet(path)
+    RN.upsert_into(spark, path, base, keys, "date")
+    RN.upsert_into(spark, path, fix, keys, "date")
+    RN.upsert_into(spark, path, fix, keys, "date")      # re-delivery of the same batch: idempotent
+    out = RN.read_runs(spark, path)
     return out.select("station_abbr", tick_text("tick").alias("kpi_time"), "control_id", "value")

@@ -16,6 +16,8 @@ listing time, before any data is read.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -115,12 +117,15 @@ def write_files(lines: DataFrame, folder: str) -> None:
     lines.write.partitionBy("file_name").text(parts)
     system, to = file_system(spark, folder)
     system.mkdirs(to)
-    for entry in system.listStatus(file_system(spark, parts)[1]):
-        name = entry.getPath().getName()
-        if name.startswith("file_name="):
-            part, = (p.getPath() for p in system.listStatus(entry.getPath()) if p.getPath().getName().startswith("part-"))
-            if not system.rename(part, file_system(spark, f"{folder}/{name.removeprefix('file_name=')}")[1]):
-                raise OSError(f"{part} can't be renamed")
+    found = system.globStatus(file_system(spark, f"{parts}/file_name=*/part-*")[1])
+
+    def move(i: int) -> None:
+        part = found[i].getPath()
+        name = part.getParent().getName().removeprefix("file_name=")
+        if not system.rename(part, file_system(spark, f"{folder}/{name}")[1]):
+            raise OSError(f"{part} can't be renamed")
+    with ThreadPoolExecutor(16) as pool:  # a rename waits for the store, not for this machine
+        list(pool.map(move, range(len(found))))
 
 
 def _seq_text(seq: int) -> str:
@@ -128,24 +133,22 @@ def _seq_text(seq: int) -> str:
     return (_dt.datetime(1970, 1, 1) + _dt.timedelta(seconds=seq * 1200)).strftime("%Y%m%d%H%M%S")
 
 
-def _day_tick_text(seq: Column) -> Column:
-    day_start = F.floor(seq / 72) * 72
-    return F.date_format(F.timestamp_seconds(day_start * 1200), "yyyyMMddHHmmss")
-
-
 def _tick_text(seq: Column) -> Column:
     return F.date_format(F.timestamp_seconds(seq * 1200), "yyyyMMddHHmmss")
 
 
 def export_lines(lines_dim: DataFrame, stations: DataFrame, points: DataFrame,
-                 readings: DataFrame, status: DataFrame, per_tick: bool = False) -> DataFrame:
+                 readings: DataFrame, status: DataFrame, per_tick: bool = False, span: int = 72) -> DataFrame:
     """(file_name, line) for a whole drop folder: dimension files at the first
-    day, and one status file and one file per analog chunk per station and day.
+    span of ticks, and one status file and one file per analog chunk per station and span.
 
     ``per_tick``: files of each tick instead, with the readings of the tick and the status changes before it."""
-    span, named, until = (1, _tick_text, 1) if per_tick else (72, _day_tick_text, 0)
+    span, until = (1, 1) if per_tick else (span, 0)
+
+    def named(seq: Column) -> Column:
+        return _tick_text(F.floor(seq / span) * span)
     abbr = stations.join(lines_dim.select("line_name", "line_abbr"), "line_name").select("station_abbr", "line_abbr")
-    # The dimension files carry the first day's (or the first) tick (one small aggregate).
+    # The dimension files carry the first span's tick (one small aggregate).
     first = readings.agg(F.min(F.floor(F.col("seq") / span) * span)).first()[0]
     t0 = _seq_text(int(first))
 

@@ -9,9 +9,7 @@ idempotent and the last write of a key wins.  Here:
   re-sent keys are combined before the shuffle;
 * ``merge_into`` applies it to a partitioned Parquet table: the incoming rows are computed once,
   only the partitions they touch are read and overwritten, and the merged rows are a table of
-  their own in the shared folder before a partition is replaced;
-* ``replace_versioned`` replaces a whole small table: each state is a new version folder, and
-  readers take the last one that was written to its end, so a write that fails loses nothing.
+  their own in the shared folder before a partition is replaced.  Tables that grow by small upserts are kept as runs instead (``sources/runs``).
 """
 
 from __future__ import annotations
@@ -90,35 +88,6 @@ def merge_into(spark: SparkSession, path: str, incoming: DataFrame, keys: list[s
      .partitionBy(partition_col).parquet(path))
 
 
-def versions(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the complete versions of a table, in order."""
-    system, where = file_system(spark, path)
-    if not system.exists(where):
-        return []
-    found = []
-    for s in system.listStatus(where):
-        name = s.getPath().getName()
-        if name.startswith("version=") and system.exists(file_system(spark, f"{path}/{name}/_SUCCESS")[1]):
-            found.append(int(name.removeprefix("version=")))
-    return sorted(found)
-
-
-def read_versioned(spark: SparkSession, path: str) -> DataFrame | None:
-    """The last complete state of a table, or None."""
-    found = versions(spark, path)
-    return spark.read.parquet(f"{path}/version={found[-1]}") if found else None
-
-
-def replace_versioned(df: DataFrame, path: str, keep: int = 2) -> None:
-    """Write ``df`` as the next version; the newest ``keep`` versions stay."""
-    spark = df.sparkSession
-    found = versions(spark, path)
-    df.write.mode("overwrite").parquet(f"{path}/version={(found[-1] if found else 0) + 1}")
-    for old in found[:-(keep - 1)] if keep > 1 else found:
-        system, where = file_system(spark, f"{path}/version={old}")
-        system.delete(where, True)
-
-
 def typed_copy(src: DataFrame, schema: T.StructType, path: str, keys: list[str], partition_col: str) -> None:
     """B-3: table-to-table copy through a typed schema; a second run writes the same rows again."""
     rows = cast_to(src, schema).withColumn("batch", F.lit(0))

@@ -8,7 +8,7 @@ run resumes where the last committed batch ended.
 
 Every sink gives the same table when a batch, or the whole input, is delivered again: K-1 merges by
 key in an order that the data carries, K-2 keeps one partial result per batch and sums them when
-read, K-3 keeps the distinct latest rows in versions of which the last complete one counts.
+read (or closes windows by event time, with late rows beside them), K-3 upserts the newest time of each key and value.
 """
 
 from __future__ import annotations
@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltrail import schemas as SC
+from voltrail.session import file_system
 from voltrail.sources import dropfolder as DF
-from voltrail.sources import store as ST
+from voltrail.sources import runs as RN
 
 #: What tells a later write from an earlier one, before the batch number.
 WRITE_ORDER = ("drop_tick", "modified", "batch")
@@ -50,9 +51,8 @@ def merge_drop(spark: SparkSession, routed: DataFrame, root: str, epoch: int, ta
         d = DF.dimension_rows(routed, name, schema, carry=("drop_tick", "modified"))
         jobs.append((name, d.select(*schema.fieldNames(), *write, F.lit(name).alias("part")), keys, "part"))
     for name, rows, keys, part in jobs:
-        rows = rows.dropna(subset=keys)
-        if name in tables and not rows.isEmpty():
-            ST.merge_into(spark, f"{root}/{name}", rows, keys, part, WRITE_ORDER)
+        if name in tables:
+            RN.upsert_into(spark, f"{root}/{name}", rows.dropna(subset=keys), keys, part, WRITE_ORDER)
 
 
 def ingest_stream(spark: SparkSession, folder: str, root: str, checkpoint: str, max_files: int = 200) -> None:
@@ -99,22 +99,92 @@ def tick_agg_table(spark: SparkSession, table_path: str, checkpoint: str) -> Dat
     return parts.groupBy("tick", "event_type").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
 
 
+def windows_stream(events: DataFrame, table_path: str, checkpoint: str, delay: str = "1 day") -> None:
+    """K-2 by event time: 20-minute windows that close when the watermark (newest ``ts`` less ``delay``) passes their end.
+
+    Open windows are Spark's state; a closed one leaves it and is written once, and rows that come for a closed window
+    are written to the late rows whole.  A batch's late rows are those of windows that ended by the watermark of the
+    batch before, as the checkpoint's offsets tell: that is what the aggregation leaves out.
+    """
+    spark = events.sparkSession
+    rows = events.select("ts", "event_type", "value", F.struct(*events.columns).alias("row")).withWatermark("ts", delay)
+    window = F.window("ts", "20 minutes")
+    none = F.lit(None)
+    agg = rows.groupBy(window, "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
+    agg = agg.select(F.col("window.start").alias("tick"), F.col("window.end").alias("ends"), "event_type", "n", "total", none.cast(rows.schema["row"].dataType).alias("row"))
+    each = rows.select(window.start.alias("tick"), window.end.alias("ends"), none.cast("string").alias("event_type"), none.cast("bigint").alias("n"), none.cast("double").alias("total"), "row")
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        path = _partials(table_path, checkpoint)
+        known = F.timestamp_millis(F.lit(_watermark(spark, checkpoint, epoch - 1)))
+        batch = batch.persist()
+        try:
+            closed = batch.where(F.col("row").isNull()).select("tick", "event_type", "n", "total")
+            closed.write.mode("overwrite").parquet(f"{path}/closed/batch={epoch}")
+            late = batch.where(F.col("row").isNotNull() & (F.col("ends") <= known)).select("tick", "row.*")
+            late.write.mode("overwrite").parquet(f"{path}/late/batch={epoch}")
+        finally:
+            batch.unpersist()
+
+    _run(agg.unionByName(each).writeStream.outputMode("append").foreachBatch(write), checkpoint)
+
+
+def _watermark(spark: SparkSession, checkpoint: str, epoch: int) -> int:
+    """The watermark of a batch in milliseconds; 0 before the first."""
+    if epoch < 0:
+        return 0
+    lines = spark.read.text(f"{checkpoint}/offsets/{epoch}").where(F.col("value").contains("batchWatermarkMs"))
+    return lines.select(F.get_json_object("value", "$.batchWatermarkMs").cast("bigint")).first()[0]
+
+
+def _committed(spark: SparkSession, checkpoint: str) -> int:
+    system, where = file_system(spark, f"{checkpoint}/commits")
+    names = [s.getPath().getName() for s in system.listStatus(where)] if system.exists(where) else []
+    return max((int(n) for n in names if n.isdigit()), default=-1)
+
+
+def windows_table(spark: SparkSession, table_path: str, checkpoint: str) -> DataFrame:
+    """(tick, event_type, n, total, kind) of all rows so far: windows that are closed, open (read from the state) and
+    what came late for closed ones."""
+    path, last = _partials(table_path, checkpoint), _committed(spark, checkpoint)
+    done = F.col("batch") <= last  # the state is that of the last committed batch
+    closed = spark.read.parquet(f"{path}/closed").where(done).select("tick", "event_type", "n", "total", F.lit("closed").alias("kind"))
+    state = spark.read.format("statestore").load(checkpoint)
+    opened = state.select(F.col("key.window.start").alias("tick"), "key.event_type", F.col("value.count").alias("n"), F.col("value.sum").alias("total"), F.lit("open").alias("kind"))
+    late = late_rows(spark, table_path, checkpoint).groupBy("tick", "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
+    return closed.unionByName(opened).unionByName(late.withColumn("kind", F.lit("late")))
+
+
+def late_rows(spark: SparkSession, table_path: str, checkpoint: str) -> DataFrame:
+    """The rows that came after their window had closed, with the window's ``tick``: what a rehandle starts from
+    (``operators.job.rehandle_from``)."""
+    late = spark.read.parquet(f"{_partials(table_path, checkpoint)}/late")
+    return late.where(F.col("batch") <= _committed(spark, checkpoint)).drop("batch")
+
+
+#: Partitions of the state by key.
+STATE_BUCKETS = 16
+
+
 def latest_state_stream(status: DataFrame, table_path: str, checkpoint: str,
                         keys: tuple[str, ...] = ("station_abbr", "id")) -> None:
-    """K-3: latest status row(s) per key, different values at one time all kept, merged batch by batch.
+    """K-3: latest status row(s) per key, different values at one time all kept.
 
-    Each batch is reduced to its own latest rows first (partial ``max`` per key), then combined
-    with the stored state into the next version of the table (``store.read_versioned``).
+    The state is a table of runs (``sources/runs``) with the newest time of each (key, value), in buckets of the key's hash: a batch
+    that touches k keys writes k rows or so, whatever the state holds, and the same batch again changes nothing.
     """
     keys = list(keys)
 
-    def latest(df: DataFrame) -> DataFrame:
-        mx = df.groupBy(*keys).agg(F.max("ts").alias("ts"))
-        return df.join(mx, keys + ["ts"], "left_semi").distinct()
-
     def merge(batch: DataFrame, epoch: int) -> None:
-        new = latest(batch)
-        state = ST.read_versioned(batch.sparkSession, table_path)
-        ST.replace_versioned(new if state is None else latest(state.unionByName(new)), table_path)
+        new = batch.groupBy(*keys, "value").agg(F.max("ts").alias("ts")).select(*keys, "ts", "value")
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(STATE_BUCKETS)).cast("int").alias("bucket")
+        RN.upsert_into(batch.sparkSession, table_path, new.select("*", bucket), [*keys, "value"], "bucket", "ts")
 
     _run(status.writeStream.foreachBatch(merge), checkpoint)
+
+
+def latest_state_table(spark: SparkSession, table_path: str, keys: tuple[str, ...] = ("station_abbr", "id")) -> DataFrame:
+    """The latest row(s) of each key."""
+    state = RN.read_runs(spark, table_path)
+    top = state.groupBy("bucket", *keys).agg(F.max("ts").alias("ts"))
+    return state.join(top, ["bucket", *keys, "ts"], "left_semi").drop("bucket")
