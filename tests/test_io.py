@@ -1,13 +1,18 @@
 """Drop-folder ingest, Parquet upsert, parameters and JDBC (A-*, B-*)."""
 import os
+import tempfile
 
 from pyspark.sql import functions as F
 
 from voltrail import schemas as SC
-from voltrail.params import Params, params_overlay
+from voltrail.operators import basics as B
+from voltrail.params import Params, params_at, params_overlay
 from voltrail.sources import dropfolder as DF
+from voltrail.sources import ledger as LG
 from voltrail.sources import mapping as M
+from voltrail.sources import runs as RN
 from voltrail.sources import store as ST
+from voltrail.streaming import jobs as J
 
 
 def _write(folder, name, lines):
@@ -49,6 +54,39 @@ def test_analog_chunks_status_and_points(spark, tmpdir_path):
     assert pts == {99: "run", 612: None}     # 13-field row padded with NULL
 
 
+def test_every_line_is_taken_or_rejected_with_its_reason(spark, tmpdir_path):
+    d, root = _folder(tmpdir_path), os.path.join(tmpdir_path, "tables")
+    _write(d, "20180810002000_hisdataYX_bj9_abc.txt", ["x\t2018-08-10 00:13:05\t1", "4\tyesterday\t1", "4\t2018-08-10 00:13:05", "5\t2018-08-10 00:13:05\t1", "4\tyesterday\t1"])
+    _write(d, "20180810002000_hisdata_bj9_abc_two.txt", ["2018-08-10 00:20:00\t1"])
+    _write(d, "20180810002000_hisdata_bj9_abc_1.txt", ["\t1", "2018-08-10 00:20:00\t1"])
+    _write(d, "20180810002000_line.txt", ["\tsa\tL\td\t500\t1\t0", "S\tsa\tL\td\t500\t1\t0"])
+    _write(d, "20180810002000_price.txt", ["1"])
+    lines = DF.route(DF.read_drop(spark, d))
+    J.merge_drop(spark, lines, root, 0)
+    J.merge_drop(spark, lines, root, 1)  # delivered again
+    bad = RN.read_runs(spark, f"{root}/rejected")
+    assert sorted((r.kind, r.reason, r.n) for r in bad.collect()) == [
+        ("analog", "chunk", 1), ("analog", "time", 1), ("dimension", "key", 1), ("dimension", "table", 1), ("ignored", "name", 1),
+        ("status", "fields", 1), ("status", "id", 1), ("status", "time", 2)]
+    good = lines.where(DF.reason(SC.DIMENSIONS).isNull()).count()
+    assert good + bad.agg(F.sum("n")).first()[0] == lines.count() == 18
+    assert RN.read_runs(spark, f"{root}/status").count() == 2 and RN.read_runs(spark, f"{root}/line").count() == 1
+
+
+def test_the_ledger_takes_a_file_once_and_again_when_it_changed(spark, tmpdir_path, monkeypatch):
+    d, root = _folder(tmpdir_path), os.path.join(tempfile.mkdtemp(prefix="voltrail-test-"), "tables")
+    assert LG.take_new(spark, d, root, max_files=4) == 6
+    read = []
+    monkeypatch.setattr(LG.DF, "read_files", lambda s, paths, of=DF.read_files: read.extend(paths) or of(s, paths))
+    assert LG.take_new(spark, d, root) == 0 and read == []
+    _write(d, "20180810004000_hisdata_bj9_qlz_1.txt", ["2018-08-10 00:40:00\t7\t8\t9"])
+    _write(d, "20180810010000_hisdata_bj9_qlz_1.txt", ["2018-08-10 01:00:00\t1"])
+    assert LG.take_new(spark, d, root, "20180810010000") == 1 and LG.take_new(spark, d, root) == 1 and len(read) == 2
+    got = {(r.tick.hour * 60 + r.tick.minute, r.control_id): r.value for r in RN.read_runs(spark, f"{root}/readings").collect()}
+    assert got[40, 0] == "7" and got[40, 2] == "9" and got[60, 0] == "1"
+    assert RN.read_runs(spark, f"{root}/files").count() == 7
+
+
 def test_upsert_last_write_wins_and_idempotent(spark, tmpdir_path):
     path = os.path.join(tmpdir_path, "tbl")
     keys = ["station_abbr", "tick", "control_id"]
@@ -72,6 +110,35 @@ def test_params_layers(spark):
     assert got == {"KT_F": ("1000", "settings"), "run_time": ("20", "defaults")}
 
 
+def test_parameters_hold_from_their_tick_until_the_next(spark):
+    import datetime as dt
+    T = 1_420_100
+    when = lambda seq, s=0: dt.datetime(1970, 1, 1) + dt.timedelta(seconds=seq * 1200 + s)
+    layer = "key string, value string, valid_from timestamp"
+    defaults = spark.createDataFrame([("KT_F", "5", when(T - 900)), ("XL_standard", "0.5", when(T + 2)), ("nothing", "1", when(T))], layer)
+    settings = spark.createDataFrame([("KT_F", "7", when(T + 1)), ("KT_F", "8", when(T + 2, 1)), ("KT_F", "x", when(T + 4)), ("KT_F", "9", when(T + 5)), ("KT_F", "6", when(T + 4, 1200 - 1))], layer)
+    ticks = spark.range(T - 1, T + 7).withColumnRenamed("id", "seq")
+    got = {r.seq - T: (r.p_KT_F, r.p_XL_standard, r.p_run_time) for r in params_at(ticks, defaults, settings, Params(XL_standard=0.9)).collect()}
+    assert got == {-1: (5, 0.9, 20), 0: (5, 0.9, 20), 1: (7, 0.9, 20), 2: (7, 0.5, 20), 3: (8, 0.5, 20), 4: (8, 0.5, 20), 5: (9, 0.5, 20), 6: (9, 0.5, 20)}
+    assert params_at(ticks.limit(0), defaults, settings).count() == 0
+    assert {r.p_KT_F for r in params_at(ticks, defaults.limit(0), settings.limit(0)).collect()} == {Params().KT_F}
+
+
+def test_samples_are_the_same_rows_under_any_partitioning(spark):
+    df = spark.range(5000).selectExpr("id", "id % 40 as grp")
+    rows = lambda d: sorted(r.id for r in d.collect())
+    part = B.sample_fraction(df, ["grp"], 0.5, 3)
+    assert rows(part) == rows(B.sample_fraction(df.repartition(7), ["grp"], 0.5, 3))
+    assert len({r.grp for r in part.collect()}) * 125 == part.count() and 8 < part.count() / 125 < 32  # whole keys
+    assert set(rows(B.sample_fraction(df, ["id"], 0.1, 3))) < set(rows(B.sample_fraction(df, ["id"], 0.3, 3)))
+    assert abs(B.sample_fraction(df, ["id"], 0.3, 3).count() - 1500) < 150
+    for n in (0, 1, 999, 4999, 5000, 9000):
+        got = rows(B.sample_rows(df, ["id"], n, 3))
+        assert len(got) == min(n, 5000) and got == rows(B.sample_rows(df.repartition(5), ["id"], n, 3))
+    assert set(rows(B.sample_rows(df, ["id"], 50, 3))) < set(rows(B.sample_rows(df, ["id"], 500, 3)))
+    assert rows(B.sample_rows(df, ["id"], 500, 3)) != rows(B.sample_rows(df, ["id"], 500, 4))
+
+
 def test_cells_catalog_and_discovery(spark):
     df = spark.createDataFrame([("rk1", "zhang", 19)], "rowkey string, name string, age int")
     cells = M.to_cells(df, F.col("rowkey"), "c", ["name", "age"])

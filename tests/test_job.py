@@ -243,8 +243,9 @@ def wanted_day(w):
 
 
 def test_a_correction_reaches_what_depends_on_it_and_nothing_else(spark):
-    readings = [(s, at(T + k), c, str(20 + (k * 7 + c) % 13)) for s in ("sa", "sb") for k in range(0, 240, 4) for c in (8, 23, 24)]
-    w = world_of(spark, readings, [("sa", 0, at(T + k, 30), "1") for k in range(0, 240, 50)])
+    readings = [(s, at(T + k), c, str(20 + (k * 7 + c) % 13 if c > 8 else k * k * 37 % 9000)) for s in ("sa", "sb") for k in range(0, 240, 2) for c in (8, 23, 24)]
+    readings += [("sa", at(T + k), 8, str(k)) for k in (79, 81, 151, 153)]
+    w = world_of(spark, readings, [("sa", 5, at(T + k, 30), "1") for k in range(0, 240, 50)])
     root, t = stored_scores(spark, w), T + 80
     before, runs = day_table(spark, root), {e["run"] for e in RN.state_of(spark, f"{root}/kpi_day")["live"]}
     fixed = F.when((F.col("tick") == F.lit(at(t))) & (F.col("station_abbr") == "sa"), "33").otherwise(F.col("value"))
@@ -253,7 +254,7 @@ def test_a_correction_reaches_what_depends_on_it_and_nothing_else(spark):
     only = spark.createDataFrame([("sa",)], "station_abbr string")
     real, day = JOB.rehandle_from(spark, root, FIXTURE_PARAMS, text(t), new, only)
     assert persisted(spark) <= held
-    assert {(r.station_abbr, r.tick) for r in real.collect()} <= {("sa", at(s)) for s in (t, t + 1, t + 72)}
+    assert {("sa", at(t))} <= {(r.station_abbr, r.tick) for r in real.collect()} <= {("sa", at(s)) for s in (t, t + 1)}
     after, want = day_table(spark, root), wanted_day(new)
     assert set(after) == set(want) and all(after[k] == pytest.approx(want[k]) for k in want)
     moved = {k for k in after if after[k] != pytest.approx(before[k], rel=1e-9)}

@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltrail.functions.ticks import tick_seq
@@ -52,6 +52,44 @@ def key_regex_filter(df: DataFrame, key: str, instants: list[str]) -> DataFrame:
     return df.filter(F.col(key).rlike(rx))
 
 
+#: Hex digits of a sampling hash, and those of a prefix that counts are made by.
+HASH_DIGITS, PREFIX_DIGITS = 12, 3
+
+
+def sample_hash(keys: list[str], seed: int) -> Column:
+    """A row's place in [0, 16^12) by its key: the same in every run, partitioning and engine (MD5 of seed and key)."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("\\N")) for k in keys])
+    return F.conv(F.left(F.md5(text), F.lit(HASH_DIGITS)), 16, 10).cast("bigint")
+
+
+def sample_fraction(df: DataFrame, keys: list[str], fraction: float, seed: int = 0) -> DataFrame:
+    """2.M: about ``fraction`` of the keys, with all their rows, by a seeded hash: no shuffle, and samples of smaller fractions
+    lie within those of larger ones."""
+    return df.filter(sample_hash(keys, seed) < F.lit(int(fraction * 16 ** HASH_DIGITS)))
+
+
+def sample_rows(df: DataFrame, keys: list[str], n: int, seed: int = 0) -> DataFrame:
+    """Exactly ``n`` rows (all, if fewer) of the least hashes, of equal ones the least keys; keys tell the rows apart.
+
+    Counts by the hash's first digits say in which prefix the n-th row is: rows of lower prefixes are in, and only that prefix,
+    1 in 4,096 of the rows, is sorted."""
+    rows = df.withColumn("__hash", sample_hash(keys, seed))
+    width = 16 ** (HASH_DIGITS - PREFIX_DIGITS)
+    prefix = F.expr(f"__hash div {width}")
+    counts = sorted(map(tuple, rows.groupBy(prefix).agg(F.count(F.lit(1))).collect()))  # 4,096 rows at most
+    before = 0
+    for last, count in counts:
+        if before + count >= n:
+            break
+        before += count
+    else:
+        return df
+    inside = rows.filter(prefix == last)
+    rank = F.row_number().over(Window.partitionBy(prefix).orderBy("__hash", *keys))
+    edge = inside.withColumn("__rank", rank).filter(F.col("__rank") <= n - before).drop("__rank")
+    return rows.filter(prefix < last).unionByName(edge).drop("__hash")
+
+
 def predicate_mix(customer: DataFrame) -> DataFrame:
     """Comparison, BETWEEN, OR, an expression-string filter, COUNT and SUM in one pass."""
     bal, seg = F.col("c_acctbal"), F.col("c_mktsegment")

@@ -162,14 +162,14 @@ def rehandle_from(spark: SparkSession, root: str, p: Params, tick: str, world: d
     kept = scan_kpi(spark, root, "kpi_real", t, t)
     if stations is not None and not kept.isEmpty():
         mine = stations.select("station_abbr").distinct()
-        ticks = scan_kpi(spark, root, "kpi_real", t, real_hi).select(tick_seq("tick").alias("seq")).distinct()
+        ticks = scan_kpi(spark, root, "kpi_real", t - DAY_TICKS, real_hi).select(tick_seq("tick").alias("seq")).distinct()
         world = world | {n: join_dimension(world[n], mine, "station_abbr", "left_semi") for n in ("stations", "readings", "status")}
     else:
         mine = ticks = None
     job = K.Job(world["lines"], world["stations"], world["points"], between_ticks(world["readings"], t - DAY_TICKS, real_hi),
-                status_before(world["status"], t - DAY_TICKS, real_hi), lo=t, hi=real_hi, active=ticks)
+                status_before(world["status"], t - DAY_TICKS, real_hi), lo=t - DAY_TICKS, hi=real_hi, active=ticks)
     try:
-        new = ST.written(K.kpi_real_status(job.inputs(), p).withColumn("tick", seq_to_tick("seq")), "rehandle-real")
+        new = ST.written(K.kpi_real_status(job.inputs().where(F.col("seq") >= t), p).withColumn("tick", seq_to_tick("seq")), "rehandle-real")
     finally:
         job.release()
 

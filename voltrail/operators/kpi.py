@@ -26,8 +26,9 @@ def c(name: str) -> Column:
     return F.col(name)
 
 
-def lit(x: float) -> Column:
-    return F.lit(float(x))
+def lit(x: float | Column) -> Column:
+    """A parameter: a constant, or a column of the row (``params.ParamColumns``)."""
+    return x if isinstance(x, Column) else F.lit(float(x))
 
 
 def score(r: Column, std: float) -> Column:

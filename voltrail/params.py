@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, fields, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -141,3 +141,40 @@ def params_overlay(defaults: DataFrame, settings: DataFrame) -> DataFrame:
             .otherwise(F.lit("defaults")).alias("source"),
         )
     )
+
+
+# ------------------------------------------------------------------ parameters that change over time
+
+class ParamColumns:
+    """Stands for ``Params`` in the formulas: each parameter is the row's column ``p_<name>``."""
+
+    def __getattr__(self, name: str) -> Column:
+        if name not in {f.name for f in fields(Params)}:
+            raise AttributeError(name)
+        return F.col(f"p_{name}")
+
+
+def params_at(ticks: DataFrame, defaults: DataFrame, settings: DataFrame, base: Params | None = None) -> DataFrame:
+    """A-16 over time: (seq, p_<name> ...), the parameters that hold at each of the distinct tick numbers ``seq``.
+
+    Both layers are (key, value, valid_from).  A row counts from the first tick at its time or after until the next of its key;
+    settings go before defaults, and ``base`` holds where neither has a value.  Of rows of one key that count from the
+    same tick the newest is taken, of equal ones the greater value; a value that is no number, and a key that names
+    no parameter, count as none.  The window runs over ticks and changes, not over readings.
+    """
+    base = (base or Params()).as_dict()
+
+    def changes(layer: DataFrame, mark: str) -> DataFrame:
+        micros = F.unix_micros(F.col("valid_from").cast("timestamp"))
+        rows = layer.select("key", F.col("value").try_cast("double").alias("v"), micros.alias("us")).where(F.col("key").isin(*base) & F.col("v").isNotNull())
+        rows = rows.withColumn("seq", F.ceil(F.col("us") / F.lit(TICK_SECONDS * 1_000_000)).cast("bigint"))
+        return rows.groupBy("seq").agg(*[F.max(F.when(F.col("key") == n, F.struct("us", "v")))["v"].alias(f"{mark}_{n}") for n in base])
+
+    asked = ticks.select("seq", F.lit(1).alias("ask"))
+    rows = asked.unionByName(changes(defaults, "d"), allowMissingColumns=True).unionByName(changes(settings, "s"), allowMissingColumns=True)
+    w = Window.orderBy("seq", F.coalesce("ask", F.lit(0))).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def last(c: str) -> Column:
+        return F.last(c, ignorenulls=True).over(w)
+    held = rows.select("seq", "ask", *[F.coalesce(last(f"s_{n}"), last(f"d_{n}"), F.lit(v)).alias(f"p_{n}") for n, v in base.items()])
+    return held.where(F.col("ask") == 1).drop("ask")

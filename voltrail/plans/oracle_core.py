@@ -16,8 +16,9 @@ from voltrail.params import (DAY_COLUMNS, FIXTURE_PARAMS, KPI_COLUMNS, MEAN_CLAS
 from voltrail.plans.fixtures import CATALOG, N_STATIONS
 
 
-def D(x: float) -> str:
-    return f"CAST({float(x)!r} AS DOUBLE)"
+def D(x: float | str) -> str:
+    """A double literal; a text is a column's name."""
+    return x if isinstance(x, str) else f"CAST({float(x)!r} AS DOUBLE)"
 
 
 def R4(expr: str) -> str:

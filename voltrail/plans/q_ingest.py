@@ -17,7 +17,9 @@ from voltrail.plans.q_kpi import _memo, world
 from voltrail.plans.registry import register
 from voltrail.session import scratch_path
 from voltrail.sources import dropfolder as DF
+from voltrail.sources import ledger as LG
 from voltrail.sources import runs as RN
+from voltrail.sources import store as ST
 from voltrail.streaming import jobs as J
 
 
@@ -140,3 +142,40 @@ def q_ingest_status(spark, sf_dir):
 def q_ingest_analog_chunk(spark, sf_dir):
     a = DF.analog_rows(routed(spark, sf_dir))
     return a.select("station_abbr", tick_text("tick").alias("kpi_time"), "control_id", "value")
+
+
+# What arrives damaged: times of id 3's changes to '0', and of uploads at a tick that ends in 40 minutes.
+_JUDGED = with_ctes("""SELECT 'status' AS kind, CASE WHEN id = 3 AND value = '0' THEN 'time' ELSE 'good' END AS verdict, COUNT(*) AS n FROM fx_status GROUP BY 1, 2
+UNION ALL SELECT 'analog', CASE WHEN seq % 3 = 2 THEN 'time' ELSE 'good' END, COUNT(DISTINCT (station_abbr, seq)) FROM fx_reading GROUP BY 1, 2
+UNION ALL SELECT 'dimension', 'good', (SELECT COUNT(*) FROM fx_line) + (SELECT COUNT(*) FROM fx_station) + (SELECT COUNT(*) FROM fx_point)""",
+                    ("fx_status", "fx_reading", "fx_line", "fx_station", "fx_point"))
+
+
+@register("ingest_rejects", _JUDGED, "A-5", "A-6", "K-1")
+def q_ingest_rejects(spark, sf_dir):
+    # Lines in the tables and in the table of rejected lines together are all lines.
+    w, root = world(spark, sf_dir), scratch_path(spark, "damaged")
+    lines = DF.export_lines(w["lines"], w["stations"], fx.fx_point(spark, sf_dir), w["readings"], w["status"], span=FILE_TICKS)
+    f, kind = DF.fields(), F.col("kind")
+    torn = F.when((kind == "status") & (f[0] == "3") & (f[2] == "0"), F.concat_ws("\t", f[0], F.lit("?"), f[2]))
+    torn = torn.when((kind == "analog") & F.substring(f[0], 15, 2).eqNullSafe("40"), F.regexp_replace("line", "^[^\t]*", "no time"))
+    r = DF.route(lines).withColumn("modified", F.timestamp_seconds(F.lit(0)))
+    r = ST.written(r.withColumn("line", F.coalesce(torn, "line")), "damaged-lines")
+    J.merge_drop(spark, r, root, 0)
+    read = lambda name: RN.read_runs(spark, f"{root}/{name}")
+    uploads = read("readings").select("station_abbr", "tick").distinct().select(F.lit("analog").alias("kind"))
+    points = read("center").select("part").unionByName(read("line").select("part")).unionByName(read("point").select("part")).select(F.lit("dimension").alias("kind"))
+    states = r.where((kind == "status") & DF.reason(SC.DIMENSIONS).isNull()).select("kind")
+    good = uploads.unionByName(points).unionByName(states).groupBy("kind").agg(F.count(F.lit(1)).alias("n")).select("kind", F.lit("good").alias("verdict"), "n")
+    return good.unionByName(read("rejected").groupBy("kind", F.col("reason").alias("verdict")).agg(F.sum("n").alias("n")))
+
+
+@register("ingest_ledger", with_ctes(
+    "SELECT substring(file_name, 1, 14) AS drop_tick, COUNT(DISTINCT file_name) AS n_files, 0 AS n_again FROM files GROUP BY 1", ("files",), _EXTRA), "A-1", "K-1")
+def q_ingest_ledger(spark, sf_dir):
+    # The folder's files are taken once; a second listing finds none of them new.
+    folder, root = drop_folder(spark, sf_dir), scratch_path(spark, "ledger")
+    LG.take_new(spark, folder, root)
+    again = LG.new_files(spark, folder, f"{root}/files").select("file_name", F.lit(1).alias("again"))
+    files = RN.read_runs(spark, f"{root}/files").join(again, "file_name", "left")
+    return files.groupBy(F.left("file_name", F.lit(14)).alias("drop_tick")).agg(F.count(F.lit(1)).alias("n_files"), F.count("again").cast("int").alias("n_again"))

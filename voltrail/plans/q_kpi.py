@@ -12,9 +12,10 @@ from voltrail.operators import kpi as K
 from voltrail.operators import points as P
 from voltrail.operators import readings as R
 from voltrail.params import (DAY_COLUMNS, FIXTURE_PARAMS, KPI_COLUMNS, MEAN_CLASSES, METER_CLASSES,
-                             RUN_CLASSES)
+                             RUN_CLASSES, ParamColumns, params_at)
 from voltrail.plans import fixtures as fx
 from voltrail.plans.oracle_core import (CTES, R4, TICK_TEXT, kpi_rs_cte, present, sql_formulas, with_ctes)
+from voltrail.plans.joins import join_dimension
 from voltrail.plans.registry import register
 from voltrail.session import scratch_path
 from voltrail.sources import dropfolder as DF
@@ -170,6 +171,49 @@ def q_kpi_real(spark, sf_dir):
     return K.present(_rs(spark, sf_dir), KPI_COLUMNS)
 
 
+# Standards that change within days: settings come with one event in 400, defaults with the regions.
+_STANDARDS = ("LL_standard", "XL_standard", "HFT_standard", "KT_F")
+_SETTINGS_SQL = """SELECT ['LL_standard', 'XL_standard', 'HFT_standard', 'KT_F'][1 + (event_id // 400) % 4] AS key,
+ [200 + event_id % 7, 1 + event_id % 3, 24 + (event_id // 1600) % 6, 50000 + event_id][1 + (event_id // 400) % 4] AS v, epoch_us(ts) AS us FROM events WHERE event_id % 400 = 0"""
+
+
+class _SqlParams:
+    """The parameters of the oracle's formulas: columns where they change, else constants."""
+
+    def __getattr__(self, name):
+        return f"p_{name}" if name in _STANDARDS else getattr(P0, name)
+
+
+_LAYERED = {
+    "changes_of": (f"SELECT key, us, max(v) AS v FROM ({_SETTINGS_SQL}) GROUP BY key, us", ()),
+    "xp": ("SELECT x.*, " + ", ".join(f"COALESCE(CAST(c{i}.v AS DOUBLE), {27.0 if n == 'HFT_standard' else float(getattr(P0, n))!r}::DOUBLE) AS p_{n}" for i, n in enumerate(_STANDARDS))
+           + " FROM xin x" + "".join(f" ASOF LEFT JOIN (SELECT * FROM changes_of WHERE key = '{n}') c{i} ON c{i}.us <= x.seq * 1200000000" for i, n in enumerate(_STANDARDS)),
+           ("xin", "changes_of")),
+    "layered": ("SELECT station_abbr, seq, " + ", ".join(f"{sql_formulas(_SqlParams())[n]} AS {n}" for n in KPI_COLUMNS) + " FROM xp", ("xp",)),
+}
+
+
+def parameter_layers(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """(key, value, valid_from) of defaults and settings."""
+    ev = fx.table(spark, sf_dir, "events").where(F.col("event_id") % 400 == 0)
+    turn, e = (F.floor(F.col("event_id") / 400) % 4).cast("int"), F.col("event_id")
+    value = F.when(turn == 0, 200 + e % 7).when(turn == 1, 1 + e % 3).when(turn == 2, 24 + F.floor(e / 1600) % 6).otherwise(50000 + e)
+    settings = ev.select(F.element_at(F.array(*[F.lit(n) for n in _STANDARDS]), turn + 1).alias("key"), value.cast("string").alias("value"), F.col("ts").alias("valid_from"))
+    r = F.col("r_regionkey")
+    key = F.when(r == 0, "HFT_standard").when(r == 1, "run_time").when(r == 2, "no_such_key").otherwise("XL_standard")
+    value = F.when(r == 0, "27").when(r == 1, "20").when(r == 2, "1").otherwise("none")  # the last is no number
+    defaults = fx.table(spark, sf_dir, "region").select(key.alias("key"), value.alias("value"), F.timestamp_seconds(F.lit(0)).alias("valid_from"))
+    return defaults, settings
+
+
+@register("kpi_real_layers", with_ctes(present("layered", KPI_COLUMNS), ("layered",), _LAYERED), "A-16", "J-12")
+def q_kpi_real_layers(spark, sf_dir):
+    ticks = _job(spark, sf_dir).grid.select("seq").distinct()
+    held = params_at(ticks, *parameter_layers(spark, sf_dir), P0)
+    x = join_dimension(_inputs(spark, sf_dir), held, "seq")
+    return K.present(K.scores(x, ParamColumns(), KPI_COLUMNS), KPI_COLUMNS)
+
+
 @register("kpi_status", with_ctes(
     f"SELECT station_abbr, {TICK_TEXT('seq')} AS kpi_time, "
     + ", ".join(f"{R4('st_' + n)} AS {n}" for n in KPI_COLUMNS) + " FROM kpi_rs", ("kpi_rs",), RS), "J-11")

@@ -175,6 +175,24 @@ def q_key_range(spark, sf_dir):
     return B.key_range(o, "key", "000000100", "000000500").select("o_orderkey", "o_custkey")
 
 
+def _hash_sql(key: str, seed: int) -> str:
+    return f"CAST('0x' || substr(md5('{seed}|' || CAST({key} AS VARCHAR)), 1, {B.HASH_DIGITS}) AS BIGINT)"
+
+
+@register("sample_fraction", f"SELECT o_orderkey, o_custkey FROM orders WHERE {_hash_sql('o_custkey', 7)} < {int(0.5 * 16 ** B.HASH_DIGITS)}", "2.M")
+def q_sample_fraction(spark, sf_dir):
+    # Half of the customers, with all their orders.
+    return B.sample_fraction(fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), ["o_custkey"], 0.5, 7)
+
+
+@register("sample_rows", f"""SELECT o_orderkey, o_custkey FROM orders ORDER BY {_hash_sql('o_orderkey', 7)}, o_orderkey
+LIMIT (SELECT COUNT(*) // 10 FROM orders)""", "2.M")
+def q_sample_rows(spark, sf_dir):
+    # Exactly a tenth of the orders.
+    o = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return B.sample_rows(o, ["o_orderkey"], o.count() // 10, 7)
+
+
 @register("take_ordered", """SELECT o_orderkey, o_custkey, o_totalprice FROM orders
 ORDER BY o_totalprice DESC, o_orderkey LIMIT 10""", "G-1")
 def q_take_ordered(spark, sf_dir):

@@ -35,8 +35,15 @@ CHUNK_WIDTH = 200
 def read_drop(spark: SparkSession, folder: str, tick: str | None = None) -> DataFrame:
     """(file_name, modified, line) of every file in the folder, or only those whose name
     starts with ``tick`` (A-1)."""
-    reader = spark.read.option("pathGlobFilter", f"{tick}*" if tick else "*")
-    r = reader.text(folder)
+    return _lines(spark.read.option("pathGlobFilter", f"{tick}*" if tick else "*").text(folder))
+
+
+def read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(file_name, modified, line) of the named files."""
+    return _lines(spark.read.text(paths))
+
+
+def _lines(r: DataFrame) -> DataFrame:
     return r.select(F.col("_metadata.file_name").alias("file_name"),
                     F.col("_metadata.file_modification_time").alias("modified"), F.col("value").alias("line"))
 
@@ -103,6 +110,27 @@ def analog_rows(routed: DataFrame, width: int = CHUNK_WIDTH, carry: tuple[str, .
         "station_abbr", "tick", ((F.col("chunk") - 1) * width + F.col("pos")).cast("int").alias("control_id"), "value", *carry)
 
 
+def reason(kind_tables: dict[str, tuple[T.StructType, list[str]]]) -> Column:
+    """Why a routed line can't be taken, null where it can: its file's name says no kind or no known table, its
+    chunk number, id, time or a key field can't be read."""
+    f, kind = fields(), F.col("kind")
+
+    def unread_time(i: int) -> Column:
+        return F.try_to_timestamp(digits_only(f.getItem(i)), F.lit("yyyyMMddHHmmss")).isNull()
+    status = F.when(F.size(f) < 3, "fields").when(f.getItem(0).try_cast("int").isNull(), "id").when(unread_time(1), "time")
+    analog = F.when(F.coalesce(F.col("chunk") < 1, F.lit(True)), "chunk").when(unread_time(0), "time")
+    keyless, known = F.lit(None).cast("string"), F.lit(False)
+    for name, (schema, keys) in kind_tables.items():
+        mine = F.col("table_name") == name
+        types = {x.name: (i, x.dataType) for i, x in enumerate(schema.fields)}
+        none = F.lit(False)
+        for k in keys:
+            none = none | _field(f, *types[k]).isNull()
+        keyless, known = F.when(mine & none, "key").otherwise(keyless), known | mine
+    return (F.when(kind == "ignored", "name").when(kind == "status", status).when(kind == "analog", analog)
+            .when(~known, "table").otherwise(keyless))
+
+
 # ------------------------------------------------------------------ writing (exporter)
 
 def write_files(lines: DataFrame, folder: str) -> None:

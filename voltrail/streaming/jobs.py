@@ -36,23 +36,42 @@ def _run(writer, checkpoint: str) -> None:
 
 
 #: Tables that the files of a drop folder are merged into.
-TABLES = ("readings", "status", *SC.DIMENSIONS)
+TABLES = ("readings", "status", *SC.DIMENSIONS, "rejected")
+
+
+#: Columns that the table of rejected lines has; equal lines of a file are one row with their number.
+REJECTED = ("file_name", "line", "kind", "reason", "n")
+
+
+def rejected_lines(routed: DataFrame) -> DataFrame:
+    """(file_name, line, kind, reason, n, ..) of the lines that can't be taken."""
+    bad = routed.withColumn("reason", DF.reason(SC.DIMENSIONS)).where(F.col("reason").isNotNull())
+    return bad.groupBy("file_name", "line", "kind", "reason", "drop_tick", "modified").agg(F.count(F.lit(1)).alias("n"))
 
 
 def merge_drop(spark: SparkSession, routed: DataFrame, root: str, epoch: int, tables: tuple[str, ...] = TABLES) -> None:
-    """Merge routed lines of drop files into their tables under ``root``, by key."""
+    """Merge routed lines of drop files into their tables under ``root``, by key.
+
+    A line that can't be taken goes to ``rejected`` with the reason: every line is in its table or there."""
     write = [F.col("drop_tick"), F.col("modified"), F.lit(epoch).cast("bigint").alias("batch")]
-    a = DF.analog_rows(routed, carry=("drop_tick", "modified"))
+    good = routed.where(DF.reason(SC.DIMENSIONS).isNull())
+    a = DF.analog_rows(good, carry=("drop_tick", "modified"))
     a = a.select("station_abbr", "tick", "control_id", "value", *write, F.to_date("tick").alias("date"))
-    s = DF.status_rows(routed, carry=("drop_tick", "modified"))
+    s = DF.status_rows(good, carry=("drop_tick", "modified"))
     s = s.select("station_abbr", "id", "ts", "value", *write, F.to_date("ts").alias("date"))
     jobs = [("readings", a, ["station_abbr", "tick", "control_id"], "date"), ("status", s, ["station_abbr", "id", "ts"], "date")]
     for name, (schema, keys) in SC.DIMENSIONS.items():
-        d = DF.dimension_rows(routed, name, schema, carry=("drop_tick", "modified"))
+        d = DF.dimension_rows(good, name, schema, carry=("drop_tick", "modified"))
         jobs.append((name, d.select(*schema.fieldNames(), *write, F.lit(name).alias("part")), keys, "part"))
+    day = F.left("drop_tick", F.lit(8))
+    part = F.when(day.rlike("^[0-9]{8}$"), day).otherwise("other").alias("part")
+    jobs.append(("rejected", rejected_lines(routed).select(*REJECTED, *write, part), ["file_name", "line"], "part"))
+    goes_to = (F.when(DF.reason(SC.DIMENSIONS).isNotNull(), "rejected").when(F.col("kind") == "analog", "readings")
+               .when(F.col("kind") == "status", "status").otherwise(F.col("table_name")))
+    present = {r[0] for r in routed.select(goes_to).distinct().collect()}  # names of TABLES
     for name, rows, keys, part in jobs:
-        if name in tables:
-            RN.upsert_into(spark, f"{root}/{name}", rows.dropna(subset=keys), keys, part, WRITE_ORDER)
+        if name in tables and name in present:
+            RN.upsert_into(spark, f"{root}/{name}", rows, keys, part, WRITE_ORDER)
 
 
 def ingest_stream(spark: SparkSession, folder: str, root: str, checkpoint: str, max_files: int = 200) -> None:
