@@ -17,7 +17,7 @@ from voltrail.plans import fixtures as fx
 from voltrail.plans.oracle_core import (CTES, R4, TICK_TEXT, kpi_rs_cte, present, sql_formulas, with_ctes)
 from voltrail.plans.joins import join_dimension
 from voltrail.plans.registry import register
-from voltrail.session import scratch_path
+from voltrail.session import file_system, scratch_path
 from voltrail.sources import dropfolder as DF
 from voltrail.sources import runs as RN
 from voltrail.streaming import jobs as J
@@ -25,13 +25,29 @@ from voltrail.streaming import jobs as J
 P0 = FIXTURE_PARAMS
 
 
+def _signature(spark: SparkSession, sf_dir: str) -> tuple:
+    """Bytes, files and time of the tables that the telemetry is derived from: other tables under a path are seen."""
+    found = []
+    for name in ("events", "nation", "region"):
+        system, where = file_system(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+        summary = system.getContentSummary(where)
+        found.append((summary.getLength(), summary.getFileCount(), system.getFileStatus(where).getModificationTime()))
+    return tuple(found)
+
+
 def _memo(spark: SparkSession, key: tuple, make):
     """DataFrames are immutable lazy plans: several queries over the same tables build theirs once.
-    They are kept on the session, so they end with it."""
+    They are kept on the session, so they end with it, and made anew where the tables have changed."""
     plans = spark.__dict__.setdefault("_voltrail_plans", {})
-    if key not in plans:
-        plans[key] = make()
-    return plans[key]
+    now = _signature(spark, key[0])
+    if key not in plans or plans[key][0] != now:
+        old = plans.pop(key, (None, None))[1]
+        if isinstance(old, DataFrame):
+            old.unpersist()
+        elif isinstance(old, K.Job):
+            old.release()
+        plans[key] = (now, make())
+    return plans[key][1]
 
 
 def world(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -57,13 +73,19 @@ def _analog(spark, sf_dir) -> DataFrame:
 
 
 def _inputs(spark, sf_dir) -> DataFrame:
-    return _memo(spark, (sf_dir, "inputs"), lambda: _job(spark, sf_dir).inputs())
+    """The formulas' inputs, a row per station and tick: computed once for all queries that start from them."""
+    return _memo(spark, (sf_dir, "inputs"), lambda: _job(spark, sf_dir).inputs().persist())
 
 
 def _rs(spark, sf_dir) -> DataFrame:
     return _memo(spark, (sf_dir, "rs"), lambda: K.kpi_real_status(_inputs(spark, sf_dir), P0))
 
 
+def _day(spark, sf_dir) -> DataFrame:
+    """The day table, which the rollups read as well."""
+    return _memo(spark, (sf_dir, "day"), lambda: K.kpi_day(_rs(spark, sf_dir)).persist())
+
+
 RS = kpi_rs_cte(P0)
 F_SQL = sql_formulas(P0)
 
@@ -224,7 +246,7 @@ def q_kpi_status(spark, sf_dir):
 
 @register("kpi_day", with_ctes(present("kpi_dayt", DAY_COLUMNS), ("kpi_dayt",), RS), "J-13", "J-14", "F-1")
 def q_kpi_day(spark, sf_dir):
-    return K.present(K.kpi_day(_rs(spark, sf_dir)), DAY_COLUMNS)
+    return K.present(_day(spark, sf_dir), DAY_COLUMNS)
 
 
 _TRAIL = "OVER (PARTITION BY station_abbr ORDER BY seq RANGE BETWEEN 71 PRECEDING AND 1 PRECEDING)"
@@ -261,7 +283,9 @@ _REH = f"{_LAST_UP} - 72"
 
 def last_upload(spark, sf_dir) -> int:
     """Newest tick at which a managed station uploaded."""
-    return K.last_seq(_analog(spark, sf_dir).filter("has"))
+    w = world(spark, sf_dir)
+    managed = P.managed_stations(w["lines"], w["stations"]).select("station_abbr")
+    return K.last_seq(join_dimension(_job(spark, sf_dir).sums, managed, "station_abbr", "left_semi"))  # the job's persisted sums
 
 
 @register("rehandle_tick", with_ctes(
@@ -291,7 +315,7 @@ def q_rehandle_dependents(spark, sf_dir):
     # uploaded at it.  The stored table equals that of all ticks computed from the corrected readings.
     root, rs = scratch_path(spark, "rehandled"), _rs(spark, sf_dir)
     JOB.store_real(spark, root, rs)
-    RN.upsert_into(spark, f"{root}/kpi_day", JOB.dated(K.kpi_day(rs), *DAY_COLUMNS), JOB.KEYS, "date")
+    RN.upsert_into(spark, f"{root}/kpi_day", JOB.dated(_day(spark, sf_dir), *DAY_COLUMNS), JOB.KEYS, "date")
     t, corrected = correction(spark, sf_dir)
     uploaded = JOB.at_ticks(corrected["readings"], [t]).select("station_abbr").distinct()
     JOB.rehandle_from(spark, root, P0, seq_text(t), corrected, uploaded)

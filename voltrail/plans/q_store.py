@@ -12,7 +12,7 @@ from voltrail.operators import rollup as RU
 from voltrail.params import DAY_COLUMNS
 from voltrail.plans import fixtures as fx
 from voltrail.plans.oracle_core import R4, TICK_TEXT, D, with_ctes
-from voltrail.plans.q_kpi import RS, _rs, world
+from voltrail.plans.q_kpi import RS, _day, world
 from voltrail.plans.registry import register
 from voltrail.session import scratch_path
 from voltrail.sources import mapping as M
@@ -38,7 +38,7 @@ _HOURLY.update(RS)
 
 
 def _station_hours(spark, sf_dir):
-    return RU.hourly_station(K.kpi_day(_rs(spark, sf_dir)))
+    return RU.hourly_station(_day(spark, sf_dir))
 
 
 @register("hourly_station_sum", with_ctes(
