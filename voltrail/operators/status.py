@@ -10,13 +10,13 @@ Many-tick plan, skew-safe:
    ``max(struct(ts, is_one))`` — partial aggregation runs map-side; the struct
    max keeps the latest ts and, among rows tied at it, "any is '1'";
 2. cut ticks and buckets into blocks of a day.  The look-back is a day, so a tick
-   needs its own block and the last row of the block before, which is carried over
-   by a partial ``max`` per (station, id, block);
+   needs its own block and the block before: a bucket row goes to both, in the one
+   shuffle that the window makes;
 3. union the evaluation ticks (one row per (station, id, t)) with those bucket
    rows and take ``last(…, ignoreNulls)`` over a (station, id, block) window ordered by
    (seq, kind) — a tick sorts before the bucket that starts at it, because the
-   upper bound is exclusive.  A window holds two rows a tick of one day and one more
-   at most, so years of one busy point are as many tasks as days;
+   upper bound is exclusive.  A window holds three rows a tick of one day at most, so
+   years of one busy point are as many windows as days;
 4. keep the found bucket only if it lies in the 72-tick window; in the oldest
    bucket only a latest ts strictly after the bucket start counts.
 """
@@ -66,18 +66,11 @@ def bucket_latest(status: DataFrame, ids: DataFrame) -> DataFrame:
     )
 
 
-def carried(buckets: DataFrame) -> DataFrame:
-    """The last bucket row of each (station, id, block), as a row of the next block."""
-    last = buckets.groupBy("station_abbr", "id", "block").agg(F.max(F.struct("seq", "m_ts", "m_on")).alias("m"))
-    return last.select("station_abbr", "id", (F.col("block") + 1).alias("block"), "m.*")
-
-
 def point_on_at(status: DataFrame, ids: DataFrame, grid: DataFrame) -> DataFrame:
     """(station_abbr, id, seq, on) for every grid tick and every listed id of the station."""
-    block = F.floor(F.col("seq") / DAY_TICKS).alias("block")
-    buckets = bucket_latest(status, ids).select("*", block)
-    buckets = buckets.unionByName(carried(buckets)).withColumn("kind", F.lit(1))
-    evals = join_dimension(grid.select("station_abbr", "seq", block), ids, "station_abbr").withColumn("kind", F.lit(0))
+    block = F.floor(F.col("seq") / DAY_TICKS)
+    buckets = bucket_latest(status, ids).select("*", F.explode(F.array(block, block + 1)).alias("block"), F.lit(1).alias("kind"))
+    evals = join_dimension(grid.select("station_abbr", "seq", block.alias("block")), ids, "station_abbr").withColumn("kind", F.lit(0))
     u = evals.unionByName(buckets, allowMissingColumns=True)
     w = (Window.partitionBy("station_abbr", "id", "block").orderBy("seq", "kind")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
