@@ -12,7 +12,7 @@ def run(tree, row):
 def local(html):
     tree = H.grow(*H.labelled_table())
     found = H.blocks(html)
-    return "\n\n".join(b[0] for b, f in zip(found, H.features(found)) if run(tree, f))
+    return "\n\n".join(b.text for b, f in zip(found, H.features(found)) if run(tree, f))
 
 
 PAGES = [
@@ -36,10 +36,59 @@ def test_tree_learns_the_labelled_pages():
     x, y = H.labelled_table()
     tree = H.grow(x, y)
     assert all(run(tree, r) == bool(v) for r, v in zip(x, y))
+    assert H.FEATURES[tree[0]] in ("links", "words")
+
+
+#: Labelled pages that the tree hasn't seen.
+HELD_OUT = (
+    H.menu(2, 1, 1, 5) + "<h1>+6</h1>" + H.text(58, 33, 8) + H.menu(4, sign="+") + H.text(71, 3) + H.menu(2, 4) + "<div>-6c</div>",
+    H.menu(1, 1, 3, 2, 1) + H.text(110, 26) + H.menu(3, 7, 2, sign="+") + H.text(19, 44),
+    "<h1>+4</h1>" + H.text(62) + "<h2>+3</h2>" + H.text(15, 87) + "<div class='comments-area'><p>-9</p><p>-28</p></div><div class='page-footer'>-13</div>",
+    "<div class='top-menu'>-6</div><div class='content'><h1>+5</h1>" + H.text(48, 2, 66) + "</div><div class='sidebar-right'><p>-31</p></div>",
+    "<div class='layout no-sidebar'><h1>+5</h1>" + H.text(48, 12, 66) + "</div>",
+    "<nav>" + H.menu(2, 2) + "</nav><div class='page-with-sidebar'><main><h1>+2</h1>" + H.text(1, 4, 130, 1) + H.menu(1, 6, 3, sign="+") + "</main><div class='sidebar'>-40</div></div><footer>-8c</footer>",
+    "<article><h1>+9</h1>" + H.text(27) + "<div class='adSlot'>-7</div>" + H.text(1, 95) + "<section class='search-engines'><h2>+2</h2>" + H.text(36, 3) + "</section><ol class='comment-list'><li>-12</li><li>-2</li></ol></article><p>-55</p>",
+    "<div>-11</div><article>" + H.menu(5, 2, 8, sign="+") + "</article><div>-4</div>" + H.menu(1, 3),
+)
+
+
+def test_tree_is_right_on_pages_it_has_not_seen():
+    tree = H.grow(*H.labelled_table())
+    x, y = H.labelled_table(HELD_OUT)
+    right = [run(tree, r) == bool(v) for r, v in zip(x, y)]
+    assert sum(right) >= 0.97 * len(right), [(i, dict(zip(H.FEATURES, x[i])), y[i]) for i, r in enumerate(right) if not r]
+
+
+A, B, C = (" ".join([w] * n) for w, n in (("alpha", 60), ("beta", 60), ("gamma", 25)))
+
+
+@pytest.mark.parametrize("html,text", [
+    (f"<p>{A}</p><ul><li><a href=x>See the full report here</a></li></ul><p>{B}</p>", [A, "See the full report here", B]),
+    (f"<p>{A}</p><p><a href=x>Report</a></p><p>{B}</p><p>{C}</p>", [A, "Report", B, C]),
+    (f"<p>{A}</p><ul><li><a href=x>One</a></li><li><a href=x>Two parts</a></li><li><a href=x>And three more</a></li></ul><p>{B}</p>", [A, "One", "Two parts", "And three more", B]),
+    (f"<article><p>{A}</p><section class='search'><h2>Search</h2><p>{B}</p><p>{C}</p></section></article>", [A, "Search", B, C]),
+    (f"<article><p>{A}</p><div class='ad-slot'>Buy one now</div><p>{B}</p><div class='comment-list'><p>Nice.</p><p>{C}</p></div><div class='cookie-banner'><p>We use cookies {C}</p></div></article>", [A, B]),
+    (f"<div class='main-nav'><p>Home</p></div><p>{A}</p><p>{B}</p><div class='left-sidebar'><p>{C}</p></div><div class='footer-links'><a href=x>Terms</a> of use</div><div class='site-footer'><p>{C}</p></div>", [A, B]),
+    (f"<p>{A}</p><p>{B}</p><div>Copyright 2024 Some Company</div>", [A, B]),
+    (f"<article><h1>Copyright law</h1><p>{A}</p><p>Copyright lasts.</p></article>", ["Copyright law", A, "Copyright lasts."]),
+    (f"<article><ul><li><a href=x>One</a></li><li><a href=x>Two</a></li></ul></article>", ["One", "Two"]),
+    (f"<div class='blog has-sidebar'><p>{A}</p><p>{B}</p></div>", [A, B]),
+])
+def test_pages_without_telling_tags(html, text):
+    assert local(html) == "\n\n".join(text)
+
+
+def test_repeated_rows_and_a_very_long_page(spark):
+    long = "<article>" + "".join(f"<p>paragraph {i} " + "word " * 30 + f"<a href=x>link {i}</a></p>" for i in range(30000)) + "</article><footer>end</footer>"
+    rows = [(1, "u", long), (1, "u", long), (2, "v", "<p>x y z " + "w " * 50)]
+    got = H.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert len(got) == 3 and got[0] == got[1]
+    text = next(r["text"] for r in got if r["page_id"] == 1).split("\n\n")
+    assert len(text) == 30000 and text[29999].startswith("paragraph 29999 word") and text[29999].endswith("link 29999")
 
 
 def test_spark_condition_agrees_with_the_tree(spark):
-    pages = spark.createDataFrame([(i, f"u{i}", h) for i, (h, _) in enumerate(PAGES)], "page_id bigint, url string, html string").selectExpr("*", "'x' as text", "1 as blocks")
+    pages = spark.createDataFrame([(i, f"u{i}", h) for i, (h, _) in enumerate(PAGES)], "page_id bigint, url string, html string").selectExpr("*", "'x' as text", "1 as blocks", "2 as n_chars", "3 as kept")
     got = {r["page_id"]: r for r in H.extract(pages).collect()}
     for i, (_, text) in enumerate(PAGES):
         assert got[i]["text"] == text and got[i]["n_chars"] == len(text)
