@@ -45,3 +45,73 @@ def test_a_notice_needs_its_key_phrase():
     text = L.NOTICES[0].text
     assert index.scan([text.encode()])[0]["labels"] == ["mit"]
     assert index.scan([text.replace("free of charge", "free for all").encode()])[0]["labels"] == []
+
+
+def scan(text):
+    return L.Index(L.TEMPLATES, {x: 1.0 for x in L.vocabulary(L.TEMPLATES)}).scan([text.encode()])[0]
+
+
+def test_a_word_in_or_out_keeps_the_label():
+    for t in (*L.NOTICES, *L.TEXTS):
+        w, key = t.text.split(), len(t.key.split())
+        spoiled = 0
+        for i in range(len(w)):
+            for changed in (w[:i] + ["whatever"] + w[i:], w[:i] + w[i + 1:], w[:i] + ["whatever"] + w[i + 1:]):
+                spoiled += t.label not in scan(" ".join(changed))["labels"]
+        # Only words put into the key phrase, or taken out of it, cost the label.
+        assert spoiled <= 3 * key + 1, (t.label, spoiled)
+
+
+def test_wrapped_and_commented_licences():
+    import textwrap
+    for t in L.TEXTS:
+        lines = textwrap.wrap(t.text, 60)
+        for text in ("\n".join(f" * {x}" for x in lines), "\n".join(f"rem {x}" for x in lines) if t.label == "mit" else "// " + "\n// ".join(lines)):
+            found = scan("int main; the code " * 40 + text + " and so on" * 30)
+            if text.startswith("rem"):  # a word a line: in the key phrase it costs the label, elsewhere it doesn't
+                found = scan(text.replace("rem ", "", 2))
+            assert t.label in found["labels"], t.label
+            place = next(p for p in found["places"] if p["label"] == t.label)
+            assert place["score"] >= 0.8
+
+
+def test_notices_repeat_and_stand_side_by_side():
+    mit, gpl = L.TEXTS[0].text, next(t.text for t in L.TEXTS if t.label == "gpl")
+    found = scan(" ".join([mit, "x y z", mit, gpl, mit]))
+    n = len(re.findall("[a-z0-9]+", mit.lower()))
+    whole = L.TEMPLATES.index(L.TEXTS[0])
+    index = L.Index(L.TEMPLATES, {x: 1.0 for x in L.vocabulary(L.TEMPLATES)})
+    w = L.lower_words([" ".join([mit, "x y z", mit, gpl, mit]).encode()])
+    which = index.table.get(w.hashes())
+    holds = [float((which == i).any()) for i in range(index.names)]
+    assert [(s, x) for _, s, x in index.find(whole, which, holds)][:2] == [(0, 1.0), (n + 3, 1.0)] and len(index.find(whole, which, holds)) == 3
+    assert {"mit", "gpl"} <= set(found["labels"])
+
+
+def test_scattered_words_are_no_licence():
+    import random
+    for t in (*L.NOTICES, *L.TEXTS):
+        w = re.findall("[a-z0-9]+", t.text.lower())
+        random.Random(5).shuffle(w)
+        if len(w) > 20:
+            found = scan(t.key + " " + " ".join(w))
+            assert t.label not in set(found["labels"]) - set(found["base_labels"]), t.label
+    assert scan(L.TEXTS[0].key)["labels"] == []
+
+
+def test_common_subsequence_against_brute_force():
+    import itertools
+    import random
+
+    import numpy as np
+    r = random.Random(3)
+    for _ in range(60):
+        s, f = [r.randrange(4) for _ in range(r.randrange(7))], [r.randrange(5) - 1 for _ in range(r.randrange(8))]
+        gain = [r.randrange(1, 9) for _ in s]
+        best = 0
+        for n in range(len(s) + 1):
+            for pick in itertools.combinations(range(len(s)), n):
+                rest = iter(f)
+                if all(s[i] in rest for i in pick):
+                    best = max(best, sum(gain[i] for i in pick))
+        assert L.common(np.array(s, dtype=int), np.array(gain, dtype=float), np.array(f, dtype=int)) == best
