@@ -45,11 +45,14 @@ def wide_view(readings: DataFrame, class_points: DataFrame, missing: str = "0")
                        *[F.coalesce(F.col(str(i)), F.lit(missing)).alias(f"id_{i}") for i in ids])
 
 
+def instants_expression(instants: list[str]) -> str:
+    """C-14: the original row filter, keys that end in one of the given instants: ``.*(t1|t2|t3){1}``."""
+    return ".*(" + "|".join(instants) + "){1}"
+
+
 def key_regex_filter(df: DataFrame, key: str, instants: list[str]) -> DataFrame:
-    """C-14: keep rows whose text key ends in one of the given instants,
-    written as the original row filter ``.*(t1|t2|t3){1}``."""
-    rx = ".*(" + "|".join(instants) + "){1}"
-    return df.filter(F.col(key).rlike(rx))
+    """C-14 over a table that has the text key only; with typed columns ``keyfilter.key_filter`` prunes the scan."""
+    return df.filter(F.col(key).rlike(instants_expression(instants)))
 
 
 #: Hex digits of a sampling hash, and those of a prefix that counts are made by.

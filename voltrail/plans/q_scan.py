@@ -8,6 +8,7 @@ from voltrail.functions import codec as C
 from voltrail.functions.ticks import seq_to_tick, shift_ticks, tick_floor, tick_seq, tick_text
 from voltrail.operators import basics as B
 from voltrail.operators import job as JOB
+from voltrail.operators import keyfilter as KF
 from voltrail.operators import points as P
 from voltrail.operators import status as S
 from voltrail.params import DAY_TICKS
@@ -15,6 +16,7 @@ from voltrail.plans import fixtures as fx
 from voltrail.plans.oracle_core import R4, TICK_TEXT, with_ctes
 from voltrail.plans.q_kpi import world
 from voltrail.plans.registry import register
+from voltrail.session import scratch_path
 
 TS_FMT_SPARK = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 TS_FMT_DUCK = "%Y-%m-%d %H:%M:%S.%f"
@@ -105,8 +107,27 @@ WHERE regexp_matches(k.key, q.rx)""", ("fx_reading",)), "C-14", "I-4")
 def q_key_regex_filter(spark, sf_dir):
     rd = world(spark, sf_dir)["readings"]
     end = rd.agg(F.max("seq")).first()[0]
-    keyed = rd.select(C.key_encode("station_abbr", tick_text("tick")).alias("key"), "control_id", "value")
-    return B.key_regex_filter(keyed, "key", [B.seq_text(end - DAY_TICKS), B.seq_text(end - 1), B.seq_text(end)])
+    found = KF.key_filter(rd, B.instants_expression([B.seq_text(end - DAY_TICKS), B.seq_text(end - 1), B.seq_text(end)]))
+    return found.select(C.key_encode("station_abbr", tick_text("tick")).alias("key"), "control_id", "value")
+
+
+# Mornings of the newest two days at some stations, of a table of uploads partitioned by day.
+@register("key_expression_scan", with_ctes(
+    f"""SELECT k.station_abbr, k.kpi_time, k.n_values FROM
+ (SELECT station_abbr, {TICK_TEXT('seq')} AS kpi_time, COUNT(*) AS n_values FROM fx_reading GROUP BY station_abbr, seq) k,
+ (SELECT '^s[b-k](' || substring({TICK_TEXT('m - 72')}, 1, 8) || '|' || substring({TICK_TEXT('m')}, 1, 8) || ')(0[0-9]|1[01])[0-9]{{4}}$' AS rx
+  FROM (SELECT max(seq) AS m FROM fx_reading)) q
+WHERE regexp_matches(k.station_abbr || k.kpi_time, q.rx)""", ("fx_reading",)), "C-14", "A-8", "I-4")
+def q_key_expression_scan(spark, sf_dir):
+    rd = world(spark, sf_dir)["readings"]
+    uploads = rd.groupBy("station_abbr", "tick").agg(F.count(F.lit(1)).alias("n_values")).withColumn("date", F.to_date("tick"))
+    path = scratch_path(spark, "uploads")
+    uploads.repartition("date").write.partitionBy("date").parquet(path)
+    stored = spark.read.schema(uploads.schema).parquet(path)
+    end = stored.agg(F.max(tick_seq("tick"))).first()[0]
+    days = "|".join(B.seq_text(s)[:8] for s in (end - DAY_TICKS, end))
+    found = KF.key_filter(stored, f"^s[b-k]({days})(0[0-9]|1[01])[0-9]{{4}}$")
+    return found.select("station_abbr", tick_text("tick").alias("kpi_time"), "n_values")
 
 
 @register("clean_reading", with_ctes(
