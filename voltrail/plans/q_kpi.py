@@ -20,6 +20,7 @@ from voltrail.plans.registry import register
 from voltrail.session import file_system, scratch_path
 from voltrail.sources import dropfolder as DF
 from voltrail.sources import runs as RN
+from voltrail.sources import store as ST
 from voltrail.streaming import jobs as J
 
 P0 = FIXTURE_PARAMS
@@ -313,9 +314,9 @@ def correction(spark, sf_dir) -> tuple[int, dict[str, DataFrame]]:
 def q_rehandle_dependents(spark, sf_dir):
     # All scores are stored; then a past tick is corrected and what depends on it is run again, for the stations that
     # uploaded at it.  The stored table equals that of all ticks computed from the corrected readings.
-    root, rs = scratch_path(spark, "rehandled"), _rs(spark, sf_dir)
+    root, rs = scratch_path(spark, "rehandled"), ST.written(_rs(spark, sf_dir), "rehandled-rows")
     JOB.store_real(spark, root, rs)
-    RN.upsert_into(spark, f"{root}/kpi_day", JOB.dated(_day(spark, sf_dir), *DAY_COLUMNS), JOB.KEYS, "date")
+    RN.upsert_into(spark, f"{root}/kpi_day", JOB.dated(K.kpi_day(rs), *DAY_COLUMNS), JOB.KEYS, "date")
     t, corrected = correction(spark, sf_dir)
     uploaded = JOB.at_ticks(corrected["readings"], [t]).select("station_abbr").distinct()
     JOB.rehandle_from(spark, root, P0, seq_text(t), corrected, uploaded)

@@ -82,10 +82,12 @@ def commit(spark: SparkSession, path: str, state: dict) -> None:
 
 
 def write_run(df: DataFrame, path: str, number: int, partition: str) -> list[dict]:
-    """Write a run of resolved rows; its (run, part, bytes) folders."""
+    """Write a run of resolved rows; its (run, part, bytes) folders.
+
+    A partition's rows come together first, a large one's in several tasks: files are as many as the data's size asks for."""
     spark = df.sparkSession
     run = f"{number:012d}-{uuid.uuid4().hex[:8]}"
-    df.write.partitionBy(partition).parquet(f"{path}/run={run}")
+    df.hint("rebalance", partition).write.partitionBy(partition).parquet(f"{path}/run={run}")
     system, where = file_system(spark, f"{path}/run={run}")
     parts = [s.getPath() for s in system.listStatus(where) if not s.getPath().getName().startswith(("_", "."))]
     return [{"run": run, "part": p.getName(), "bytes": system.getContentSummary(p).getLength()} for p in parts]
