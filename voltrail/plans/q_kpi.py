@@ -303,9 +303,10 @@ _CORRECTED = RS | {"fx_delivered": (CTES["fx_reading"][0], CTES["fx_reading"][1]
 FROM fx_delivered""", ("fx_delivered", "managed"))}
 
 
-def correction(spark, sf_dir) -> tuple[int, dict[str, DataFrame]]:
+def correction(spark, sf_dir, w: dict[str, DataFrame]) -> tuple[int, dict[str, DataFrame]]:
     """The corrected tick, three days before the newest upload, and the world with its readings as corrected."""
-    w, t = world(spark, sf_dir), last_upload(spark, sf_dir) - 216
+    managed = P.managed_stations(w["lines"], w["stations"]).select("station_abbr")
+    t = K.last_seq(join_dimension(w["readings"].select("station_abbr", "seq"), managed, "station_abbr", "left_semi")) - 216
     fixed = F.when(F.col("seq") == t, (F.col("control_id") * 3).cast("string")).otherwise(F.col("value"))
     return t, w | {"readings": w["readings"].withColumn("value", fixed)}
 
@@ -314,10 +315,14 @@ def correction(spark, sf_dir) -> tuple[int, dict[str, DataFrame]]:
 def q_rehandle_dependents(spark, sf_dir):
     # All scores are stored; then a past tick is corrected and what depends on it is run again, for the stations that
     # uploaded at it.  The stored table equals that of all ticks computed from the corrected readings.
-    root, rs = scratch_path(spark, "rehandled"), ST.written(_rs(spark, sf_dir), "rehandled-rows")
+    # The station tables are stored first, as a job finds them: plans start from their scans.
+    root, w = scratch_path(spark, "rehandled"), {n: ST.written(df, f"rehandled-{n}") for n, df in world(spark, sf_dir).items()}
+    job = K.Job(**w)
+    rs = ST.written(K.kpi_real_status(job.inputs(), P0), "rehandled-rows")
+    job.release()
     JOB.store_real(spark, root, rs)
     RN.upsert_into(spark, f"{root}/kpi_day", JOB.dated(K.kpi_day(rs), *DAY_COLUMNS), JOB.KEYS, "date")
-    t, corrected = correction(spark, sf_dir)
+    t, corrected = correction(spark, sf_dir, w)
     uploaded = JOB.at_ticks(corrected["readings"], [t]).select("station_abbr").distinct()
     JOB.rehandle_from(spark, root, P0, seq_text(t), corrected, uploaded)
     return K.present(RN.read_runs(spark, f"{root}/kpi_day").withColumn("seq", tick_seq("tick")), DAY_COLUMNS)
