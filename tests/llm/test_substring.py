@@ -112,6 +112,33 @@ def test_a_phrase_with_other_words_around_it_is_spread_over_blocks(spark, docs_o
     assert max(some) < max(none) / 2
 
 
+def test_a_phrase_that_is_rare_in_every_task_is_spread(spark, docs_of, monkeypatch):
+    phrase = " ".join(f"p{i}" for i in range(18))
+    given = [(i, f"a{i} b{i} {phrase} e{i} f{i}" if i % 4 == 0 else " ".join(f"c{i}x{j}" for j in range(22))) for i in range(2400)]
+    given += [(5000 + i, given[i][1]) for i in range(0, 2400, 100)]
+    monkeypatch.setattr(S, "FLUSH", 28 * 120)  # some seven places of the phrase
+    monkeypatch.setattr(S, "HOT", 200)
+    rows = S.keyed(docs_of(given).repartition(6)).select("id", "tag", "text")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 28)
+    try:
+        hot = S.hot_anchors(rows)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    of_phrase = S.anchored(S.words.split([f"q r {phrase} s t".encode()]))[1]
+    assert set(of_phrase[2:3].tolist()) <= set(hot.tolist()) and len(hot) < 10
+    assert sorted(tuple(r) for r in S.digests(docs_of(given)).collect()) == sorted(brute(given))
+
+
+def test_tasks_follow_the_blocks(spark, docs_of, monkeypatch):
+    given = [x for x in rows() if x[0] is not None]
+    monkeypatch.setattr(S, "PART", 4000)
+    size = sum(len((t or "").encode()) for _, t in given)
+    plan = S.factors(S.keyed(docs_of(given)))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(block#") == 1  # grouped where the blocks are
+    assert f", {-(-size // 4000)}), REPARTITION_BY_NUM" in plan
+    assert sorted(tuple(r) for r in S.digests(docs_of(given)).collect()) == sorted(brute(given))
+
+
 def test_windows_of_one_anchor_are_told_apart_by_all_bits_of_their_hash():
     import pyarrow as pa
     low = np.uint64(0x1234567890)  # the five low bytes are alike

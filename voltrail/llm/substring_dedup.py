@@ -3,18 +3,20 @@
 Relative Lempel-Ziv parsing cuts a document into factors: longest runs of words that also stand,
 in one piece, at an earlier place (a smaller doc_id, or further up in the same document).  Factors
 of ``WINDOW`` words or more are duplicate spans.  A span may end where one factor ends and the next
-begins, though a window across that boundary stands earlier as well, at a third place.  So factors
-aren't grown here: every window of ``WINDOW`` words is looked up by its hash, a word goes if any
+begins, though a window across that boundary stands earlier as well, at a third place.  And the
+longest factor at a word is known only when the document was held against every block, which is
+work by the square of the input.  So factors aren't grown here: every window of ``WINDOW`` words is looked up by its hash, a word goes if any
 window over it is found, and windows found side by side are glued to pieces of factors.
 
 The reference is all text, indexed in blocks.  The least hash of the 11-word runs in a window is
 its anchor; equal windows have equal anchors, and neighbouring windows mostly share theirs.  A
 window is filed under its anchor in the block that the anchor's hash names, so each block answers
 for every window that could match in it and no block sees a document whole.  A block's size is
-bounded (``BLOCK`` bytes of text a block on average): their number follows the input.  Two things
-keep single blocks from growing.  Before anything is sent, a task drops what repeats within the
+bounded (``BLOCK`` bytes of text a block on average): their number follows the input, and so does that of the tasks (``PART`` bytes of text each on average).
+Two things keep single blocks from growing.  Before anything is sent, a task drops what repeats within the
 text it has at hand, so that a passage that many documents share reaches its block once a task
-and not once a document.  And the anchors of all text are counted first: the windows of an anchor
+and not once a document.  And the anchors of all text are counted first (those that are rare in
+a task by an unbiased draw, as their sum over all tasks matters): the windows of an anchor
 that stands in very many places (a phrase with ever other words around it) are filed under
 their own hashes instead, over all blocks.  That a window matches doesn't depend on it.
 
@@ -39,8 +41,9 @@ from voltrail.llm.store import written
 WINDOW = 20
 ANCHOR = 11  # words whose hash files a window; WINDOW - ANCHOR + 1 of them stand in it
 BLOCK = 24 << 20  # bytes of text a block of the index
+PART = 64 << 20  # bytes of text whose blocks a task matches, one block after another
 FLUSH = 24 << 20  # bytes of text that a task indexes at a time
-LOCAL_HOT = 8  # places of an anchor in ``FLUSH`` bytes of text from which it is counted
+LOCAL_HOT = 32  # places of an anchor in ``FLUSH`` bytes of text from which it is counted place by place
 HOT = 20_000  # places of an anchor in all text from which its windows are spread
 MOST_HOT = 500_000  # so many anchors at most are spread: those with more than this share of all places
 PACKED = 4096  # blocks up to which a task sends each block one value; beyond, these would be small, and each group is a row
@@ -150,10 +153,11 @@ def hot_anchors(rows: DataFrame) -> np.ndarray:
 
         def flush() -> pa.RecordBatch:
             anchor, n = np.unique(np.concatenate(held), return_counts=True)
-            often = n >= LOCAL_HOT
-            # The rest only counts in the total, under a number that no anchor is kept for.
-            out = np.concatenate((anchor[often].view(np.int64), [0])), np.concatenate((n[often], [n[~often].sum()]))
-            return pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1])], ["anchor", "n"])
+            # Of anchors with n < ``LOCAL_HOT`` places n in ``LOCAL_HOT`` are drawn, by a hash, and count for that many:
+            # an anchor with few places in each of many tasks comes to about what it has.
+            salt = words.mix(np.bitwise_xor.reduce(anchor) ^ np.uint64(len(anchor)))
+            drawn = (words.mix(anchor ^ salt) % np.uint64(LOCAL_HOT)).astype(np.int64) < n
+            return pa.RecordBatch.from_arrays([pa.array(anchor[drawn].view(np.int64)), pa.array(np.maximum(n[drawn], LOCAL_HOT))], ["anchor", "n"])
 
         for _, texts in words.parts(batches, "text"):
             w = words.split(texts)
@@ -170,7 +174,7 @@ def hot_anchors(rows: DataFrame) -> np.ndarray:
     counts = rows.select("text").mapInArrow(count, "anchor bigint, n bigint").groupBy("anchor").agg(F.sum("n").alias("n"))
     counts = written(counts, "anchors")
     total = counts.agg(F.sum("n")).first()[0] or 0
-    often = counts.where((F.col("n") >= max(HOT, total // MOST_HOT + 1)) & (F.col("anchor") != 0)).select("anchor")
+    often = counts.where(F.col("n") >= max(HOT, total // MOST_HOT + 1)).select("anchor")
     return np.sort(np.array([r[0] for r in often.collect()], dtype=np.int64).view(np.uint64))  # ``MOST_HOT`` at most
 
 
@@ -277,8 +281,11 @@ def factors(rows: DataFrame) -> DataFrame:
     """(id, tag, start, n, ref_id, ref_start): pieces of factors of ``keyed`` rows, each of ``WINDOW`` words or more; pieces of one factor overlap."""
     spark = rows.sparkSession
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BLOCK))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_blocks = max(partitions, -(-size // BLOCK))
     filed = rows.select("id", "tag", "text").mapInArrow(index_blocks(n_blocks, hot_anchors(rows)), "block int, held binary")
+    if size > partitions * PART:  # tasks follow the blocks, whatever the session's setting
+        filed = filed.repartition(-(-size // PART), "block")
     packed_values = n_blocks <= PACKED
     return filed.groupBy("block").applyInArrow(lambda table: match_block(table, packed_values), FACTOR)
 
