@@ -37,7 +37,7 @@ def _digest(cols, rows):
 @pytest.mark.parametrize("name", ["kpi_day", "run_status", "meter_delta_24h", "latest_state",
                                   "hourly_line_rollup", "ingest_analog_chunk", "dynamic_projection", "kpi_tick_job",
                                   "scan_kpi_window", "rehandle_tick", "stream_ingest", "stream_latest_state", "ingest_status", "ingest_tick",
-                                  "kpi_real_layers", "rehandle_dependents", "catalog_as_of", "cell_versions", "sample_rows", "stream_windows", "ingest_ledger"])
+                                  "kpi_real_layers", "rehandle_dependents", "catalog_as_of", "cell_versions", "sample_rows", "stream_windows", "ingest_ledger", "typed_write", "typed_write_rejects"])
 def test_matches_oracle_sf0001(spark, name):
     if not os.path.isdir(SF):
         pytest.skip("no test data")

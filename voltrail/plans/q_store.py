@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voltrail import schemas as SC
 from voltrail.functions.codec import NULL_MARKER
@@ -18,6 +19,7 @@ from voltrail.session import scratch_path
 from voltrail.sources import mapping as M
 from voltrail.sources import runs as RN
 from voltrail.sources import store as ST
+from voltrail.sources import textrows as TR
 
 # ------------------------------------------------------------------ rollups
 
@@ -178,6 +180,40 @@ def q_inline_rows(spark, sf_dir):
                         F.trim(parts.getItem(2)).cast("int").alias("age"))
 
 
+# Lines of text, one an order: the newest order of a customer is the row of its key.  Some lines can't be taken.
+_TEXT_ROW = T.StructType([T.StructField("rowkey", T.StringType()), T.StructField("status", T.StringType()), T.StructField("cents", T.IntegerType()), T.StructField("day", T.DateType()), T.StructField("orderkey", T.LongType())])
+_TEXT_LINES = """SELECT o_orderkey, 'c' || CAST(o_custkey AS VARCHAR) AS rowkey, o_orderstatus AS status, CAST(ROUND(o_totalprice * 100) AS INTEGER) AS cents,
+ CAST(o_orderdate AS DATE) AS day, CASE WHEN o_orderkey % 101 = 0 THEN '3 cells instead of 5' WHEN o_orderkey % 89 = 0 THEN 'rowkey is empty'
+ WHEN o_orderkey % 97 = 0 THEN 'cents is no int' END AS reason FROM orders"""
+
+
+def _text_write(spark, sf_dir) -> str:
+    o, key = fx.table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    rowkey = F.when(key % 89 == 0, F.lit("")).otherwise(F.concat(F.lit("c"), F.col("o_custkey").cast("string")))
+    cents = F.when(key % 97 == 0, F.lit("n/a")).otherwise(F.round(F.col("o_totalprice") * 100).cast("bigint").cast("string"))
+    cells = [rowkey, F.concat(F.lit(" "), "o_orderstatus", F.lit(" ")), cents]
+    whole = F.concat_ws(",", *cells, F.date_format("o_orderdate", "yyyy-MM-dd"), key.cast("string"))
+    lines = o.select(F.when(key % 101 == 0, F.concat_ws(",", *cells)).otherwise(whole).alias("line"))
+    root = scratch_path(spark, "typed-write")
+    for _ in range(2):  # a second delivery changes nothing
+        TR.typed_write(lines, _TEXT_ROW, root, ["rowkey"], ["day", "orderkey"])
+    return root
+
+
+@register("typed_write", f"""SELECT rowkey, status, cents, strftime(day, '%Y-%m-%d') AS day, o_orderkey AS orderkey FROM (
+SELECT *, row_number() OVER (PARTITION BY rowkey ORDER BY day DESC, o_orderkey DESC) AS k FROM ({_TEXT_LINES}) WHERE reason IS NULL) WHERE k = 1""", "B-4", "B-1", "I-10")
+def q_typed_write(spark, sf_dir):
+    return TR.read_typed(spark, _text_write(spark, sf_dir), _TEXT_ROW).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+
+
+@register("typed_write_rejects", f"""SELECT line, reason, COUNT(*) AS n FROM (
+SELECT CASE WHEN o_orderkey % 89 = 0 THEN '' ELSE rowkey END || ', ' || status || ' ,' || CASE WHEN o_orderkey % 97 = 0 THEN 'n/a' ELSE CAST(cents AS VARCHAR) END
+ || CASE WHEN o_orderkey % 101 = 0 THEN '' ELSE ',' || strftime(day, '%Y-%m-%d') || ',' || CAST(o_orderkey AS VARCHAR) END AS line, reason
+FROM ({_TEXT_LINES}) WHERE reason IS NOT NULL) GROUP BY line, reason""", "B-4")
+def q_typed_write_rejects(spark, sf_dir):
+    return TR.read_rejected(spark, _text_write(spark, sf_dir)).select("line", "reason", "n")
+
+
 # ------------------------------------------------------------------ Parquet storage
 
 @register("scan_dimension", with_ctes(
