@@ -10,7 +10,7 @@ from voltrail.operators import job as JOB
 from voltrail.operators import kpi as K
 from voltrail.operators import readings as R
 from voltrail.operators import rollup as RU
-from voltrail.params import DAY_COLUMNS, FIXTURE_PARAMS
+from voltrail.params import DAY_COLUMNS, FIXTURE_PARAMS, KPI_COLUMNS
 from voltrail.plans import joins
 from voltrail.session import scratch_path
 from voltrail.sources import runs as RN
@@ -226,6 +226,36 @@ def test_the_job_from_files_gives_whole_24_hour_scores(spark):
     assert all([ready[k][c] for c in DAY_COLUMNS] == pytest.approx([got[k][c] for c in DAY_COLUMNS]) for k in got)
 
 
+def test_the_lines_that_came_before_are_made_once_for_all_tables(spark, monkeypatch):
+    import __spark_entry__ as E
+    from voltrail.streaming import jobs as J
+
+    class Seen(Exception):
+        pass
+
+    def merge(spark, routed, *_):
+        raise Seen(routed._jdf.queryExecution().optimizedPlan().toString())
+    monkeypatch.setattr(J, "merge_drop", merge)
+    with pytest.raises(Seen) as seen:
+        E.queries()["kpi_tick_job_24h"](spark, SF)
+    assert "Aggregate" not in str(seen.value) and "Join" not in str(seen.value) and "goes_to" in str(seen.value)
+
+
+def test_a_tick_looks_at_the_folders_of_its_days_alone(spark):
+    root, lo, hi = scratch_path(spark, "job"), T + 360, T + 431
+    both = [c for n in KPI_COLUMNS for c in (n, f"st_{n}")]
+    rows = spark.range(T, T + 20 * 72, 36).select(F.lit("sa").alias("station_abbr"), F.col("id").alias("seq"), *[F.lit(1.0).alias(c) for c in both])
+    JOB.store_real(spark, root, rows)
+    for name in ("center", "line", "point"):
+        RN.upsert_into(spark, f"{root}/{name}", spark.createDataFrame([(1, 0, name)], "k int, batch int, part string"), ["k"], "part")
+    for name in ("readings", "status"):
+        RN.upsert_into(spark, f"{root}/{name}", JOB.dated(rows), JOB.KEYS, "date")
+    w = JOB.stored_world(spark, root, lo, hi)
+    for df in (JOB.scan_kpi(spark, root, "kpi_real", lo, hi), JOB.scan_kpi(spark, root, "kpi_status", lo, hi), w["readings"], w["status"]):
+        assert {f.split("/")[-2] for f in df.inputFiles()} == {f"date={JOB.day_of(s)}" for s in (lo, hi)}
+    assert JOB.scan_kpi(spark, root, "kpi_real", lo, hi).count() == 2 and JOB.newest_tick(spark, root) == T + 20 * 72 - 36
+
+
 def test_tables_replaced_under_a_path_are_read_anew(spark, tmpdir_path):
     import __spark_entry__ as E
     for name in ("nation", "region"):

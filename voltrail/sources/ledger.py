@@ -42,7 +42,7 @@ def take_new(spark: SparkSession, folder: str, root: str, tick: str | None = Non
         if not found:
             return taken
         lines = DF.read_files(spark, [r.path for r in found])
-        J.merge_drop(spark, ST.written(DF.route(lines), "drop-lines"), root, 0)
+        J.merge_drop(spark, ST.written(J.with_targets(DF.route(lines)), "drop-lines"), root, 0)
         rows = spark.createDataFrame([(r.file_name, r.size, r.modified) for r in found], "file_name string, size bigint, modified timestamp")
         day = F.left("file_name", F.lit(8))
         rows = rows.select("*", F.when(day.rlike("^[0-9]{8}$"), day).otherwise("other").alias("part"))
